@@ -7,21 +7,16 @@ data. Each callable takes (spark, sf_dir) and returns a lazy DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsekit.functions import round_half_up
 from pulsekit.operators import features as fx
 from pulsekit.operators import privacy, quality
+from pulsekit.plans.catalog import register
 from pulsekit.plans.oracles import R, with_vitals
 from pulsekit.schema import ALLOWED_RULES, PHYSIO_CLIP, RANGE_RULES
 from pulsekit.sources.adapter import load_vitals, read_table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
 # Fixed salt so the pseudonymised output is comparable with the oracle.
 QUERY_SALT = "pulsekit-fixed-salt:"
 
@@ -31,16 +26,6 @@ DOUBLE_VITALS = [
 ]
 
 
-def register(name: str, oracle: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return deco
-
-
 # ---------------------------------------------------------------------------
 # Quality (A1-A7)
 # ---------------------------------------------------------------------------
