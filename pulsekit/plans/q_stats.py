@@ -162,9 +162,6 @@ def q_binary_labels(spark, sf_dir):
     return metrics.classification_metrics(read_table(spark, sf_dir, "labels"), "quality", "toxic")
 
 
-_GLUCOSE_RULE_SQL = ("CAST(hrv_ms < 24 AND hr_bpm > 85 AND activity_intensity = 0 AND is_sleeping = 0 AS INTEGER)")
-
-
 @register(
     "binary_metrics_rule",
     with_vitals(_BR[1], f"g AS (SELECT glucose_pattern_flag, {_GLUCOSE_RULE_SQL} AS pred FROM vitals)", *_BR[0]),
