@@ -1,18 +1,20 @@
 """Distribution drift between a reference and a current table.
 
 Plan: both tables are unpivoted to one long table (feature, side, value)
-with NULL/NaN dropped, so all features are processed concurrently by a few
-grouped passes instead of a Python loop per feature:
-
-* counts per (feature, side);
-* D1: exact quantile edges of the reference side per feature (``percentile``;
-  ``exact=False`` -> ``percentile_approx``);
+with NULL/NaN dropped and reduced ONCE to counts per (feature, value, side)
+-- the sufficient statistic for everything that follows; for sensor values
+with limited precision it is far smaller than the input. All features are
+processed concurrently instead of a Python loop per feature:
+
+* counts per (feature, side): sums over the compact table;
+* D1: exact quantile edges of the reference side (``percentile`` with the
+  value counts as frequencies; ``exact=False`` -> ``percentile_approx``);
 * D2/D3: bin index = number of interior edges <= value (NumPy's rule, also
-  with duplicate edges), counts per (feature, side, bin) left-joined from the
-  full bin grid so empty bins still contribute, then PSI;
-* W2/D4: counts per (feature, value) -> two-level running sums -> KS
-  statistic D = max |F_ref - F_cur| after each tie group; asymptotic
-  Kolmogorov p-value as a Spark expression.
+  with duplicate edges) per distinct value, counts per (feature, bin)
+  left-joined from the full bin grid so empty bins still contribute, then PSI;
+* W2/D4: two-level running sums over the compact table -> KS statistic
+  D = max |F_ref - F_cur| after each tie group; asymptotic Kolmogorov p-value
+  as a Spark expression.
 
 The per-feature tables (edges, counts, results) are bounded by the number of
 features (a schema property), so broadcasting them is safe.
@@ -38,10 +40,10 @@ def auto_features(reference: DataFrame, current: DataFrame) -> list[str]:
 
 
 def to_long(df: DataFrame, features: list[str], side: str) -> DataFrame:
-    """(feature_idx, feature, side, value) with NULL and NaN removed."""
+    """(feature_idx, value, side) with NULL and NaN removed."""
     rows = F.array(
         *[
-            F.struct(F.lit(i).alias("feature_idx"), F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"))
+            F.struct(F.lit(i).alias("feature_idx"), F.col(f).cast("double").alias("value"))
             for i, f in enumerate(features)
         ]
     )
@@ -68,43 +70,49 @@ def feature_drift(
     features = features if features is not None else auto_features(reference, current)
     long = to_long(reference, features, "ref").unionByName(to_long(current, features, "cur"))
 
-    counts = long.groupBy("feature_idx", "feature").agg(
-        F.count_if(F.col("side") == "ref").alias("n_ref"), F.count_if(F.col("side") == "cur").alias("n_cur")
+    # The only pass over the raw rows: counts per (feature, value) and side.
+    # Partial aggregation shrinks it map-side; every statistic below is
+    # derived from this compact table (its exchange is reused by Spark).
+    per_value = long.groupBy("feature_idx", "value").agg(
+        F.count_if(F.col("side") == "ref").cast("bigint").alias("a_ref"),
+        F.count_if(F.col("side") == "cur").cast("bigint").alias("a_cur"),
     )
+    counts = per_value.groupBy("feature_idx").agg(F.sum("a_ref").alias("n_ref"), F.sum("a_cur").alias("n_cur"))
     counts = counts.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
 
-    # Interior quantile edges of the reference side.
+    # Interior quantile edges of the reference side (value counts as frequencies).
     probs = [i / num_buckets for i in range(1, num_buckets)]
     parr = F.array(*[F.lit(p) for p in probs])
-    ref_vals = long.where(F.col("side") == "ref")
-    q = F.percentile("value", parr) if exact else F.percentile_approx("value", parr, 10000)
-    edges = ref_vals.groupBy("feature_idx").agg(q.alias("edges"))
-
-    # bin = number of interior edges <= value.
-    binned = long.join(F.broadcast(edges), "feature_idx").select(
-        "feature_idx", "side", F.size(F.filter("edges", lambda e: e <= F.col("value"))).alias("bin")
+    ref_vals = per_value.where(F.col("a_ref") > 0)
+    if exact:
+        q = F.percentile("value", parr, F.col("a_ref"))
+        edges = ref_vals.groupBy("feature_idx").agg(q.alias("edges"))
+    else:
+        raw_ref = long.where(F.col("side") == "ref")
+        edges = raw_ref.groupBy("feature_idx").agg(F.percentile_approx("value", parr, 10000).alias("edges"))
+
+    # bin = number of interior edges <= value (per distinct value, then summed).
+    binned = per_value.join(F.broadcast(edges), "feature_idx").select(
+        "feature_idx", F.size(F.filter("edges", lambda e: e <= F.col("value"))).alias("bin"), "a_ref", "a_cur"
     )
-    hist = binned.groupBy("feature_idx", "side", "bin").agg(F.count(F.lit(1)).alias("cnt"))
+    hist = binned.groupBy("feature_idx", "bin").agg(F.sum("a_ref").alias("c_ref"), F.sum("a_cur").alias("c_cur"))
 
     # D3: PSI over the full bin grid (an empty bin contributes through the floor).
-    grid = counts.select("feature_idx", "n_ref", "n_cur", F.explode(F.sequence(F.lit(0), F.lit(num_buckets - 1))).alias("bin"))
-    ref_h = hist.where(F.col("side") == "ref").select("feature_idx", "bin", F.col("cnt").alias("c_ref"))
-    cur_h = hist.where(F.col("side") == "cur").select("feature_idx", "bin", F.col("cnt").alias("c_cur"))
-    g = grid.join(ref_h, ["feature_idx", "bin"], "left").join(cur_h, ["feature_idx", "bin"], "left")
+    grid = counts.select("feature_idx", "n_ref", "n_cur",
+                         F.explode(F.sequence(F.lit(0), F.lit(num_buckets - 1))).alias("bin"))
+    g = grid.join(hist, ["feature_idx", "bin"], "left")
     r_pct = F.least(F.greatest(F.coalesce(F.col("c_ref"), F.lit(0)) / F.col("n_ref"), F.lit(PSI_FLOOR)), F.lit(1.0))
     c_pct = F.least(F.greatest(F.coalesce(F.col("c_cur"), F.lit(0)) / F.col("n_cur"), F.lit(PSI_FLOOR)), F.lit(1.0))
     psi = g.groupBy("feature_idx").agg(F.sum((c_pct - r_pct) * F.ln(c_pct / r_pct)).alias("psi_raw"))
 
     # Exact two-sample KS statistic via running counts per feature.
-    per_value = long.groupBy("feature_idx", "value").agg(
-        F.count_if(F.col("side") == "ref").cast("bigint").alias("a_ref"),
-        F.count_if(F.col("side") == "cur").cast("bigint").alias("a_cur"),
-    )
     cum = running_totals(per_value, ["feature_idx"], ["value"], ["a_ref", "a_cur"], n_buckets=n_buckets_rank)
     cum = cum.join(F.broadcast(counts.select("feature_idx", "n_ref", "n_cur")), "feature_idx")
     gap = F.abs(F.col("cum_a_ref") / F.col("n_ref") - F.col("cum_a_cur") / F.col("n_cur"))
     ks = cum.groupBy("feature_idx").agg(F.max(gap).alias("ks_raw"))
 
+    names = F.array(*[F.lit(f) for f in features])
+    counts = counts.withColumn("feature", F.element_at(names, F.col("feature_idx") + 1))
     res = counts.join(ks, "feature_idx").join(psi, "feature_idx")
     res = res.withColumn("p_raw", ks_pvalue("ks_raw", "n_ref", "n_cur"))
     res = res.withColumn(

@@ -182,8 +182,9 @@ def quarantine(df: DataFrame, range_rules: dict | None = None, allowed_rules: di
     for c, (lo, hi, _req) in range_rules.items():
         if c in df.columns:
             v = F.col(c)
-            reasons.append(F.when(v < lo, F.lit(f"{c}_below_min")))
-            reasons.append(F.when(v > hi, F.lit(f"{c}_above_max")))
+            ok = ~_is_missing(df, c)  # NaN sorts above every number in Spark
+            reasons.append(F.when(ok & (v < lo), F.lit(f"{c}_below_min")))
+            reasons.append(F.when(ok & (v > hi), F.lit(f"{c}_above_max")))
     for c, (allowed, _req) in allowed_rules.items():
         if c in df.columns:
             v = F.col(c)

@@ -7,13 +7,15 @@ Resampling plan (per key, default ``patient_id``):
    midnight gives the same buckets and the per-key ``d0`` join is skipped.
 2. ``groupBy(key, bucket).agg(avg)`` -- partial aggregation shrinks even a hot
    patient to at most one row per slot per task before the shuffle.
-3. Grid: per key, ``sequence(first, last, step)`` exploded (J3), left-joined
-   with the bucket means. Grids longer than ``max_slots`` raise instead of
-   silently multiplying rows.
-4. Interpolation: previous / next known value and slot from
-   ``last(ignorenulls)`` running windows (ascending for previous, descending for
-   next) partitioned by key. A window partition
-   holds one key's grid, bounded by ``max_slots``, not by raw rows.
+3. Interpolation anchors on the SPARSE bucket table: previous / next known
+   value and slot per column from ``last(ignorenulls)`` running windows
+   (ascending for previous, descending for next -- growing frames are linear,
+   ``currentRow..unboundedFollowing`` frames are re-evaluated per row).
+4. Grid (J3): each bucket expands with ``sequence(slot, next_slot - step)``
+   into itself and the empty slots after it; every slot is filled from its
+   bucket's anchors. A narrow explode replaces a dense left join plus dense
+   windows. Keys whose grid exceeds ``max_slots`` raise instead of silently
+   multiplying rows; window partitions hold one key's buckets (<= slots).
 """
 
 from __future__ import annotations
@@ -112,42 +114,51 @@ def resample(
         )
     means = bucketed.groupBy(*gkeys, "__slot").agg(*[F.avg(c).alias(c) for c in cols])
 
-    bounds = means.groupBy(*gkeys).agg(F.min("__slot").alias("__lo"), F.max("__slot").alias("__hi"))
-    n_slots = (F.col("__hi") - F.col("__lo")) / F.lit(step) + 1
-    grid = bounds.select(
-        *gkeys,
-        F.explode(
-            F.when(n_slots > max_slots, F.raise_error(F.lit(f"resample grid exceeds max_slots={max_slots}")).cast(
-                "array<bigint>"
-            )).otherwise(F.sequence("__lo", "__hi", F.lit(step).cast("bigint")))
-        ).alias("__slot"),
+    # Interpolate on the sparse bucket table, then expand each bucket into the
+    # grid slots up to the next bucket (no dense join, no dense window).
+    w_key = Window.partitionBy(*gkeys)
+    w_asc = Window.partitionBy(*gkeys).orderBy("__slot")
+    w_prev = w_asc.rowsBetween(Window.unboundedPreceding, -1)
+    w_next = Window.partitionBy(*gkeys).orderBy(F.col("__slot").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    seg = means.select(
+        "*",
+        F.lead("__slot").over(w_asc).alias("__next_slot"),
+        ((F.max("__slot").over(w_key) - F.min("__slot").over(w_key)) / F.lit(step) + 1).alias("__n_slots"),
+        *[e for c in cols for e in (
+            F.last(F.col(c), True).over(w_prev).alias(f"__pv_{c}"),
+            F.last(F.when(F.col(c).isNotNull(), F.col("__slot")), True).over(w_prev).alias(f"__pt_{c}"),
+            F.last(F.col(c), True).over(w_next).alias(f"__nv_{c}"),
+            F.last(F.when(F.col(c).isNotNull(), F.col("__slot")), True).over(w_next).alias(f"__nt_{c}"),
+        )],
     )
-    filled = grid.join(means, [*gkeys, "__slot"], "left")
+    last_slot = F.coalesce(F.col("__next_slot") - F.lit(step), F.col("__slot"))
+    slots = F.when(F.col("__n_slots") > max_slots,
+                   F.raise_error(F.lit(f"resample grid exceeds max_slots={max_slots}")).cast("array<bigint>")
+                   ).otherwise(F.sequence(F.col("__slot"), last_slot, F.lit(step).cast("bigint")))
+    filled = seg.select("*", F.explode(slots).alias("__s"))
 
-    w_prev = Window.partitionBy(*gkeys).orderBy("__slot").rowsBetween(Window.unboundedPreceding, 0)
-    # "Next known" uses a descending running frame: Spark re-evaluates
-    # current..unboundedFollowing frames per row (quadratic), growing frames are linear.
-    w_next = Window.partitionBy(*gkeys).orderBy(F.col("__slot").desc()).rowsBetween(Window.unboundedPreceding, 0)
     out_cols = []
     for c in cols:
-        v = F.col(c)
-        known_t = F.when(v.isNotNull(), F.col("__slot"))
-        pv, pt = F.last(v, True).over(w_prev), F.last(known_t, True).over(w_prev)
-        nv, nt = F.last(v, True).over(w_next), F.last(known_t, True).over(w_next)
+        own = F.col(c)
+        # Known point at or before the slot, and strictly after this bucket.
+        pv = F.when(own.isNotNull(), own).otherwise(F.col(f"__pv_{c}"))
+        pt = F.when(own.isNotNull(), F.col("__slot")).otherwise(F.col(f"__pt_{c}"))
+        nv, nt = F.col(f"__nv_{c}"), F.col(f"__nt_{c}")
+        s_ = F.col("__s")
         if method == "linear":
-            inner = pv + (nv - pv) * (F.col("__slot") - pt).cast("double") / (nt - pt).cast("double")
+            inner = pv + (nv - pv) * (s_ - pt).cast("double") / (nt - pt).cast("double")
         elif method == "ffill":
             inner = pv
         elif method == "bfill":
             inner = nv
         else:  # nearest; an exact tie takes the earlier value
-            inner = F.when((F.col("__slot") - pt) <= (nt - F.col("__slot")), pv).otherwise(nv)
+            inner = F.when((s_ - pt) <= (nt - s_), pv).otherwise(nv)
         val = (
-            F.when(v.isNotNull(), v)
+            F.when((s_ == F.col("__slot")) & own.isNotNull(), own)
             .when(pv.isNotNull() & nv.isNotNull(), inner)
             .when(pv.isNotNull(), pv)
             .otherwise(nv)
         )
         out_cols.append(val.alias(c))
-    ts_out = F.timestamp_micros("__slot").cast("timestamp_ntz").alias(time_col)
+    ts_out = F.timestamp_micros("__s").cast("timestamp_ntz").alias(time_col)
     return filled.select(*keys, ts_out, *out_cols)

@@ -17,8 +17,22 @@ from pulsekit.operators import features as fx
 EVENT_INTENSITY = {"view": 0, "click": 1, "purchase": 2, "signup": 3, "error": 4}
 
 
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster's task slots.
+
+    The split count comes from file metadata (no job). A small file stored as
+    one row group is read by one task, which then runs every narrow operator
+    (unpivot, grid expansion) alone; a round-robin repartition costs little
+    at that size. Large inputs already have many splits and are untouched.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def vitals_from_events(events: DataFrame, risk_offset: float = 0.0) -> DataFrame:
