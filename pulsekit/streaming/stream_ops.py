@@ -64,10 +64,15 @@ def start(
     path: str | None = None,
     output_mode: str = "append",
     trigger_seconds: int | None = None,
+    checkpoint_location: str | None = None,
 ) -> StreamingQuery:
-    """Start a query with its progress checkpoint under the shared checkpoint folder."""
+    """Start a query; progress is checkpointed under the shared checkpoint folder.
+
+    The default location is stable per query name so a restarted query
+    resumes where it stopped (exactly-once with file sinks).
+    """
     spark = df.sparkSession
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    ckpt = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     w = df.writeStream.queryName(name).outputMode(output_mode).option("checkpointLocation", ckpt)
     if trigger_seconds:
         w = w.trigger(processingTime=f"{trigger_seconds} seconds")

@@ -15,7 +15,7 @@ def test_stream_matches_batch(spark, tmp_path):
     batch_events = spark.read.parquet(str(src))
     stream = read_stream(spark, str(src), batch_events.schema)
     anon = quarantine_stream(anonymize_stream(vitals_from_events(stream), "salt"))
-    q = start(anon.select("patient_id", "is_valid"), "anon_test", sink="memory")
+    q = start(anon.select("patient_id", "is_valid"), "anon_test", sink="memory", checkpoint_location=str(tmp_path / "c1"))
     q.processAllAvailable()
     q.stop()
     got = spark.sql("SELECT count(*) AS n, count_if(is_valid) AS v FROM anon_test").first()
@@ -23,7 +23,7 @@ def test_stream_matches_batch(spark, tmp_path):
     assert got.n == ref.count() and got.v <= got.n
 
     means = bucket_means_stream(vitals_from_events(stream), ["hr_bpm"], freq="15 minutes", watermark="1 hour")
-    q2 = start(means, "means_test", sink="memory", output_mode="update")
+    q2 = start(means, "means_test", sink="memory", output_mode="update", checkpoint_location=str(tmp_path / "c2"))
     q2.processAllAvailable()
     q2.stop()
     streamed = spark.sql("SELECT patient_id, timestamp, hr_bpm FROM means_test")
@@ -32,3 +32,25 @@ def test_stream_matches_batch(spark, tmp_path):
              .groupBy("patient_id", (F.floor(F.col("b") / 900) * 900).alias("s"))
              .agg(F.avg("hr_bpm").alias("hr_bpm")))
     assert streamed.count() == batch.count()
+
+
+def test_drift_job_and_catalog(spark, tmp_path):
+    from pulsekit.plans.drift_job import run_drift_check
+    from pulsekit.plans.training import run_catalog
+    from pulsekit.sources.adapter import load_vitals
+
+    v = load_vitals(spark, SF)
+    ref = v.where(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    cur = v.where(F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp_ntz")).withColumn("hr_bpm", F.col("hr_bpm") + 45)
+    ref.write.parquet(str(tmp_path / "ref.parquet"))
+    cur.write.parquet(str(tmp_path / "cur.parquet"))
+    out = run_drift_check(spark, str(tmp_path / "ref.parquet"), str(tmp_path / "cur.parquet"), str(tmp_path / "report"),
+                          features=["hr_bpm", "spo2_percent"], alerts_output=str(tmp_path / "alerts"))
+    assert out["feature_metrics"]["hr_bpm"]["drift_detected"] and out["requires_retraining"]
+    assert spark.read.json(str(tmp_path / "alerts")).count() == 2
+
+    res = run_catalog(spark, v, str(tmp_path / "registry"), models=["spo2_critical", "sleep_quality"],
+                      trainer_kw={"spo2_critical": {"num_trees": 5}, "sleep_quality": {"num_trees": 5}})
+    assert set(res["models"]) == {"spo2_critical", "sleep_quality"}
+    assert {r["model_id"] for r in res["registry"]} == {"spo2_critical", "sleep_quality"}
+    assert res["facts"]["audit"]["records_consented_processed"] > 0
