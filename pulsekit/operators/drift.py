@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsekit.functions import ks_pvalue, round_half_up
-from pulsekit.operators.ordered import running_totals
+from pulsekit.operators.ordered import materialize, running_totals
 from pulsekit.schema import DRIFT_P_VALUE, DRIFT_PSI, PSI_BUCKETS, PSI_FLOOR
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -71,12 +71,12 @@ def feature_drift(
     long = to_long(reference, features, "ref").unionByName(to_long(current, features, "cur"))
 
     # The only pass over the raw rows: counts per (feature, value) and side.
-    # Partial aggregation shrinks it map-side; every statistic below is
-    # derived from this compact table (its exchange is reused by Spark).
-    per_value = long.groupBy("feature_idx", "value").agg(
+    # Partial aggregation shrinks it map-side; it is checkpointed once and
+    # every statistic below is derived from the checkpointed compact table.
+    per_value = materialize(long.groupBy("feature_idx", "value").agg(
         F.count_if(F.col("side") == "ref").cast("bigint").alias("a_ref"),
         F.count_if(F.col("side") == "cur").cast("bigint").alias("a_cur"),
-    )
+    ))
     counts = per_value.groupBy("feature_idx").agg(F.sum("a_ref").alias("n_ref"), F.sum("a_cur").alias("n_cur"))
     counts = counts.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
 

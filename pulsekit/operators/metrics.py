@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.functions import round_half_up, safe_ratio
-from pulsekit.operators.ordered import running_totals
+from pulsekit.operators.ordered import materialize, running_totals
 
 
 def _label(c: str):
@@ -107,7 +107,7 @@ def rank_auc(
         .groupBy(*by, s.alias("__s"))
         .agg(F.count_if(t == 1).alias("__pos"), F.count_if(t == 0).alias("__neg"))
     )
-    cum = running_totals(per_score, by, ["__s"], ["__neg"], n_buckets=n_buckets)
+    cum = running_totals(materialize(per_score), by, ["__s"], ["__neg"], n_buckets=n_buckets)
     # 2 * pos * (neg strictly below + neg tied / 2), kept in exact integers.
     twice = F.col("__pos") * (2 * (F.col("cum___neg") - F.col("__neg")) + F.col("__neg"))
     agg = cum.groupBy(*by).agg(

@@ -6,13 +6,20 @@ positions) need cumulative sums over a sort order. A plain
 task. Instead:
 
 1. The input is already one row per distinct (group, order key), so ties are
-   whole before anything else happens.
-2. Per group, ``percentile_approx`` picks B-1 cut points of the leading order
-   key (B = ``n_buckets``); each row gets bucket = number of cuts below it.
-3. Bucket totals (groups x B rows) get exclusive running offsets with a window
-   over that tiny table.
-4. Offsets are joined back (groups x B rows) and a window partitioned by
-   (group, bucket) adds the within-bucket running sum.
+   whole before anything else happens. Callers checkpoint it (``materialize``)
+   because it is read several times.
+2. Per group, B-1 approximate quantiles of the leading order key (B =
+   ``n_buckets``) cut it into buckets; bucket = number of cuts below the key.
+3. Bucket totals (groups x B rows) get exclusive running offsets.
+4. A window partitioned by (group, bucket) adds the within-bucket running sum
+   to the bucket's offset.
+
+Ungrouped (one global order, e.g. exact patient ranks or a global AUC): the
+cuts come from ``approxQuantile`` and the offsets from B totals, both brought
+to the driver (B numbers, independent of the data) and inlined as literals,
+so there is no join and no single-partition window. Grouped: cuts and
+offsets are small tables equi-joined on the group keys (AQE broadcasts them
+when they are small).
 
 Every window partition is bounded by roughly rows / B; raise ``n_buckets`` with
 the data size. The result is exact; only the balance of buckets is approximate.
@@ -20,10 +27,21 @@ the data size. The result is exact; only the balance of buckets is approximate.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_CONST = "__ord_g"
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a compact intermediate once and cut its lineage.
+
+    Persist, write a reliable checkpoint to the shared ``spark.checkpoint.dir``
+    (survives executor loss), then drop the cache: later reads come from the
+    checkpoint files, so several consumers share one computation.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def running_totals(
@@ -38,19 +56,39 @@ def running_totals(
     """Add ``cum_<c>`` = inclusive running sum of ``c`` per group in ``order_cols`` order.
 
     ``order_cols[0]`` must be numeric (it drives the bucket cuts); the full
-    ``order_cols`` list must identify a row within a group.
+    ``order_cols`` list must identify a row within a group. Pass a
+    materialised (checkpointed or cached) input: it is read several times.
+
+    Without groups, the B-1 cut points and the B bucket offsets are brought to
+    the driver (bounded by B, independent of the data) and inlined as
+    literals, so no join is needed at all.
     """
-    groups = list(group_cols) or [_CONST]
-    base = df if group_cols else df.withColumn(_CONST, F.lit(0))
     key = F.col(order_cols[0]).cast("double")
     probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
-    cuts = base.groupBy(*groups).agg(F.percentile_approx(key, probs, accuracy).alias("__cuts"))
+    w_in = Window.partitionBy(*group_cols, "__b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+
     if not group_cols:
-        cuts = F.broadcast(cuts)  # exactly one row
-    bucketed = base.join(cuts, groups).withColumn(
-        "__b", F.size(F.filter("__cuts", lambda c: c < F.col(order_cols[0]).cast("double")))
-    ).drop("__cuts")
+        cuts = sorted(set(df.stat.approxQuantile(order_cols[0], probs, 1.0 / accuracy))) if n_buckets > 1 else []
+        cut_arr = F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>")
+        bucketed = df.withColumn("__b", F.size(F.filter(cut_arr, lambda c: c < key)))
+        totals = bucketed.groupBy("__b").agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(sum_cols)]).collect()
+        by_b = {r["__b"]: r for r in totals}
+        outs = []
+        for i, c in enumerate(sum_cols):
+            run, offs = 0, []
+            for b in range(len(cuts) + 1):
+                offs.append(run)
+                t = by_b.get(b)
+                run += (t[f"__t{i}"] or 0) if t is not None else 0
+            off = F.element_at(F.array(*[F.lit(int(o)) for o in offs]), F.col("__b") + 1)
+            outs.append((off + F.sum(c).over(w_in)).alias(f"{prefix}{c}"))
+        return bucketed.select(*df.columns, *outs)
 
+    groups = list(group_cols)
+    cuts = df.groupBy(*groups).agg(F.percentile_approx(key, probs, accuracy).alias("__cuts"))
+    bucketed = df.join(cuts, groups).withColumn(
+        "__b", F.size(F.filter("__cuts", lambda c: c < key))
+    ).drop("__cuts")
     totals = bucketed.groupBy(*groups, "__b").agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(sum_cols)])
     w_off = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -58,12 +96,8 @@ def running_totals(
         "__b",
         *[F.coalesce(F.sum(f"__t{i}").over(w_off), F.lit(0)).alias(f"__o{i}") for i in range(len(sum_cols))],
     )
-    if not group_cols:
-        offsets = F.broadcast(offsets)  # at most n_buckets rows
     joined = bucketed.join(offsets, [*groups, "__b"])
-    w_in = Window.partitionBy(*groups, "__b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    out = joined.select(
-        *[c for c in df.columns],
+    return joined.select(
+        *df.columns,
         *[(F.col(f"__o{i}") + F.sum(c).over(w_in)).alias(f"{prefix}{c}") for i, c in enumerate(sum_cols)],
     )
-    return out

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.operators.ordered import running_totals
+from pulsekit.operators.ordered import materialize, running_totals
 
 
 def split_sizes(n: int, ratios: tuple[float, float, float] = (0.70, 0.15, 0.15)) -> dict[str, int]:
@@ -44,7 +44,7 @@ def rank_ids(df: DataFrame, id_col: str = "patient_id", seed: int = 42, n_bucket
         F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint").alias("__hk"),
         F.lit(1).cast("bigint").alias("__one"),
     )
-    ranked = running_totals(keyed, [], ["__hk", "__h"], ["__one"], n_buckets=n_buckets)
+    ranked = running_totals(materialize(keyed), [], ["__hk", "__h"], ["__one"], n_buckets=n_buckets)
     return ranked.select(id_col, F.col("cum___one").alias("rank"))
 
 
@@ -58,8 +58,8 @@ def assign_splits(
     """(id, rank, split) per distinct id. One action: the distinct-id count."""
     if id_col not in df.columns:
         raise ValueError(f"Cannot split by patient: '{id_col}' column not present.")
-    ranked = rank_ids(df, id_col, seed, n_buckets)
-    n = df.where(F.col(id_col).isNotNull()).select(id_col).distinct().count()
+    ranked = materialize(rank_ids(df, id_col, seed, n_buckets))
+    n = ranked.count()
     s = split_sizes(n, ratios)
     bt, bv = s["base_train"], s["base_val"]
     r = F.col("rank")
