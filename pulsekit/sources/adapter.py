@@ -24,8 +24,10 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     one row group is read by one task, which then runs every narrow operator
     (unpivot, grid expansion) alone; a round-robin repartition costs little
     at that size. Large inputs already have many splits and are untouched.
+    ``pulsekit.minScanPartitions`` overrides the target (1 disables it).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    target = int(spark.conf.get("pulsekit.minScanPartitions", str(spark.sparkContext.defaultParallelism)))
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
