@@ -59,7 +59,7 @@ def feature_drift(
     p_value_threshold: float = DRIFT_P_VALUE,
     psi_threshold: float = DRIFT_PSI,
     exact: bool = True,
-    n_buckets_rank: int = 64,
+    n_buckets_rank: int | None = None,
 ) -> DataFrame:
     """Per-feature KS statistic, p-value, PSI and drift flag.
 

@@ -91,7 +91,7 @@ def regression_metrics(df: DataFrame, y_true: str, y_pred: str, by: list[str] |
 
 
 def rank_auc(
-    df: DataFrame, y_true: str, score: str, by: list[str] | None = None, n_buckets: int = 64
+    df: DataFrame, y_true: str, score: str, by: list[str] | None = None, n_buckets: int | None = None
 ) -> DataFrame:
     """P(score of a positive > score of a negative), ties count 1/2 (exact).
 

@@ -21,12 +21,16 @@ so there is no join and no single-partition window. Grouped: cuts and
 offsets are small tables equi-joined on the group keys (AQE broadcasts them
 when they are small).
 
-Every window partition is bounded by roughly rows / B; raise ``n_buckets`` with
-the data size. The result is exact; only the balance of buckets is approximate.
+Every window partition is bounded by roughly rows / B. By default B is chosen
+from the input size (``rows_per_bucket``), so the bound holds at any scale;
+inputs below it skip the cuts. The result is exact; only the balance of
+buckets is approximate.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,9 +53,10 @@ def running_totals(
     group_cols: list[str],
     order_cols: list[str],
     sum_cols: list[str],
-    n_buckets: int = 64,
+    n_buckets: int | None = None,
     accuracy: int = 10000,
     prefix: str = "cum_",
+    rows_per_bucket: int = 2_000_000,
 ) -> DataFrame:
     """Add ``cum_<c>`` = inclusive running sum of ``c`` per group in ``order_cols`` order.
 
@@ -63,10 +68,19 @@ def running_totals(
     the driver (bounded by B, independent of the data) and inlined as
     literals, so no join is needed at all.
     """
+    if n_buckets is None:
+        # Data-driven: every window partition holds about rows_per_bucket rows
+        # or fewer, whatever the input size (one cheap count of the input).
+        n_buckets = max(1, math.ceil(df.count() / rows_per_bucket))
     key = F.col(order_cols[0]).cast("double")
     probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
     w_in = Window.partitionBy(*group_cols, "__b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
 
+    if n_buckets == 1:
+        # Input of at most rows_per_bucket rows: one bounded window partition per group.
+        one = df.withColumn("__b", F.lit(0))
+        return one.select(*df.columns, *[F.sum(c).over(w_in).alias(f"{prefix}{c}") for c in sum_cols])
+
     if not group_cols:
         cuts = sorted(set(df.stat.approxQuantile(order_cols[0], probs, 1.0 / accuracy))) if n_buckets > 1 else []
         cut_arr = F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>")

@@ -34,7 +34,7 @@ def split_sizes(n: int, ratios: tuple[float, float, float] = (0.70, 0.15, 0.15))
             "to_val": to_val, "to_test": to_test, "base_train": n_train + to_val + to_test, "base_val": n_val}
 
 
-def rank_ids(df: DataFrame, id_col: str = "patient_id", seed: int = 42, n_buckets: int = 64) -> DataFrame:
+def rank_ids(df: DataFrame, id_col: str = "patient_id", seed: int = 42, n_buckets: int | None = None) -> DataFrame:
     """(id, rank) for every distinct non-NULL id in seeded-hash order, rank 1-based."""
     ids = df.select(F.col(id_col).cast("string").alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
     h = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(id_col)), 256)
@@ -53,7 +53,7 @@ def assign_splits(
     id_col: str = "patient_id",
     ratios: tuple[float, float, float] = (0.70, 0.15, 0.15),
     seed: int = 42,
-    n_buckets: int = 64,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """(id, rank, split) per distinct id. One action: the distinct-id count."""
     if id_col not in df.columns:
