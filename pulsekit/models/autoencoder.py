@@ -2,9 +2,10 @@
 
 Each iteration is one Spark job: every partition computes the gradient sum
 of the squared reconstruction loss over its rows with NumPy
-(``mapInPandas``) and returns ONE row; the driver adds the per-partition
-rows (bounded by the partition count, not the data) and takes an Adam step
-on the 362 parameters. The training frame is persisted once
+(``mapInPandas``) and emits it in long form (parameter index, value); a
+grouped sum with map-side partial aggregation adds the partitions, so the
+driver receives 363 numbers whatever the partition count, and takes an Adam
+step on the 362 parameters. The training frame is persisted once
 (MEMORY_AND_DISK) and reused by every iteration. Scoring is an Arrow
 ``pandas_udf``: error = mean squared reconstruction error per row.
 """
@@ -113,8 +114,7 @@ def fit_autoencoder(
         b1, b2, eps = 0.9, 0.999, 1e-8
         prev = None
         size = len(vec)
-        schema = T.StructType([T.StructField("grad", T.ArrayType(T.DoubleType())),
-                               T.StructField("loss", T.DoubleType())])
+        schema = T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("g", T.DoubleType())])
         for it in range(1, max_iter + 1):
             cur = _unflatten(vec, layers)
 
@@ -127,11 +127,15 @@ def fit_autoencoder(
                     g, l = _grad_sum(cur, pdf[features].to_numpy(dtype=float))
                     g_tot += _flatten(g)
                     l_tot += l
-                yield pd.DataFrame({"grad": [g_tot.tolist()], "loss": [l_tot]})
-
-            rows = data.mapInPandas(part, schema).collect()  # one row per partition
-            grad = np.sum([np.asarray(r.grad) for r in rows], axis=0) / n + alpha * vec
-            loss = sum(r.loss for r in rows) / n
+                # long form: index -1 carries the loss; summed by a partial aggregate
+                yield pd.DataFrame({"idx": np.arange(-1, size, dtype=np.int32), "g": np.concatenate([[l_tot], g_tot])})
+
+            sums = data.mapInPandas(part, schema).groupBy("idx").agg(F.sum("g").alias("g")).collect()
+            total = np.zeros(size + 1)
+            for r in sums:
+                total[r.idx + 1] = r.g
+            grad = total[1:] / n + alpha * vec
+            loss = total[0] / n
             m1 = b1 * m1 + (1 - b1) * grad
             m2 = b2 * m2 + (1 - b2) * grad * grad
             step = learning_rate * (m1 / (1 - b1 ** it)) / (np.sqrt(m2 / (1 - b2 ** it)) + eps)
