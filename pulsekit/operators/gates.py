@@ -14,6 +14,19 @@ from pyspark.sql import functions as F
 
 from pulsekit.functions import round_half_up
 from pulsekit.schema import (
+    ACTIVITY_GATE,
+    ALERT_MODEL_TYPES,
+    GLUCOSE_GATE,
+    REGRESSION_MODEL_TYPES,
+    RISK_GATE,
+    SLEEP_GATE,
+    STATUS_DEFAULT_FPR,
+    STATUS_DEFAULT_MAE,
+    STATUS_MAX_FPR,
+    STATUS_MAX_MAE,
+    STATUS_MIN_ACCURACY,
+    STATUS_MIN_R2,
+    STATUS_MIN_RECALL,
     GATE_MAX_FPR,
     GATE_MAX_LATENCY_P95_MS,
     GATE_MAX_SIZE_MB,
@@ -75,25 +88,29 @@ def require_approval(gated: DataFrame, key_cols: list[str]) -> None:
         raise ClinicalThresholdViolation("Model rejected due to clinical safety violations:\n - " + "\n - ".join(lines))
 
 
-# Per-model gates (thresholds are fixed values of the original rules).
+# Per-model gates (thresholds in ``schema``).
+def _device_gate(df: DataFrame, g: dict, accuracy_col: str) -> Column:
+    return ((metric(df, accuracy_col) >= g["min_accuracy"]) & (metric(df, "latency_p95_ms") < g["max_latency_p95_ms"])
+            & (metric(df, "size_mb") < g["max_size_mb"]))
+
+
 def sleep_gate(df: DataFrame, accuracy_col: str = "accuracy") -> Column:
-    return (metric(df, accuracy_col) >= 0.60) & (metric(df, "latency_p95_ms") < 10.0) & (metric(df, "size_mb") < 2.0)
+    return _device_gate(df, SLEEP_GATE, accuracy_col)
 
 
-def activity_gate(df: DataFrame) -> Column:
-    return (metric(df, "accuracy") >= 0.85) & (metric(df, "latency_p95_ms") < 5.0) & (metric(df, "size_mb") < 2.0)
+def activity_gate(df: DataFrame, accuracy_col: str = "accuracy") -> Column:
+    return _device_gate(df, ACTIVITY_GATE, accuracy_col)
 
 
 def glucose_gate(df: DataFrame) -> Column:
-    return (metric(df, "recall", "sensitivity") >= 0.85) & (metric(df, "false_positive_rate", "fpr") <= 0.10)
+    return ((metric(df, "recall", "sensitivity") >= GLUCOSE_GATE["min_recall"])
+            & (metric(df, "false_positive_rate", "fpr") <= GLUCOSE_GATE["max_fpr"]))
 
 
 def risk_gate(df: DataFrame) -> Column:
-    return metric(df, "r2_score", "r2") >= 0.75
+    return metric(df, "r2_score", "r2") >= RISK_GATE["min_r2"]
 
 
-ALERT_TYPES = ["anomaly_detection", "critical_alert", "classifier"]
-REGRESSION_TYPES = ["regression", "risk_scoring", "continuous_prediction"]
 METRIC_COLUMNS = ["recall", "sensitivity", "false_positive_rate", "fpr", "precision", "accuracy", "r2_score", "r2", "mae"]
 
 
@@ -109,16 +126,17 @@ def registry_status(df: DataFrame, type_col: str = "model_type", compat: bool =
     for c in present:
         empty = empty & F.col(c).isNull()
     recall = metric(df, "recall") if compat else metric(df, "recall", "sensitivity")
-    fpr = metric(df, "fpr", default=1.0) if compat else metric(df, "false_positive_rate", "fpr", default=1.0)
+    fpr = (metric(df, "fpr", default=STATUS_DEFAULT_FPR) if compat
+           else metric(df, "false_positive_rate", "fpr", default=STATUS_DEFAULT_FPR))
     acc = metric(df, "accuracy")
     r2 = metric(df, "r2") if compat else metric(df, "r2_score", "r2")
-    mae = metric(df, "mae", default=999.0)
+    mae = metric(df, "mae", default=STATUS_DEFAULT_MAE)
     t = F.col(type_col)
+    alert_ok = ((recall >= STATUS_MIN_RECALL) & (fpr <= STATUS_MAX_FPR)) | (acc >= STATUS_MIN_ACCURACY)
+    regression_ok = (r2 >= STATUS_MIN_R2) | (mae <= STATUS_MAX_MAE)
     return (
         F.when(empty, F.lit("staged"))
-        .when(t.isin(ALERT_TYPES),
-              F.when(((recall >= 0.95) & (fpr <= 0.05)) | (acc >= 0.85), F.lit("production")).otherwise("rejected"))
-        .when(t.isin(REGRESSION_TYPES),
-              F.when((r2 >= 0.80) | (mae <= 10.0), F.lit("production")).otherwise("rejected"))
+        .when(t.isin(ALERT_MODEL_TYPES), F.when(alert_ok, F.lit("production")).otherwise("rejected"))
+        .when(t.isin(REGRESSION_MODEL_TYPES), F.when(regression_ok, F.lit("production")).otherwise("rejected"))
         .otherwise(F.lit("staged"))
     )

@@ -84,6 +84,23 @@ GATE_MIN_PRECISION = 0.80
 GATE_MAX_LATENCY_P95_MS = 5.0
 GATE_MAX_SIZE_MB = 2.0
 
+# Per-model gates: minimums use >=; latency and size maxima are strict (<); the glucose FPR maximum uses <=.
+SLEEP_GATE = {"min_accuracy": 0.60, "max_latency_p95_ms": 10.0, "max_size_mb": 2.0}  # strict < for latency, size
+ACTIVITY_GATE = {"min_accuracy": 0.85, "max_latency_p95_ms": 5.0, "max_size_mb": 2.0}  # strict < for latency, size
+GLUCOSE_GATE = {"min_recall": 0.85, "max_fpr": 0.10}
+RISK_GATE = {"min_r2": 0.75}
+
+# Registry status rules.
+ALERT_MODEL_TYPES = ["anomaly_detection", "critical_alert", "classifier"]
+REGRESSION_MODEL_TYPES = ["regression", "risk_scoring", "continuous_prediction"]
+STATUS_MIN_RECALL = 0.95
+STATUS_MAX_FPR = 0.05
+STATUS_MIN_ACCURACY = 0.85
+STATUS_MIN_R2 = 0.80
+STATUS_MAX_MAE = 10.0
+STATUS_DEFAULT_FPR = 1.0
+STATUS_DEFAULT_MAE = 999.0
+
 # Drift thresholds.
 DRIFT_P_VALUE = 0.05
 DRIFT_PSI = 0.20

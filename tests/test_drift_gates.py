@@ -124,3 +124,19 @@ def test_registry_upsert_roundtrip(spark, tmp_path):
     latest = reg.get_latest_model("spo2")
     assert latest["version"] == "1.10.0" and latest["status"] == "staged"
     assert reg.get_latest_model("nope") is None
+
+
+def test_drift_and_tokens_invariant_to_partitioning(spark):
+    from pulsekit.operators import privacy
+
+    rng = random.Random(11)
+    ref = spark.createDataFrame([(float(rng.randint(0, 50)), rng.random()) for _ in range(400)], "a double, b double")
+    cur = spark.createDataFrame([(float(rng.randint(3, 60)), rng.random()) for _ in range(300)], "a double, b double")
+    base = sorted(tuple(r) for r in drift.feature_drift(ref, cur).collect())
+    for n in (1, 7, 64):
+        got = sorted(tuple(r) for r in drift.feature_drift(ref.repartition(n), cur.repartition(n)).collect())
+        assert got == base
+    ids = spark.createDataFrame([(f"P{i}", True) for i in range(50)], "patient_id string, consent_for_ml_training boolean")
+    t1 = sorted(r.patient_id for r in privacy.pseudonymize(ids, "s").collect())
+    t2 = sorted(r.patient_id for r in privacy.pseudonymize(ids.repartition(13), "s").collect())
+    assert t1 == t2 and len(set(t1)) == 50
