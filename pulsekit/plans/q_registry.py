@@ -123,7 +123,7 @@ def q_model_gates(spark, sf_dir):
 _TYPES = ["anomaly_detection", "classifier", "risk_scoring", "other"]
 
 
-def _status_query2(compat: bool):
+def _status_query(compat: bool):
     def q(spark, sf_dir):
         pm = patient_metrics(load_vitals(spark, sf_dir))
         code = F.substring_index("patient_id", "-", -1).cast("int") % 4
@@ -134,7 +134,7 @@ def _status_query2(compat: bool):
     return q
 
 
-def _status_oracle2(compat: bool) -> str:
+def _status_oracle(compat: bool) -> str:
     fpr = "1.0" if compat else "coalesce(false_positive_rate, 1.0)"
     r2 = "0.0" if compat else "coalesce(r2_score, 0.0)"
     types = ", ".join(f"'{t}'" for t in _TYPES)
@@ -150,8 +150,8 @@ def _status_oracle2(compat: bool) -> str:
     )
 
 
-register("registry_status", _status_oracle2(False))(_status_query2(False))
-register("registry_status_compat", _status_oracle2(True))(_status_query2(True))
+register("registry_status", _status_oracle(False))(_status_query(False))
+register("registry_status_compat", _status_oracle(True))(_status_query(True))
 
 
 # ---------------------------------------------------------------------------

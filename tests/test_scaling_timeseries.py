@@ -87,3 +87,30 @@ def test_clock_drift_fixture(spark):
     r = timeseries.clock_drift(df, "d", "s").first()
     assert r.mean_drift_sec == pytest.approx(0.4 / 3) and r.max_drift_sec == pytest.approx(0.2)
     assert r.is_drift_critical is False
+
+
+def test_resample_hot_key_matches_pandas(spark):
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(4)
+    start = _ts("2026-03-01 00:00:00")
+    rows = []
+    for pid, n in (("hot", 600), ("a", 150), ("b", 150)):  # one key holds two thirds of the rows
+        t = start
+        for _ in range(n):
+            t += dt.timedelta(seconds=rng.randint(30, 900))
+            rows.append((pid, t, None if rng.random() < 0.1 else rng.uniform(50, 120)))
+    df = spark.createDataFrame(rows, "patient_id string, timestamp timestamp_ntz, hr_bpm double")
+    got = {(r.patient_id, r.timestamp): r.hr_bpm for r in timeseries.resample(df.repartition(5), freq="7min").collect()}
+    pdf = pd.DataFrame(rows, columns=["patient_id", "timestamp", "hr_bpm"])
+    expected = {}
+    for pid, g in pdf.groupby("patient_id"):
+        s = g.set_index("timestamp")["hr_bpm"].astype(float).resample("7min").mean()
+        s = s.interpolate(method="linear").bfill().ffill()
+        for ts, v in s.items():
+            expected[(pid, ts.to_pydatetime())] = v
+    assert set(got) == set(expected)
+    for k, v in expected.items():
+        assert got[k] == pytest.approx(v, rel=1e-9, abs=1e-9)
