@@ -22,6 +22,8 @@ features (a schema property), so broadcasting them is safe.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,23 @@ def auto_features(reference: DataFrame, current: DataFrame) -> list[str]:
     return [f.name for f in reference.schema.fields if isinstance(f.dataType, _NUMERIC) and f.name in cur]
 
 
+def ks_pvalue_exact_equal(d: float, n: int) -> float:
+    """Exact two-sided KS p-value for two samples of equal size n (D = k/n).
+
+    p = 2 * sum_{j>=1} (-1)^(j+1) C(2n, n-jk) / C(2n, n), evaluated with
+    log-gamma; driver arithmetic on one number per feature.
+    """
+    k = round(d * n)
+    if k <= 0:
+        return 1.0
+    total, j = 0.0, 1
+    log_mid = 2.0 * math.lgamma(n + 1)
+    while n - j * k >= 0:
+        total += (-1) ** (j + 1) * math.exp(log_mid - math.lgamma(n - j * k + 1) - math.lgamma(n + j * k + 1))
+        j += 1
+    return min(1.0, max(0.0, 2.0 * total))
+
+
 def to_long(df: DataFrame, features: list[str], side: str) -> DataFrame:
     """(feature_idx, value, side) with NULL and NaN removed."""
     rows = F.array(
@@ -60,12 +79,18 @@ def feature_drift(
     psi_threshold: float = DRIFT_PSI,
     exact: bool = True,
     n_buckets_rank: int | None = None,
+    p_method: str = "asymptotic",
+    exact_max_n: int = 10_000,
 ) -> DataFrame:
     """Per-feature KS statistic, p-value, PSI and drift flag.
 
     Unrounded ``ks_raw``, ``p_raw``, ``psi_raw`` are kept for the decision;
     ``ks_statistic`` (4 dp), ``p_value`` (5 dp) and ``psi`` (4 dp) are reported.
     A feature with no values on either side is skipped (no row).
+
+    ``p_method="exact"`` replaces the asymptotic p-value by the exact
+    equal-size distribution where n_ref == n_cur <= ``exact_max_n`` (one small
+    action: the per-feature D and counts are brought to the driver).
     """
     features = features if features is not None else auto_features(reference, current)
     long = to_long(reference, features, "ref").unionByName(to_long(current, features, "cur"))
@@ -115,6 +140,17 @@ def feature_drift(
     counts = counts.withColumn("feature", F.element_at(names, F.col("feature_idx") + 1))
     res = counts.join(ks, "feature_idx").join(psi, "feature_idx")
     res = res.withColumn("p_raw", ks_pvalue("ks_raw", "n_ref", "n_cur"))
+    if p_method == "exact":
+        spark = res.sparkSession
+        small = [(r.feature_idx, ks_pvalue_exact_equal(r.ks_raw, int(r.n_ref)))
+                 for r in res.select("feature_idx", "ks_raw", "n_ref", "n_cur").collect()  # one row per feature
+                 if r.n_ref == r.n_cur and r.n_ref <= exact_max_n]
+        if small:
+            exact_p = spark.createDataFrame(small, "feature_idx int, p_exact double")
+            res = res.join(F.broadcast(exact_p), "feature_idx", "left").withColumn(
+                "p_raw", F.coalesce("p_exact", "p_raw")).drop("p_exact")
+    elif p_method != "asymptotic":
+        raise ValueError(f"unknown p_method: {p_method}")
     res = res.withColumn(
         "drift_detected", (F.col("p_raw") < p_value_threshold) | (F.col("psi_raw") > psi_threshold)
     )

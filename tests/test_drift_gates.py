@@ -140,3 +140,13 @@ def test_drift_and_tokens_invariant_to_partitioning(spark):
     t1 = sorted(r.patient_id for r in privacy.pseudonymize(ids, "s").collect())
     t2 = sorted(r.patient_id for r in privacy.pseudonymize(ids.repartition(13), "s").collect())
     assert t1 == t2 and len(set(t1)) == 50
+
+
+def test_exact_equal_size_pvalue(spark):
+    # values of the stored two-sample report (n = m = 2000)
+    assert round(drift.ks_pvalue_exact_equal(0.075, 2000), 5) == 3e-05
+    assert round(drift.ks_pvalue_exact_equal(0.0385, 2000), 5) == 0.10316
+    ref = spark.createDataFrame([(float(i),) for i in range(50)], "x double")
+    cur = spark.createDataFrame([(float(i) + 10,) for i in range(50)], "x double")
+    r = drift.feature_drift(ref, cur, ["x"], p_method="exact").first()
+    assert r.ks_statistic == 0.2 and r.p_value == round(drift.ks_pvalue_exact_equal(0.2, 50), 5)
