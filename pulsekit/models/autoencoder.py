@@ -6,7 +6,9 @@ of the squared reconstruction loss over its rows with NumPy
 grouped sum with map-side partial aggregation adds the partitions, so the
 driver receives 363 numbers whatever the partition count, and takes an Adam
 step on the 362 parameters. The training frame is persisted once
-(MEMORY_AND_DISK) and reused by every iteration. Scoring is an Arrow
+(MEMORY_AND_DISK) and reused by every iteration; each iteration is a full
+pass, so for very large tables fit on a seeded-hash sample of the training
+split (the caller's choice: the model is defined by its training rows). Scoring is an Arrow
 ``pandas_udf``: error = mean squared reconstruction error per row.
 """
 

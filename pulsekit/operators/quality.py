@@ -52,7 +52,8 @@ def quality_report(
 
     Checks: id presence / nulls (error), required columns (error), nulls per rule
     column (warning), values below / above inclusive bounds (error), values
-    outside an allowed set (error, detail = sorted invalid values). A check
+    outside an allowed set (error, detail = sorted invalid values; allowed-set
+    rules are for categorical columns, whose distinct values are few). A check
     that passes has severity 'ok'. With ``by`` the same report is produced per
     group (a grouped aggregate instead of a global one).
     """

@@ -54,7 +54,7 @@ def prepare(
         valid = routed.where("is_valid").drop("reasons", "is_valid")
         facts["quality"] = quality.validate(anon)
     tagged = split.split_by_patient(valid, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    fp = dataset_fingerprint(raw, [c for c in ("patient_id", "timestamp") if c in raw.columns] or None).first()
+    fp = dataset_fingerprint(raw).first()  # whole-row digests, order-insensitive
     facts["dataset_hash"] = fp.fingerprint
     facts["sample_count"] = fp.n_rows
     return tagged, facts
@@ -84,14 +84,16 @@ def run_catalog(
             res = train_one(tagged, model_id, **(trainer_kw or {}).get(model_id, {}))
             metrics_row = spark.createDataFrame([{k: float(v) for k, v in res.metrics.items() if v is not None}])
             approved = gates.approval_gate(metrics_row, on_device=True).first()
-            reg.register(
+            entry = reg.register(
                 model_id=model_id, version=version, model_type=mtype, target=target, deployed_to=["backend"],
                 algorithm=res.algorithm, hyperparameters=res.hyperparameters, metrics=res.metrics, artifacts={},
                 feature_schema_version=FEATURE_SCHEMA_VERSION, dataset_hash=facts["dataset_hash"],
                 patient_count=int(facts["audit"]["patients_count"]), sample_count=int(facts["sample_count"]),
             )
+            # The approval gate and the registry status follow different rules; both are kept.
             results[model_id] = {"metrics": res.metrics, "gate_status": "approved_for_export" if approved.approved
-                                 else "rejected", "reasons": list(approved.rejection_reasons)}
+                                 else "rejected", "registry_status": entry["status"],
+                                 "reasons": list(approved.rejection_reasons)}
         out = {"models": results, "facts": facts,
                "registry": [r.asDict() for r in registry_summary(reg.entries()).collect()]}
         if drift_reference is not None:
