@@ -30,9 +30,10 @@ DOUBLE_VITALS = [
 # Quality (A1-A7)
 # ---------------------------------------------------------------------------
 
-def _quality_oracle_body() -> tuple[str, str]:
+def _quality_oracle_body(by: str = "") -> tuple[str, str]:
+    k = f"{by}, " if by else ""
     aggs = ["count(*) FILTER (WHERE patient_id IS NULL) AS id_nulls"]
-    rows = ["SELECT 'patient_id' AS column_name, 'not_null' AS check_name, "
+    rows = [f"SELECT {k}'patient_id' AS column_name, 'not_null' AS check_name, "
             "CASE WHEN id_nulls > 0 THEN 'error' ELSE 'ok' END AS severity, id_nulls AS violations, '' AS detail FROM a"]
     for i, (c, (lo, hi, _r)) in enumerate(RANGE_RULES.items()):
         miss = f"({c} IS NULL OR isnan({c}))"
@@ -43,7 +44,7 @@ def _quality_oracle_body() -> tuple[str, str]:
         ]
         for chk, alias, sev in ((f"nulls", f"r{i}_null", "warning"), (f"below_min_{lo:g}", f"r{i}_lo", "error"),
                                 (f"above_max_{hi:g}", f"r{i}_hi", "error")):
-            rows.append(f"SELECT '{c}', '{chk}', CASE WHEN {alias} > 0 THEN '{sev}' ELSE 'ok' END, {alias}, '' FROM a")
+            rows.append(f"SELECT {k}'{c}', '{chk}', CASE WHEN {alias} > 0 THEN '{sev}' ELSE 'ok' END, {alias}, '' FROM a")
     for j, (c, (allowed, _r)) in enumerate(ALLOWED_RULES.items()):
         allowed_sql = ", ".join(str(a) for a in allowed)
         aggs += [
@@ -51,9 +52,11 @@ def _quality_oracle_body() -> tuple[str, str]:
             f"count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({allowed_sql})) AS s{j}_bad",
             f"coalesce(array_to_string(list_sort(list_distinct(list({c}) FILTER (WHERE {c} NOT IN ({allowed_sql})))), ','), '') AS s{j}_vals",
         ]
-        rows.append(f"SELECT '{c}', 'nulls', CASE WHEN s{j}_null > 0 THEN 'warning' ELSE 'ok' END, s{j}_null, '' FROM a")
-        rows.append(f"SELECT '{c}', 'allowed_set', CASE WHEN s{j}_bad > 0 THEN 'error' ELSE 'ok' END, s{j}_bad, s{j}_vals FROM a")
-    cte = "a AS (SELECT " + ",\n  ".join(aggs) + " FROM vitals)"
+        rows.append(f"SELECT {k}'{c}', 'nulls', CASE WHEN s{j}_null > 0 THEN 'warning' ELSE 'ok' END, s{j}_null, '' FROM a")
+        rows.append(f"SELECT {k}'{c}', 'allowed_set', CASE WHEN s{j}_bad > 0 THEN 'error' ELSE 'ok' END, s{j}_bad, "
+                    f"s{j}_vals FROM a")
+    group = f" GROUP BY {by}" if by else ""
+    cte = "a AS (SELECT " + k + ",\n  ".join(aggs) + " FROM vitals" + group + ")"
     return cte, "\nUNION ALL\n".join(rows)
 
 
@@ -65,6 +68,14 @@ def q_quality_report(spark, sf_dir):
     return quality.quality_report(load_vitals(spark, sf_dir))
 
 
+_QCTE_BY, _QBODY_BY = _quality_oracle_body("patient_id")
+
+
+@register("quality_report_by_patient", with_vitals(_QBODY_BY, _QCTE_BY))
+def q_quality_report_by_patient(spark, sf_dir):
+    return quality.quality_report(load_vitals(spark, sf_dir), by=["patient_id"])
+
+
 @register(
     "quality_verdict",
     with_vitals(

@@ -330,3 +330,23 @@ def _resample_query(freq: str, method: str = "linear"):
 register("resample_15min_linear", _resample_oracle(15 * 60_000_000))(_resample_query("15min"))
 register("resample_1h_ffill", _resample_oracle(3_600_000_000, "ffill"))(_resample_query("1h", "ffill"))
 register("resample_7min_linear", _resample_oracle(7 * 60_000_000))(_resample_query("7min"))
+
+
+@register(
+    "auc_by_patient",
+    with_vitals(
+        "SELECT patient_id, "
+        + R("CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / "
+            "(2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END", 4)
+        + " AS auc_roc, CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM w GROUP BY patient_id",
+        "g AS (SELECT patient_id, risk_score_30d AS s, count(*) FILTER (WHERE glucose_pattern_flag = 1) AS pos, "
+        "count(*) FILTER (WHERE glucose_pattern_flag = 0) AS neg FROM vitals "
+        "WHERE glucose_pattern_flag IN (0, 1) AND risk_score_30d IS NOT NULL AND NOT isnan(risk_score_30d) "
+        "GROUP BY patient_id, risk_score_30d)",
+        "w AS (SELECT patient_id, pos, neg, coalesce(sum(neg) OVER (PARTITION BY patient_id ORDER BY s "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)",
+    ),
+)
+def q_auc_by_patient(spark, sf_dir):
+    """W6 grouped: one exact AUC per patient (grouped running sums)."""
+    return metrics.rank_auc(load_vitals(spark, sf_dir), "glucose_pattern_flag", "risk_score_30d", by=["patient_id"])
