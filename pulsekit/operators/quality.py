@@ -27,18 +27,32 @@ def _is_missing(df: DataFrame, c: str) -> Column:
     return col.isNull()
 
 
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _missing_sql(df: DataFrame, c: str) -> str:
+    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+        return f"({_q(c)} IS NULL OR isnan({_q(c)}))"
+    return f"({_q(c)} IS NULL)"
+
+
+def _lit_sql(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def null_counts(df: DataFrame) -> DataFrame:
-    """A1: (column_name, null_count, total_records) for every column, one pass."""
-    aggs = [F.count(F.lit(1)).alias("__total")]
-    aggs += [F.count_if(_is_missing(df, c)).alias(f"__n{i}") for i, c in enumerate(df.columns)]
-    wide = df.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.col(f"__n{i}").alias("null_count"))
-            for i, c in enumerate(df.columns)
-        ]
+    """A1: (column_name, null_count, total_records) for every column, one pass.
+
+    Built as SQL expression strings: they are parsed on the JVM in one call
+    each, so building the plan stays cheap for wide tables.
+    """
+    aggs = ["count(1) AS __total"] + [f"count_if({_missing_sql(df, c)}) AS __n{i}" for i, c in enumerate(df.columns)]
+    wide = df.agg(*[F.expr(x) for x in aggs])
+    rows = ", ".join(
+        f"named_struct('column_name', {_lit_sql(c)}, 'null_count', __n{i})" for i, c in enumerate(df.columns)
     )
-    return wide.select(F.inline(rows), F.col("__total").alias("total_records"))
+    return wide.selectExpr(f"inline(array({rows}))", "__total AS total_records")
 
 
 def quality_report(
@@ -55,84 +69,66 @@ def quality_report(
     outside an allowed set (error, detail = sorted invalid values; allowed-set
     rules are for categorical columns, whose distinct values are few). A check
     that passes has severity 'ok'. With ``by`` the same report is produced per
-    group (a grouped aggregate instead of a global one).
+    group (a grouped aggregate instead of a global one). All counters are one
+    aggregate, written as SQL expression strings (cheap to build).
     """
     range_rules = RANGE_RULES if range_rules is None else range_rules
     allowed_rules = ALLOWED_RULES if allowed_rules is None else allowed_rules
     by = by or []
-    static: list[tuple[str, str, str, int, str]] = []  # schema problems, no data needed
-    aggs: list[Column] = []
-    entries: list[tuple[str, str, str, str]] = []  # (column, check, agg alias, severity-if-positive)
+    aggs: list[str] = []
+    rows: list[str] = []
+
+    def row(c: str, check: str, severity_sql: str, count_sql: str, detail_sql: str = "''") -> None:
+        rows.append(
+            f"named_struct('column_name', {_lit_sql(c)}, 'check_name', {_lit_sql(check)}, 'severity', {severity_sql}, "
+            f"'violations', CAST({count_sql} AS BIGINT), 'detail', {detail_sql})"
+        )
+
+    def counted(c: str, check: str, alias: str, sev: str, detail_sql: str = "''") -> None:
+        row(c, check, f"CASE WHEN {alias} > 0 THEN '{sev}' ELSE 'ok' END", alias, detail_sql)
 
     if id_col not in df.columns:
-        static.append((id_col, "present", "error", 1, "missing required column"))
+        row(id_col, "present", "'error'", "1", "'missing required column'")
     else:
-        aggs.append(F.count_if(F.col(id_col).isNull()).alias("id_nulls"))
-        entries.append((id_col, "not_null", "id_nulls", "error"))
+        aggs.append(f"count_if({_q(id_col)} IS NULL) AS id_nulls")
+        counted(id_col, "not_null", "id_nulls", "error")
 
     for i, (c, (lo, hi, required)) in enumerate(range_rules.items()):
         if c not in df.columns:
             if required:
-                static.append((c, "present", "error", 1, "required column missing"))
+                row(c, "present", "'error'", "1", "'required column missing'")
             continue
-        v = F.col(c)
-        valid = ~_is_missing(df, c)
+        miss = _missing_sql(df, c)
         aggs += [
-            F.count_if(~valid).alias(f"r{i}_null"),
-            F.count_if(valid & (v < lo)).alias(f"r{i}_lo"),
-            F.count_if(valid & (v > hi)).alias(f"r{i}_hi"),
-        ]
-        entries += [
-            (c, "nulls", f"r{i}_null", "warning"),
-            (c, f"below_min_{lo:g}", f"r{i}_lo", "error"),
-            (c, f"above_max_{hi:g}", f"r{i}_hi", "error"),
+            f"count_if({miss}) AS r{i}_null",
+            f"count_if(NOT {miss} AND {_q(c)} < {float(lo)!r}D) AS r{i}_lo",
+            f"count_if(NOT {miss} AND {_q(c)} > {float(hi)!r}D) AS r{i}_hi",
         ]
+        counted(c, "nulls", f"r{i}_null", "warning")
+        counted(c, f"below_min_{lo:g}", f"r{i}_lo", "error")
+        counted(c, f"above_max_{hi:g}", f"r{i}_hi", "error")
 
-    set_details: dict[str, str] = {}
     for j, (c, (allowed, required)) in enumerate(allowed_rules.items()):
         if c not in df.columns:
             if required:
-                static.append((c, "present", "error", 1, "required column missing"))
+                row(c, "present", "'error'", "1", "'required column missing'")
             continue
-        v = F.col(c)
-        valid = ~_is_missing(df, c)
-        allowed_lit = [float(a) for a in allowed]
-        bad = valid & ~v.cast("double").isin(allowed_lit)
+        miss = _missing_sql(df, c)
+        allowed_sql = ", ".join(f"{float(a)!r}D" for a in allowed)
+        bad = f"(NOT {miss} AND CAST({_q(c)} AS DOUBLE) NOT IN ({allowed_sql}))"
         aggs += [
-            F.count_if(~valid).alias(f"s{j}_null"),
-            F.count_if(bad).alias(f"s{j}_bad"),
-            F.array_join(F.array_sort(F.collect_set(F.when(bad, v))), ",").alias(f"s{j}_vals"),
+            f"count_if({miss}) AS s{j}_null",
+            f"count_if({bad}) AS s{j}_bad",
+            f"array_join(array_sort(collect_set(CASE WHEN {bad} THEN {_q(c)} END)), ',') AS s{j}_vals",
         ]
-        entries += [(c, "nulls", f"s{j}_null", "warning"), (c, "allowed_set", f"s{j}_bad", "error")]
-        set_details[f"s{j}_bad"] = f"s{j}_vals"
-
-    structs = []
-    for c, check, alias, sev in entries:
-        n = F.col(alias)
-        detail = F.coalesce(F.col(set_details[alias]), F.lit("")) if alias in set_details else F.lit("")
-        structs.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.lit(check).alias("check_name"),
-                F.when(n > 0, F.lit(sev)).otherwise(F.lit("ok")).alias("severity"),
-                n.cast("bigint").alias("violations"),
-                detail.alias("detail"),
-            )
-        )
-    for c, check, sev, n, detail in static:
-        structs.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.lit(check).alias("check_name"),
-                F.lit(sev).alias("severity"),
-                F.lit(n).cast("bigint").alias("violations"),
-                F.lit(detail).alias("detail"),
-            )
-        )
+        counted(c, "nulls", f"s{j}_null", "warning")
+        counted(c, "allowed_set", f"s{j}_bad", "error", f"coalesce(s{j}_vals, '')")
+
     if not aggs:
-        aggs = [F.count(F.lit(1)).alias("__n")]
-    wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    return wide.select(*by, F.inline(F.array(*structs)))
+        aggs = ["count(1) AS __n"]
+    agg_cols = [F.expr(x) for x in aggs]
+    wide = df.groupBy(*by).agg(*agg_cols) if by else df.agg(*agg_cols)
+    return wide.selectExpr(*[_q(b) for b in by], f"inline(array({', '.join(rows)}))")
 
 
 def quality_verdict(report: DataFrame, total: DataFrame | None = None) -> DataFrame:

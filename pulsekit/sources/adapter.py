@@ -8,10 +8,6 @@ written in DuckDB SQL in ``pulsekit.plans.oracles.VITALS_CTE``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from pulsekit.functions import round_half_up
-from pulsekit.operators import features as fx
 
 # Fixed mapping of event types to activity intensity (4 is invalid on purpose).
 EVENT_INTENSITY = {"view": 0, "click": 1, "purchase": 2, "signup": 3, "error": 4}
@@ -37,48 +33,58 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
+def _intensity_sql() -> str:
+    whens = " ".join(f"WHEN '{name}' THEN {code}" for name, code in EVENT_INTENSITY.items())
+    return f"CAST(CASE event_type {whens} END AS INT)"
+
+
 def vitals_from_events(events: DataFrame, risk_offset: float = 0.0) -> DataFrame:
-    v = F.col("value")
-    intensity = F.lit(None).cast("int")
-    for name, code in reversed(list(EVENT_INTENSITY.items())):
-        intensity = F.when(F.col("event_type") == name, F.lit(code)).otherwise(intensity)
-    h = F.hour("ts")
-    asleep = F.when((h >= 23) | (h <= 6), 1).otherwise(0)
-    base = events.select(
-        F.concat(F.lit("PAT-"), F.col("user_id").cast("string")).alias("patient_id"),
-        F.col("ts").alias("timestamp"),
-        (50 + v / 2).alias("hr_bpm"),
-        (60 - v / 4).alias("hrv_ms"),
-        (100 - v / 20).alias("spo2_percent"),
-        ((F.col("user_id") * 37) % 1200).cast("double").alias("elevation_meters"),
-        asleep.alias("is_sleeping"),
-        intensity.alias("activity_intensity"),
-        (12 + v / 20).alias("resp_rate"),
-        (36.5 + v / 200).alias("temp_c"),
-        (110 + v / 4).alias("bp_sys"),
-        (70 + v / 8).alias("bp_dia"),
-        (v / 1000).alias("movement_variance"),
-        ((F.col("event_id") % 7) / 10).alias("accel_x"),
-        ((F.col("event_id") % 11) / 10).alias("accel_y"),
-        ((F.col("event_id") % 13) / 10).alias("accel_z"),
-        ((F.col("event_id") % 5) / 10).alias("gyro_x"),
-        ((F.col("event_id") % 3) / 10).alias("gyro_y"),
-        ((F.col("event_id") % 17) / 10).alias("gyro_z"),
-        F.when(asleep == 0, 0).otherwise(1 + F.col("event_id") % 4).cast("int").alias("sleep_stage"),
-        F.least(intensity, F.lit(3)).alias("activity_class"),
-        (v > 150).cast("int").alias("is_hr_anomaly"),
-        ((F.col("user_id") % 10) != 0).alias("consent_for_ml_training"),
-        F.concat(F.lit("n"), F.col("user_id").cast("string")).alias("name"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("@example.org")).alias("email"),
-        F.col("event_id"),
+    """The adapter as Spark SQL expressions (parsed JVM-side in one call per projection).
+
+    Two narrow projections, no shuffle; risk, glucose and desaturation labels
+    follow the rules of ``operators.features`` (P15, P17, P18).
+    """
+    asleep = "CASE WHEN hour(ts) >= 23 OR hour(ts) <= 6 THEN 1 ELSE 0 END"
+    base = events.selectExpr(
+        "concat('PAT-', CAST(user_id AS STRING)) AS patient_id",
+        "ts AS timestamp",
+        "50 + value / 2 AS hr_bpm",
+        "60 - value / 4 AS hrv_ms",
+        "100 - value / 20 AS spo2_percent",
+        "CAST((user_id * 37) % 1200 AS DOUBLE) AS elevation_meters",
+        f"{asleep} AS is_sleeping",
+        f"{_intensity_sql()} AS activity_intensity",
+        "12 + value / 20 AS resp_rate",
+        "36.5D + value / 200 AS temp_c",
+        "110 + value / 4 AS bp_sys",
+        "70 + value / 8 AS bp_dia",
+        "value / 1000 AS movement_variance",
+        "(event_id % 7) / 10 AS accel_x",
+        "(event_id % 11) / 10 AS accel_y",
+        "(event_id % 13) / 10 AS accel_z",
+        "(event_id % 5) / 10 AS gyro_x",
+        "(event_id % 3) / 10 AS gyro_y",
+        "(event_id % 17) / 10 AS gyro_z",
+        f"CAST(CASE WHEN {asleep} = 0 THEN 0 ELSE 1 + event_id % 4 END AS INT) AS sleep_stage",
+        f"least({_intensity_sql()}, 3) AS activity_class",
+        "CAST(value > 150 AS INT) AS is_hr_anomaly",
+        "user_id % 10 <> 0 AS consent_for_ml_training",
+        "concat('n', CAST(user_id AS STRING)) AS name",
+        "concat('u', CAST(user_id AS STRING), '@example.org') AS email",
+        "event_id",
+    )
+    risk_raw = (
+        "greatest(0D, (100D - hrv_ms) / 80D) * 22D"
+        " + pow(greatest(0D, (96D - spo2_percent) / 10D), 1.6D) * 35D"
+        " + (greatest(0D, (bp_sys - 130D) / 40D) + greatest(0D, (bp_dia - 85D) / 25D)) * 18D"
+        f" + CAST(is_hr_anomaly AS DOUBLE) * 20D + {float(risk_offset)!r}D"
     )
-    return base.select(
+    return base.selectExpr(
         "*",
-        fx.critical_spo2().alias("critical_spo2_drop"),
-        (fx.glucose_rule() | (F.col("event_id") % 50 == 0)).cast("int").alias("glucose_pattern_flag"),
-        round_half_up(F.least(F.greatest(fx.risk_score_raw(risk_offset), F.lit(0.0)), F.lit(100.0)), 2).alias(
-            "risk_score_30d"
-        ),
+        "CAST(spo2_percent < 90D AS INT) AS critical_spo2_drop",
+        "CAST((hrv_ms < 24D AND hr_bpm > 85D AND activity_intensity = 0 AND is_sleeping = 0) OR event_id % 50 = 0 "
+        "AS INT) AS glucose_pattern_flag",
+        f"CAST(floor(least(greatest({risk_raw}, 0D), 100D) * 100D + 0.5D) AS DOUBLE) / 100D AS risk_score_30d",
     ).drop("event_id")
 
 
