@@ -57,6 +57,7 @@ def running_totals(
     accuracy: int = 10000,
     prefix: str = "cum_",
     rows_per_bucket: int = 2_000_000,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<c>`` = inclusive running sum of ``c`` per group in ``order_cols`` order.
 
@@ -71,7 +72,7 @@ def running_totals(
     if n_buckets is None:
         # Data-driven: every window partition holds about rows_per_bucket rows
         # or fewer, whatever the input size (one cheap count of the input).
-        n_buckets = max(1, math.ceil(df.count() / rows_per_bucket))
+        n_buckets = max(1, math.ceil((df.count() if n_rows is None else n_rows) / rows_per_bucket))
     key = F.col(order_cols[0]).cast("double")
     probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
     w_in = Window.partitionBy(*group_cols, "__b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)

@@ -36,6 +36,10 @@ def split_sizes(n: int, ratios: tuple[float, float, float] = (0.70, 0.15, 0.15))
 
 def rank_ids(df: DataFrame, id_col: str = "patient_id", seed: int = 42, n_buckets: int | None = None) -> DataFrame:
     """(id, rank) for every distinct non-NULL id in seeded-hash order, rank 1-based."""
+    return _ranked(df, id_col, seed, n_buckets)[0]
+
+
+def _ranked(df: DataFrame, id_col: str, seed: int, n_buckets: int | None) -> tuple[DataFrame, int]:
     ids = df.select(F.col(id_col).cast("string").alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
     h = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(id_col)), 256)
     keyed = ids.select(
@@ -44,8 +48,10 @@ def rank_ids(df: DataFrame, id_col: str = "patient_id", seed: int = 42, n_bucket
         F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint").alias("__hk"),
         F.lit(1).cast("bigint").alias("__one"),
     )
-    ranked = running_totals(materialize(keyed), [], ["__hk", "__h"], ["__one"], n_buckets=n_buckets)
-    return ranked.select(id_col, F.col("cum___one").alias("rank"))
+    keyed = materialize(keyed)  # distinct ids, computed once
+    n = keyed.count()
+    ranked = running_totals(keyed, [], ["__hk", "__h"], ["__one"], n_buckets=n_buckets, n_rows=n)
+    return ranked.select(id_col, F.col("cum___one").alias("rank")), n
 
 
 def assign_splits(
@@ -55,11 +61,10 @@ def assign_splits(
     seed: int = 42,
     n_buckets: int | None = None,
 ) -> DataFrame:
-    """(id, rank, split) per distinct id. One action: the distinct-id count."""
+    """(id, rank, split) per distinct id (the distinct ids are checkpointed once and counted)."""
     if id_col not in df.columns:
         raise ValueError(f"Cannot split by patient: '{id_col}' column not present.")
-    ranked = materialize(rank_ids(df, id_col, seed, n_buckets))
-    n = ranked.count()
+    ranked, n = _ranked(df, id_col, seed, n_buckets)
     s = split_sizes(n, ratios)
     bt, bv = s["base_train"], s["base_val"]
     r = F.col("rank")
