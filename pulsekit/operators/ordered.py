@@ -58,6 +58,8 @@ def running_totals(
     prefix: str = "cum_",
     rows_per_bucket: int = 2_000_000,
     n_rows: int | None = None,
+    max_buckets: int = 100_000,
+    max_group_buckets: int = 256,
 ) -> DataFrame:
     """Add ``cum_<c>`` = inclusive running sum of ``c`` per group in ``order_cols`` order.
 
@@ -70,9 +72,16 @@ def running_totals(
     literals, so no join is needed at all.
     """
     if n_buckets is None:
-        # Data-driven: every window partition holds about rows_per_bucket rows
-        # or fewer, whatever the input size (one cheap count of the input).
-        n_buckets = max(1, math.ceil((df.count() if n_rows is None else n_rows) / rows_per_bucket))
+        # Data-driven: window partitions hold about rows_per_bucket rows (one
+        # cheap aggregate over the compact input). Ungrouped: B <= max_buckets,
+        # located by binary search. Grouped: B follows the LARGEST group and is
+        # capped at max_group_buckets (each row scans its group's cut list).
+        if group_cols:
+            biggest = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
+            n_buckets = min(max_group_buckets, max(1, math.ceil(biggest / rows_per_bucket)))
+        else:
+            n = df.count() if n_rows is None else n_rows
+            n_buckets = min(max_buckets, max(1, math.ceil(n / rows_per_bucket)))
     key = F.col(order_cols[0]).cast("double")
     probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
     w_in = Window.partitionBy(*group_cols, "__b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
@@ -83,9 +92,16 @@ def running_totals(
         return one.select(*df.columns, *[F.sum(c).over(w_in).alias(f"{prefix}{c}") for c in sum_cols])
 
     if not group_cols:
-        cuts = sorted(set(df.stat.approxQuantile(order_cols[0], probs, 1.0 / accuracy))) if n_buckets > 1 else []
-        cut_arr = F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>")
-        bucketed = df.withColumn("__b", F.size(F.filter(cut_arr, lambda c: c < key)))
+        from pyspark.ml.feature import Bucketizer
+
+        rel_err = min(1.0 / accuracy, 0.25 / n_buckets)
+        cuts = sorted(set(df.stat.approxQuantile(order_cols[0], probs, rel_err)))
+        # JVM binary search over the cut points; bucket = number of cuts <= key
+        # (ties of the key always share a bucket).
+        splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]
+        bucketizer = Bucketizer(splits=splits, inputCol="__key", outputCol="__bd", handleInvalid="keep")
+        bucketed = bucketizer.transform(df.withColumn("__key", key)).withColumn(
+            "__b", F.col("__bd").cast("int")).drop("__key", "__bd")
         totals = bucketed.groupBy("__b").agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(sum_cols)]).collect()
         by_b = {r["__b"]: r for r in totals}
         outs = []

@@ -82,3 +82,14 @@ def test_accuracy_latency_contamination(spark):
     lat = metrics.latency_summary(df, "ms").first()
     assert lat.latency_p95_ms == pytest.approx(95.05) and lat.latency_min_ms == 1.0
     assert metrics.anomaly_fraction(df, "y").first().contamination == 0.12
+
+
+def test_rank_auc_grouped_bucketed_matches_brute_force(spark):
+    rng = random.Random(21)
+    rows = [(g, rng.randint(0, 1), float(rng.randint(0, 15))) for g in ("a", "b", "c") for _ in range(200)]
+    df = spark.createDataFrame(rows, "g string, y int, s double")
+    for nb in (1, 8):
+        got = {r.g: r.auc_roc for r in metrics.rank_auc(df.repartition(3), "y", "s", by=["g"], n_buckets=nb).collect()}
+        for g in ("a", "b", "c"):
+            pairs = [(y, s) for gg, y, s in rows if gg == g]
+            assert got[g] == pytest.approx(round(_brute_auc(pairs), 4))
