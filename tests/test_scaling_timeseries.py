@@ -114,3 +114,16 @@ def test_resample_hot_key_matches_pandas(spark):
     assert set(got) == set(expected)
     for k, v in expected.items():
         assert got[k] == pytest.approx(v, rel=1e-9, abs=1e-9)
+
+
+def test_approximate_quantile_options(spark):
+    from pulsekit.operators import drift
+
+    df = spark.createDataFrame([(float(i),) for i in range(1000)], "x double")
+    exact = Scaler("robust").fit(df, ["x"]).params["x"]
+    approx = Scaler("robust", exact=False).fit(df, ["x"]).params["x"]
+    assert exact == (499.5, 499.5)
+    assert abs(approx[0] - exact[0]) <= 2 and abs(approx[1] - exact[1]) <= 4
+    cur = df.withColumn("x", F.col("x") + 500)
+    r = drift.feature_drift(df, cur, ["x"], exact=False).first()
+    assert r.drift_detected and r.ks_statistic == 0.5
