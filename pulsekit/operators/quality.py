@@ -178,15 +178,13 @@ def quarantine(df: DataFrame, range_rules: dict | None = None, allowed_rules: di
     reasons = []
     for c, (lo, hi, _req) in range_rules.items():
         if c in df.columns:
-            v = F.col(c)
-            ok = ~_is_missing(df, c)  # NaN sorts above every number in Spark
-            reasons.append(F.when(ok & (v < lo), F.lit(f"{c}_below_min")))
-            reasons.append(F.when(ok & (v > hi), F.lit(f"{c}_above_max")))
+            ok = f"NOT {_missing_sql(df, c)}"  # NaN sorts above every number in Spark
+            reasons.append(f"CASE WHEN {ok} AND {_q(c)} < {float(lo)!r}D THEN {_lit_sql(c + '_below_min')} END")
+            reasons.append(f"CASE WHEN {ok} AND {_q(c)} > {float(hi)!r}D THEN {_lit_sql(c + '_above_max')} END")
     for c, (allowed, _req) in allowed_rules.items():
         if c in df.columns:
-            v = F.col(c)
-            reasons.append(
-                F.when(v.isNotNull() & ~v.cast("double").isin([float(a) for a in allowed]), F.lit(f"{c}_not_allowed"))
-            )
-    arr = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
-    return df.withColumn("reasons", arr).withColumn("is_valid", F.size("reasons") == 0)
+            allowed_sql = ", ".join(f"{float(x)!r}D" for x in allowed)
+            reasons.append(f"CASE WHEN {_q(c)} IS NOT NULL AND CAST({_q(c)} AS DOUBLE) NOT IN ({allowed_sql}) "
+                           f"THEN {_lit_sql(c + '_not_allowed')} END")
+    arr = f"array_compact(array({', '.join(reasons)}))" if reasons else "CAST(array() AS array<string>)"
+    return df.selectExpr("*", f"{arr} AS reasons").selectExpr("*", "size(reasons) = 0 AS is_valid")
