@@ -54,3 +54,20 @@ def test_drift_job_and_catalog(spark, tmp_path):
     assert set(res["models"]) == {"spo2_critical", "sleep_quality"}
     assert {r["model_id"] for r in res["registry"]} == {"spo2_critical", "sleep_quality"}
     assert res["facts"]["audit"]["records_consented_processed"] > 0
+
+
+def test_streaming_model_scoring(spark, tmp_path):
+    from pulsekit.models.isolation_forest import fit_isolation_forest
+
+    src = tmp_path / "ev"
+    src.mkdir()
+    shutil.copy(f"{SF}/events.parquet", src / "part-0.parquet")
+    batch = vitals_from_events(spark.read.parquet(str(src)))
+    forest = fit_isolation_forest(batch, ["hr_bpm", "hrv_ms"], n_trees=10, seed=3)
+    stream = vitals_from_events(read_stream(spark, str(src), spark.read.parquet(str(src)).schema))
+    q = start(forest.score_column(stream).select("patient_id", "anomaly_score"), "score_test", sink="memory",
+              checkpoint_location=str(tmp_path / "c3"))
+    q.processAllAvailable()
+    q.stop()
+    got = spark.sql("SELECT count(*) AS n, min(anomaly_score) AS lo, max(anomaly_score) AS hi FROM score_test").first()
+    assert got.n == batch.count() and 0 < got.lo <= got.hi <= 1
