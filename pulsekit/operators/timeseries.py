@@ -125,10 +125,11 @@ def resample(
         F.lead("__slot").over(w_asc).alias("__next_slot"),
         ((F.max("__slot").over(w_key) - F.min("__slot").over(w_key)) / F.lit(step) + 1).alias("__n_slots"),
         *[e for c in cols for e in (
-            F.last(F.col(c), True).over(w_prev).alias(f"__pv_{c}"),
-            F.last(F.when(F.col(c).isNotNull(), F.col("__slot")), True).over(w_prev).alias(f"__pt_{c}"),
-            F.last(F.col(c), True).over(w_next).alias(f"__nv_{c}"),
-            F.last(F.when(F.col(c).isNotNull(), F.col("__slot")), True).over(w_next).alias(f"__nt_{c}"),
+            # (slot, value) of the previous / next known point, one window function each
+            F.last(F.when(F.col(c).isNotNull(), F.struct(F.col("__slot").alias("t"), F.col(c).alias("v"))), True)
+            .over(w_prev).alias(f"__p_{c}"),
+            F.last(F.when(F.col(c).isNotNull(), F.struct(F.col("__slot").alias("t"), F.col(c).alias("v"))), True)
+            .over(w_next).alias(f"__n_{c}"),
         )],
     )
     last_slot = F.coalesce(F.col("__next_slot") - F.lit(step), F.col("__slot"))
@@ -141,9 +142,9 @@ def resample(
     for c in cols:
         own = F.col(c)
         # Known point at or before the slot, and strictly after this bucket.
-        pv = F.when(own.isNotNull(), own).otherwise(F.col(f"__pv_{c}"))
-        pt = F.when(own.isNotNull(), F.col("__slot")).otherwise(F.col(f"__pt_{c}"))
-        nv, nt = F.col(f"__nv_{c}"), F.col(f"__nt_{c}")
+        pv = F.when(own.isNotNull(), own).otherwise(F.col(f"__p_{c}.v"))
+        pt = F.when(own.isNotNull(), F.col("__slot")).otherwise(F.col(f"__p_{c}.t"))
+        nv, nt = F.col(f"__n_{c}.v"), F.col(f"__n_{c}.t")
         s_ = F.col("__s")
         if method == "linear":
             inner = pv + (nv - pv) * (s_ - pt).cast("double") / (nt - pt).cast("double")
