@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.functions import round_half_up, safe_ratio
+from pulsekit.functions import exact_mean, round_half_up, safe_ratio
 from pulsekit.operators.ordered import materialize, running_totals
 
 
@@ -127,7 +127,7 @@ def latency_summary(df: DataFrame, ms_col: str, by: list[str] | None = None) ->
     by = by or []
     x = F.col(ms_col).cast("double")
     aggs = [
-        F.avg(x).alias("__mean"),
+        exact_mean(x).alias("__mean"),
         F.percentile(x, F.array(F.lit(0.95), F.lit(0.99))).alias("__p"),
         F.min(x).alias("__min"),
         F.max(x).alias("__max"),

@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsekit.functions import exact_mean
+
 METHODS = ("standard", "minmax", "robust")
 PARAMS_SCHEMA = "feature string, center double, scale double, method string"
 
@@ -38,7 +40,7 @@ def fit_params(df: DataFrame, features: list[str], method: str = "robust", exact
     for i, c in enumerate(features):
         x = _num(c)
         if method == "standard":
-            aggs += [F.avg(x).alias(f"c{i}"), F.stddev_pop(x).alias(f"s{i}")]
+            aggs += [exact_mean(x).alias(f"c{i}"), F.stddev_pop(x).alias(f"s{i}")]
         elif method == "minmax":
             aggs += [F.min(x).alias(f"c{i}"), (F.max(x) - F.min(x)).alias(f"s{i}")]
         else:

@@ -32,7 +32,7 @@ def _params_oracle(method: str) -> str:
     for c in SCALE_COLS:
         x = f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END"
         if method == "standard":
-            center, scale = f"avg({x})", f"stddev_pop({x})"
+            center, scale = f"CAST(sum(CAST({x} AS DECIMAL(38,12))) AS DOUBLE) / count({x})", f"stddev_pop({x})"
         elif method == "minmax":
             center, scale = f"min({x})", f"max({x}) - min({x})"
         else:
@@ -246,7 +246,7 @@ def q_regression(spark, sf_dir):
 
 @register(
     "latency_summary",
-    f"SELECT event_type, {R('avg(value)', 3)} AS latency_mean_ms, {R('quantile_cont(value, 0.95)', 3)} AS latency_p95_ms, "
+    f"SELECT event_type, {R('CAST(sum(CAST(value AS DECIMAL(38,12))) AS DOUBLE) / count(value)', 3)} AS latency_mean_ms, {R('quantile_cont(value, 0.95)', 3)} AS latency_p95_ms, "
     f"{R('quantile_cont(value, 0.99)', 3)} AS latency_p99_ms, {R('min(value)', 3)} AS latency_min_ms, "
     f"{R('max(value)', 3)} AS latency_max_ms FROM events GROUP BY event_type",
 )
