@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -63,3 +65,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of every executor (once a context).
+
+    Functions that run in workers refer to modules of the package, which an
+    executor cannot import by itself, whatever the driver's working folder is.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_pulsekit_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    path = os.path.join(tempfile.mkdtemp(prefix="pulsekit-package-"), "pulsekit.zip")  # read by this driver only
+    with open(path, "wb") as f:
+        f.write(data.getvalue())
+    sc.addPyFile(path)
+    sc._pulsekit_shipped = True
