@@ -182,10 +182,10 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5, beam: int = QUERY_B
     queries = save(queries.withColumn("block", F.monotonically_increasing_id()), "ann-queries")
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id", "block"), F.lit(blocks)).cast("int"))
-    shards = index.groupBy("shard").agg(F.first(F.size("vec")).alias("d"))
-    at_shard = queries.join(shards, F.size(queries["vec"]) == shards["d"]).select("shard", "block", "query_id", "vec")
+    shards = index.select(F.col("shard").alias("at"), F.size("vec").alias("d")).distinct()
+    at_shard = queries.join(shards, F.size("vec") == F.col("d")).select("at", "block", "query_id", "vec")
     at_block = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = at_block.groupBy("shard", "block").cogroup(at_shard.groupBy("shard", "block")).applyInPandas(
+    found = at_block.groupBy("shard", "block").cogroup(at_shard.groupBy("at", "block")).applyInPandas(
         _search(k, beam), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

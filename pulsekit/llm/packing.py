@@ -245,6 +245,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
     counts = {r[0]: r[1] for r in placed.groupBy(length_col).count().collect()}  # at most `capacity` rows
     plan, _ = bin_completion(counts, capacity)
     table = _ranges(plan, counts)
+    names = list(pieces.columns)
     offsets, n = {}, 0
     for r in placed.groupBy(F.shiftright("__place", 33).alias("p")).count().orderBy("p").collect():  # a row a partition
         offsets[r[0]] = n
@@ -259,9 +260,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
             k = rank - table["start"][at]
             seq = table["base"][at] + k // table["each"][at]
             off = table["offset"][at] + k % table["each"][at] * table["length"][at]
-            cols = [batch.column(c) for c in pieces.columns]
+            cols = [batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(seq, pa.int64()), pa.array(off, pa.int64())],
-                                             names=[*pieces.columns, "sequence_id", "offset"])
+                                             names=[*names, "sequence_id", "offset"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     return placed.mapInArrow(assign, f"{kinds}, sequence_id long, offset long")
