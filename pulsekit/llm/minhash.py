@@ -7,13 +7,17 @@ a value, no later step can change anything and the walk stops (early stop).
 All elements of a batch of documents take step j together in NumPy.
 
 Search: bands of the signature are bucket keys. Exact copies (equal shingle
-sets) are folded first, so a bucket holds different texts only. Every text is
-compared with the smallest member of its buckets, which settles groups of near
-copies with one comparison a text; then, for each bucket that still holds more
-than one component, more members take the hub's part until every pair of texts
-of different components that shares a bucket has been compared. So no link
-between texts that share a band is lost, and no group is expanded into pairs.
-Links are confirmed on the full shingle sets and grouped by union-find.
+sets) are folded first, so a bucket holds different texts only. Two rounds
+compare every text with one member of each of its buckets, a hub, which settles
+groups of near copies with one comparison a text; after that, whatever in a
+bucket is outside the bucket's largest component is compared with all members
+of other components. So every pair that shares a band ends up in one component
+or has been compared, and no group of copies is expanded into pairs.
+
+Before two texts meet, their sketches do (4 bits of each slot): pairs whose
+slots differ more than a pair at the threshold does in one of 10^9 cases
+are no candidates. Links are confirmed on the full shingle sets and grouped by
+union-find.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import GOLDEN, mix, need, save
@@ -30,6 +34,8 @@ from pulsekit.llm.components import connected_components
 
 SLOTS, BANDS = 128, 32  # 4 slots a band: at similarity 0.75 a pair misses all bands with probability 5e-6
 WORDS = 5
+SKETCH = SLOTS // 16  # 64-bit words of 4 bits a slot
+MOST_DIFFERENT = 61  # slots; a pair at 0.75 differs in 30, standard deviation 4.8 at most
 WORD_CACHE = 400_000
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -114,6 +120,29 @@ def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key
 
 
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """4 bits of each slot, 16 slots in a 64-bit word."""
+    bits = (mix(sig + GOLDEN) & np.uint64(15)).reshape(len(sig), -1, 16)
+    return (bits << np.arange(0, 64, 4, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+
+
+def _differing(a: str, b: str) -> Column:
+    """Number of slots in which two sketches (columns ``a0``, ``b0`` and on) differ."""
+    total = F.lit(0)
+    for i in range(SKETCH):
+        x = F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))
+        for k in (1, 2):  # each 4-bit group to its lowest bit
+            x = x.bitwiseOR(F.shiftrightunsigned(x, k))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
+def _may_link(a: str, b: str) -> Column:
+    """Sizes and sketches allow a similarity of 75 %."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    return (100 * F.least(n, m) >= 75 * F.greatest(n, m)) & (_differing(a, b) <= MOST_DIFFERENT)
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import hashlib
 
@@ -126,14 +155,16 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n += len(sets[-1])
                 at += 1
             counts = np.array([len(s) for s in sets])
-            keys = band_keys(superminhash(np.concatenate(sets), counts)).astype(np.int64)
-            keys = keys[counts > 0].ravel()
+            sig = superminhash(np.concatenate(sets), counts)
+            keys = band_keys(sig).astype(np.int64)[counts > 0].ravel()
             offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, BANDS, 0))]).astype(np.int32)
+            places = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * SKETCH)
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(start, at - start), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))],
-                names=["doc_id", "n_shingles", "digest", "bands"],
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
+                 pa.ListArray.from_arrays(places, pa.array(sketches(sig).astype(np.int64).ravel()))],
+                names=["doc_id", "n_shingles", "digest", "bands", "sketch"],
             )
 
 
@@ -169,11 +200,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     src = need(docs, id_col, text_col).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     sigs = save(
-        src.mapInArrow(_signatures, "doc_id long, n_shingles long, digest binary, bands array<long>"), "minhash-sigs")
+        src.mapInArrow(_signatures, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"), "minhash-sigs")
     reps = sigs.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = save(
         sigs.join(reps, "digest", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"),
-                                                 F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")),
+                                                 *[F.when(F.col("doc_id") == F.col("rep"), F.col(c)).alias(c) for c in ("bands", "sketch")]),
         "minhash-classes",
     )
     links = _links(src, classes)
@@ -188,11 +219,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _links(src: DataFrame, classes: DataFrame) -> DataFrame:
     """Confirmed links (a, b) that join all texts which are similar and share a band."""
     texts = classes.filter("bands is not null")
-    rows = texts.select(F.col("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    hubs = rows.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("last > hub")
-    left = save(rows.join(hubs, "bucket").select("bucket", "rep", "n", "hub").distinct(), "minhash-buckets")
+    rows = texts.select("rep", F.explode("bands").alias("bucket"))
+    shared = rows.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("last > hub")
+    left = save(rows.join(shared, "bucket").select("bucket", "rep", "hub").distinct(), "minhash-buckets")
     ids = left.select("rep").distinct()
     body = save(src.join(ids, src["doc_id"] == ids["rep"]).select("rep", "text"), "minhash-texts")
+    sketch = save(texts.join(ids, "rep", "left_semi").select(
+        "rep", F.col("n_shingles").alias("n"), *[F.col("sketch")[i].alias(str(i)) for i in range(SKETCH)]), "minhash-sketches")
+
+    def side(name: str) -> DataFrame:
+        return sketch.select(*[F.col(f"`{c}`").alias(name if c == "rep" else f"{name}{c}") for c in sketch.columns])
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         a = body.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
@@ -200,31 +236,32 @@ def _links(src: DataFrame, classes: DataFrame) -> DataFrame:
         full = pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb")
         return save(full.mapInArrow(_linked, "a long, b long"), "minhash-links")
 
-    first = left.filter("rep > hub").groupBy("rep").agg(F.min("hub").alias("a")).select("a", F.col("rep").alias("b"))
-    tested = save(first, "minhash-tested")
-    links = confirmed(tested)
-    left, slots = left.select("bucket", "rep", "n"), 1
-    while True:
+    def stars(pairs: DataFrame) -> DataFrame:
+        """Of each text's hubs, the one with the nearest sketch is compared."""
+        near = pairs.join(side("rep"), "rep").join(side("hub"), "hub").filter(_may_link("rep", "hub"))
+        best = near.groupBy("rep").agg(F.min(F.struct(_differing("rep", "hub").alias("d"), "hub")).alias("h"))
+        return confirmed(best.select(F.least("rep", "h.hub").alias("a"), F.greatest("rep", "h.hub").alias("b")).distinct())
+
+    def still_open(links: DataFrame) -> DataFrame:
+        """Rows of the buckets that hold more than one component."""
         labels = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
-        left = left.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        left = save(left, "minhash-left")
-        mixed = left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
-            "lo != hi").select("bucket")
-        left = save(left.join(mixed, "bucket", "left_semi"), "minhash-open")
-        if left.isEmpty():
-            return links
-        # up to `slots` hubs a bucket, each compared with all members of other components
-        hubs = left.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(slots)).alias("slot")).agg(
-            F.min(F.struct("rep", "n", "component")).alias("h"))
-        hubs = save(hubs.select("bucket", F.col("h.rep").alias("hub"), F.col("h.n").alias("hn"),
-                                F.col("h.component").alias("hc")), "minhash-hubs")
-        near = (F.col("bucket") == F.col("at")) & (F.col("component") != F.col("hc")) & (
-            100 * F.least("n", "hn") >= 75 * F.greatest("n", "hn"))
-        pairs = left.join(hubs.withColumnRenamed("bucket", "at"), near).select(
-            F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-        pairs = save(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-tested")
-        links = links.unionByName(confirmed(pairs))
-        tested = tested.unionByName(pairs)
-        left = left.join(hubs.select("bucket", F.col("hub").alias("rep")), ["bucket", "rep"], "left_anti").select(
-            "bucket", "rep", "n")
-        slots *= 4
+        now = save(left.select("bucket", "rep").join(labels, "rep", "left").select(
+            "bucket", "rep", F.coalesce("component", "rep").alias("component")), "minhash-labelled")
+        mixed = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
+        return now.join(mixed, "bucket").select("bucket", "rep", "component", "hi")
+
+    links = stars(left.filter("rep != hub").select("rep", "hub").distinct())
+    # second hub: a member of the component with the largest label
+    now = save(still_open(links), "minhash-open")
+    hubs = now.filter("component = hi").groupBy("bucket").agg(F.min("rep").alias("hub"))
+    links = links.unionByName(stars(now.filter("component != hi").join(hubs, "bucket").select("rep", "hub").distinct()))
+    # what is outside a bucket's largest component, against all members of other components
+    now = save(still_open(links).drop("hi"), "minhash-open")
+    most = now.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("m"))
+    odd = now.join(most.select("bucket", F.col("m.component").alias("main")), "bucket").filter("component != main")
+    odd = odd.join(side("odd"), F.col("rep") == F.col("odd")).select(
+        F.col("bucket").alias("at"), F.col("component").alias("apart"), *[f"`{c}`" for c in side("odd").columns])
+    every = now.join(side("all"), F.col("rep") == F.col("all")).drop("rep")
+    near = (F.col("at") == F.col("bucket")) & (F.col("apart") != F.col("component")) & _may_link("odd", "all")
+    pairs = odd.join(every, near).select(F.least("odd", "all").alias("a"), F.greatest("odd", "all").alias("b")).distinct()
+    return links.unionByName(confirmed(save(pairs, "minhash-pairs")))
