@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from pulsekit.llm.tokens import TextEncoder
+from pulsekit.llm.tokens import TextEncoder, ids_bytes
 
 _END = 0xE000  # a word's last symbol is a symbol of its own
 
@@ -139,7 +139,7 @@ class BpeEncoder(TextEncoder):
 
     def learn(self, new: list[str]) -> None:
         for p in new:
-            self.memo[p] = np.array(self.bpe.encode_word(self._bytes(p)), "<u4").tobytes()
+            self.memo[p] = ids_bytes(self.bpe.encode_word(self._bytes(p)))
 
     def whole(self, text: str) -> bytes:
         """Special tokens stand for themselves; the rest is normalised and cut by the library, encoded here."""
@@ -152,4 +152,4 @@ class BpeEncoder(TextEncoder):
                     part = self.library.normalizer.normalize_str(part)
                 for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(part):
                     out += self.bpe.encode_word(piece)
-        return np.array(out, "<u4").tobytes()
+        return ids_bytes(out)
