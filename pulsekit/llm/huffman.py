@@ -36,6 +36,7 @@ from pulsekit.llm.common import filesystem, need, save, shared_folder
 
 MAGIC = b"HUFIDS01"
 BLOCK, STEP, GROUP = 1 << 16, 1 << 10, 64  # ids a block, ids a checkpoint, blocks decoded together
+SUMS = 8  # tasks that add the counts up
 LIMIT = 16  # longest code, unless there are more than 2**16 ids
 
 
@@ -44,6 +45,8 @@ def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
 
     Ties go to the smaller id. A single id gets one bit.
     """
+    if limit > 24:
+        raise ValueError("codes of more than 24 bits are not supported")
     ids = np.flatnonzero(counts)
     out = np.zeros(len(counts), np.uint8)
     if len(ids) <= 1:
@@ -97,36 +100,35 @@ def encode_block(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tup
     return words.astype(">u4").tobytes()[: (int(ends[-1]) + 7) // 8], at[::STEP].tolist()
 
 
-def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """(id, code length) for every string of ``limit`` bits."""
+def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, int]:
+    """For every string of ``limit`` bits the id (times 32) and the length of the code it begins with."""
     limit = max(int(lengths.max(initial=1)), 1)
     ids = np.flatnonzero(lengths)
     ids = ids[np.lexsort((ids, lengths[ids]))]
     span = 1 << (limit - lengths[ids].astype(np.int64))
     fill = (1 << limit) - int(span.sum())  # only a lone id leaves strings unused
-    return (np.repeat(np.append(ids, 0), np.append(span, fill)).astype(np.uint32),
-            np.repeat(np.append(lengths[ids], 1), np.append(span, fill)).astype(np.int64), limit)
+    entry = np.append(ids * 32 + lengths[ids], 1)
+    return np.repeat(entry, np.append(span, fill)).astype(np.uint32), limit
 
 
-def decode_blocks(data: bytes, starts: list[int], counts: np.ndarray, table: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
-    """Ids from the given bit offsets in ``data``; ``counts[i]`` ids (STEP at most) follow offset i."""
-    symbol, size, limit = table
-    raw = np.frombuffer(data + b"\0" * 8, np.uint8).astype(np.uint64)
-    n = len(raw) - 4
-    word = raw[:n] << np.uint64(32) | raw[1 : n + 1] << np.uint64(24) | raw[2 : n + 2] << np.uint64(16)
-    word |= raw[3 : n + 3] << np.uint64(8) | raw[4 : n + 4]  # 40 bits from every byte on
+def decode_blocks(data: bytes, starts: list[int], counts: np.ndarray, table: tuple[np.ndarray, int]) -> np.ndarray:
+    """Ids from the given bit offsets in ``data``; ``counts[i]`` ids (STEP at most) follow offset i.
+
+    All offsets are followed side by side; what is read beyond a count is cut off.
+    """
+    entry, limit = table
+    raw = np.frombuffer(data + b"\0" * (STEP * limit // 8 + 8), np.uint8).astype(np.uint32)
+    word = raw[:-3] << np.uint32(24) | raw[1:-2] << np.uint32(16) | raw[2:-1] << np.uint32(8) | raw[3:]  # 32 bits from every byte on
     at = np.array(starts, np.int64)
-    out = np.zeros((len(at), STEP), np.uint32)
-    live = np.arange(len(at))
-    mask = np.uint64((1 << limit) - 1)
-    for j in range(int(counts.max(initial=0))):
-        if j and (counts[live] <= j).any():
-            live = live[counts[live] > j]
-        here = at[live]
-        look = (word[here >> 3] >> (40 - limit - (here & 7)).astype(np.uint64) & mask).astype(np.int64)
-        out[live, j] = symbol[look]
-        at[live] = here + size[look]
-    return out[np.arange(STEP) < counts[:, None]]
+    steps = int(counts.max(initial=0))
+    out = np.zeros((steps, len(at)), np.uint32)
+    mask = np.uint32((1 << limit) - 1)
+    room = 32 - limit  # a code begins at one of 8 bits: limit + 7 bits are enough
+    for j in range(steps):
+        look = word[at >> 3] >> (room - (at & 7)).astype(np.uint32) & mask
+        out[j] = entry[look]
+        at += out[j] & np.uint32(31)
+    return (out.T >> np.uint32(5))[np.arange(steps) < counts[:, None]]
 
 
 def _spool(path: str, end_id: int, folder: str, ids_type: str):
@@ -156,11 +158,24 @@ def _spool(path: str, end_id: int, folder: str, ids_type: str):
         if out is not None:
             out.close()
             sink.close()
-            used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([first], pa.int32()), pa.array([name]), pa.array([n_docs], pa.int64()), pa.array([int(counts.sum())], pa.int64()),
-                 pa.array([used.tolist()], pa.list_(pa.int32())), pa.array([counts[used].tolist()], pa.list_(pa.int64()))],
-                names=["part", "spool", "n_docs", "n_tokens", "ids", "counts"])
+                 pa.array([zlib.compress(counts.astype("<i8").tobytes(), 1)], pa.binary())],
+                names=["part", "spool", "n_docs", "n_tokens", "counts"])
+
+    return run
+
+
+def _sum_counts(top: int):
+    """Partial sums of the spools' counts, one row a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(top + 1, np.int64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                got = np.frombuffer(zlib.decompress(x), "<i8")
+                total[: len(got)] += got
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["counts"])
 
     return run
 
@@ -276,10 +291,12 @@ def write_archive(
     folder = shared_folder(spark, "ids")
     spools = save(ranged.mapInArrow(
         _spool(tokenizer, end_id, f"{folder}/spool", ids_type),
-        "part int, spool string, n_docs long, n_tokens long, ids array<int>, counts array<long>"), "ids-spools")
-    count = np.zeros(top + 1, np.int64)  # one number per vocabulary entry
-    for r in spools.select(F.explode(F.arrays_zip("ids", "counts")).alias("x")).groupBy("x.ids").agg(F.sum("x.counts")).collect():
-        count[r[0]] = r[1]
+        "part int, spool string, n_docs long, n_tokens long, counts binary"), "ids-spools")
+    # one number per vocabulary entry from each of a fixed number of tasks
+    sums = spools.select("counts").repartition(SUMS).mapInArrow(_sum_counts(top), "counts binary").collect()
+    count = np.zeros(top + 1, np.int64)
+    for r in sums:
+        count += np.frombuffer(r[0], "<i8")
     lengths = code_lengths(count, max(limit, int(np.ceil(np.log2(max(2, np.count_nonzero(count)))))))
     rows, start = [], 0
     for r in spools.select("part", "spool", "n_tokens").orderBy("part").collect():  # one row per file

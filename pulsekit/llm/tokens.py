@@ -20,7 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO = 1_200_000
+MEMO = 900_000
 #: The patterns by which the two public tokenizers split a text are
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+ (byte) and
 #: 's|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+ (word). Here they are spelt out for
@@ -31,6 +31,7 @@ PATTERNS = {
     "byte": f" ?[{_L}]+|{_SHORT}| ?[{_N}]+| ?[^ \t\n\r{_L}{_N}]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+",
     "word": f"[{_L}]+|{_SHORT}|[{_N}]|[^ \t\n\r{_L}{_N}]+",
 }
+_PLAIN_BYTES = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
 _PLAIN = r"[^\t\n\r\x20-\x7e\xa1-įı-ɏ‐-‧‰-⁞]"
 
 
@@ -56,10 +57,23 @@ class TextEncoder:
         self.lower = self.spec["normalizer"] is not None
         self.find = re.compile(PATTERNS["word" if self.lower else "byte"]).findall
         self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
-        odd = "|".join([_PLAIN, *map(re.escape, self.special)])
-        self.odd = re.compile(odd).search
+        self.not_plain = re.compile(_PLAIN).search
+        # a word's first token begins with the space before it; in the other kind its last one has the word end
+        suffix = self.spec["model"]["end_of_word_suffix"]
+        self.edge = np.zeros(self.library.get_vocab_size(), bool)
+        for token, i in self.spec["model"]["vocab"].items():
+            self.edge[i] = token.endswith(suffix) if suffix else token.startswith("\u0120")
+        self.edge_ends = bool(suffix)
         self.memo: dict[str, bytes] = {}
 
+    def odd(self, text: str) -> bool:
+        """Whether the text has other than plain characters, or a special token."""
+        try:
+            strange = bool(text.encode("latin-1").translate(None, _PLAIN_BYTES))
+        except UnicodeEncodeError:
+            strange = self.not_plain(text) is not None
+        return strange or any(t in text for t in self.special)
+
     def pieces(self, text: str) -> list[str] | None:
         """The pieces of a plain text; None if the library must take it whole."""
         if self.odd(text):
@@ -71,7 +85,22 @@ class TextEncoder:
 
     def learn(self, new: list[str]) -> None:
         """Fill the memo with the ids of new pieces."""
-        self.memo.update(zip(new, self._library(new), strict=True))
+        if self.edge_ends:
+            words = [p for p in new if p.isalpha()]
+            rest, text = [p for p in new if not p.isalpha()], " ".join(words)
+        else:
+            words = [p for p in new if p[0] == " " and p[1:].isalpha()]
+            rest, text = [p for p in new if p[0] != " " or not p[1:].isalpha()], "".join(words)
+        if words:  # in one text: the library splits it into these words again, and each word's edge shows
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self.edge[ids])
+            cut = [0, *(at + 1).tolist()] if self.edge_ends else [*at.tolist(), len(ids)]
+            if len(cut) != len(words) + 1 or cut[0] != 0 or cut[-1] != len(ids):
+                rest += words
+            else:
+                data = ids.tobytes()
+                self.memo.update((w, data[4 * a : 4 * b]) for w, a, b in zip(words, cut, cut[1:]))
+        self.memo.update(zip(rest, self._library(rest), strict=True))
 
     def whole(self, text: str) -> bytes:
         return self._library([text])[0]
