@@ -14,10 +14,11 @@ bucket is outside the bucket's largest component is compared with all members
 of other components. So every pair that shares a band ends up in one component
 or has been compared, and no group of copies is expanded into pairs.
 
-Before two texts meet, their sketches do (4 bits of each slot): pairs whose
-slots differ more than a pair at the threshold does in one of 10^9 cases
-are no candidates. Links are confirmed on the full shingle sets and grouped by
-union-find.
+Before two texts meet, their sketches do (a few bits of each slot, of a longer
+signature in the last round): pairs whose slots differ more than those of a
+pair at the threshold do in one of 10^5 cases, about as rare as a pair that
+misses all bands, are no candidates. Links are confirmed on the full shingle
+sets and grouped by union-find.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ from pulsekit.llm.components import connected_components
 
 SLOTS, BANDS = 128, 32  # 4 slots a band: at similarity 0.75 a pair misses all bands with probability 5e-6
 WORDS = 5
-SKETCH = SLOTS // 16  # 64-bit words of 4 bits a slot
-MOST_DIFFERENT = 61  # slots; a pair at 0.75 differs in 30, standard deviation 4.8 at most
+#: Sketches: slots, bits a slot, and the most slots that may differ. A pair at 0.75
+#: differs in 30 of 128 (standard deviation 4.8), and in 192 of 1024 (12.5 at most).
+SHORT, WIDE = (SLOTS, 4, 55), (1024, 2, 250)
 WORD_CACHE = 400_000
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -120,27 +122,41 @@ def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key
 
 
-def sketches(sig: np.ndarray) -> np.ndarray:
-    """4 bits of each slot, 16 slots in a 64-bit word."""
-    bits = (mix(sig + GOLDEN) & np.uint64(15)).reshape(len(sig), -1, 16)
-    return (bits << np.arange(0, 64, 4, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+def sketches(sig: np.ndarray, bits: int) -> np.ndarray:
+    """The last ``bits`` bits of each slot's hash, in 64-bit words."""
+    rows = (mix(sig + GOLDEN) & np.uint64((1 << bits) - 1)).reshape(len(sig), -1, 64 // bits)
+    return (rows << np.arange(0, 64, bits, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
 
 
-def _differing(a: str, b: str) -> Column:
+def _differing(a: str, b: str, kind: tuple[int, int, int]) -> Column:
     """Number of slots in which two sketches (columns ``a0``, ``b0`` and on) differ."""
-    total = F.lit(0)
-    for i in range(SKETCH):
+    slots, bits, _ = kind
+    total, lowest = F.lit(0), sum(1 << i for i in range(0, 63, bits))
+    for i in range(slots * bits // 64):
         x = F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))
-        for k in (1, 2):  # each 4-bit group to its lowest bit
+        for k in (1, 2)[: bits // 2]:  # each slot's bits to its lowest
             x = x.bitwiseOR(F.shiftrightunsigned(x, k))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(lowest)))
     return total
 
 
-def _may_link(a: str, b: str) -> Column:
+def _may_link(a: str, b: str, kind: tuple[int, int, int]) -> Column:
     """Sizes and sketches allow a similarity of 75 %."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
-    return (100 * F.least(n, m) >= 75 * F.greatest(n, m)) & (_differing(a, b) <= MOST_DIFFERENT)
+    return (100 * F.least(n, m) >= 75 * F.greatest(n, m)) & (_differing(a, b, kind) <= kind[2])
+
+
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rep, n, words of the long signature's sketch) of each text."""
+    slots, bits, _ = WIDE
+    for batch in batches:
+        for at in range(0, batch.num_rows, 16):
+            part = batch.slice(at, 16)
+            sets = [shingle_set(t) for t in part.column(1).to_pylist()]
+            counts = np.array([len(x) for x in sets])
+            words = sketches(superminhash(np.concatenate(sets), counts, slots), bits).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), *map(pa.array, words.T)],
+                                             names=["rep", "n", *map(str, range(words.shape[1]))])
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,12 +174,13 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sig = superminhash(np.concatenate(sets), counts)
             keys = band_keys(sig).astype(np.int64)[counts > 0].ravel()
             offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, BANDS, 0))]).astype(np.int32)
-            places = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * SKETCH)
+            words = sketches(sig, SHORT[1]).astype(np.int64)
+            places = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * words.shape[1])
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(start, at - start), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
-                 pa.ListArray.from_arrays(places, pa.array(sketches(sig).astype(np.int64).ravel()))],
+                 pa.ListArray.from_arrays(places, pa.array(words.ravel()))],
                 names=["doc_id", "n_shingles", "digest", "bands", "sketch"],
             )
 
@@ -225,10 +242,10 @@ def _links(src: DataFrame, classes: DataFrame) -> DataFrame:
     ids = left.select("rep").distinct()
     body = save(src.join(ids, src["doc_id"] == ids["rep"]).select("rep", "text"), "minhash-texts")
     sketch = save(texts.join(ids, "rep", "left_semi").select(
-        "rep", F.col("n_shingles").alias("n"), *[F.col("sketch")[i].alias(str(i)) for i in range(SKETCH)]), "minhash-sketches")
+        "rep", F.col("n_shingles").alias("n"), *[F.col("sketch")[i].alias(str(i)) for i in range(SHORT[0] * SHORT[1] // 64)]), "minhash-sketches")
 
-    def side(name: str) -> DataFrame:
-        return sketch.select(*[F.col(f"`{c}`").alias(name if c == "rep" else f"{name}{c}") for c in sketch.columns])
+    def side(name: str, of: DataFrame) -> DataFrame:
+        return of.select(*[F.col(f"`{c}`").alias(name if c == "rep" else f"{name}{c}") for c in of.columns])
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         a = body.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
@@ -238,8 +255,8 @@ def _links(src: DataFrame, classes: DataFrame) -> DataFrame:
 
     def stars(pairs: DataFrame) -> DataFrame:
         """Of each text's hubs, the one with the nearest sketch is compared."""
-        near = pairs.join(side("rep"), "rep").join(side("hub"), "hub").filter(_may_link("rep", "hub"))
-        best = near.groupBy("rep").agg(F.min(F.struct(_differing("rep", "hub").alias("d"), "hub")).alias("h"))
+        near = pairs.join(side("rep", sketch), "rep").join(side("hub", sketch), "hub").filter(_may_link("rep", "hub", SHORT))
+        best = near.groupBy("rep").agg(F.min(F.struct(_differing("rep", "hub", SHORT).alias("d"), "hub")).alias("h"))
         return confirmed(best.select(F.least("rep", "h.hub").alias("a"), F.greatest("rep", "h.hub").alias("b")).distinct())
 
     def still_open(links: DataFrame) -> DataFrame:
@@ -259,9 +276,12 @@ def _links(src: DataFrame, classes: DataFrame) -> DataFrame:
     now = save(still_open(links).drop("hi"), "minhash-open")
     most = now.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("m"))
     odd = now.join(most.select("bucket", F.col("m.component").alias("main")), "bucket").filter("component != main")
-    odd = odd.join(side("odd"), F.col("rep") == F.col("odd")).select(
-        F.col("bucket").alias("at"), F.col("component").alias("apart"), *[f"`{c}`" for c in side("odd").columns])
-    every = now.join(side("all"), F.col("rep") == F.col("all")).drop("rep")
-    near = (F.col("at") == F.col("bucket")) & (F.col("apart") != F.col("component")) & _may_link("odd", "all")
+    words = WIDE[0] * WIDE[1] // 64
+    texts = body.join(now.select("rep").distinct(), "rep", "left_semi").select("rep", "text")
+    wide = save(texts.mapInArrow(_wide, "rep long, n long, " + ", ".join(f"`{i}` long" for i in range(words))), "minhash-wide")
+    odd = odd.join(side("odd", wide), F.col("rep") == F.col("odd")).select(
+        F.col("bucket").alias("at"), F.col("component").alias("apart"), *[f"`{c}`" for c in side("odd", wide).columns])
+    every = now.join(side("all", wide), F.col("rep") == F.col("all")).drop("rep")
+    near = (F.col("at") == F.col("bucket")) & (F.col("apart") != F.col("component")) & _may_link("odd", "all", WIDE)
     pairs = odd.join(every, near).select(F.least("odd", "all").alias("a"), F.greatest("odd", "all").alias("b")).distinct()
     return links.unionByName(confirmed(save(pairs, "minhash-pairs")))
