@@ -147,7 +147,7 @@ def _spool(path: str, end_id: int, folder: str, ids_type: str):
                 if out is None:
                     fs.create_dir(base)
                     sink = fs.open_output_stream(filesystem(name)[1])
-                    out = pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                    out = pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="lz4"))
                     first = part.column(2)[0].as_py()
                 rows = [np.frombuffer(x + tail, "<u4") for x in enc.encode(part.column(1).to_pylist())]
                 got = np.bincount(np.concatenate(rows), minlength=len(counts))

@@ -17,10 +17,12 @@ import re
 import sys
 from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
-MEMO = 900_000
+MEMO, GROUP = 900_000, 6_000_000  # pieces remembered, characters encoded together
 #: The patterns by which the two public tokenizers split a text are
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+ (byte) and
 #: 's|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+ (word). Here they are spelt out for
@@ -107,17 +109,36 @@ class TextEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text (null: empty) as bytes."""
-        out = []
-        for at in range(0, len(texts), 512):
-            split = [self.pieces(t) if t else [] for t in texts[at : at + 512]]
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            new = set().union(*(s for s in split if s)) - self.memo.keys()
-            if new:
-                self.learn(list(new))
-            get = self.memo.__getitem__
-            out += [self.whole(t) if s is None else b"".join(map(get, s)) for s, t in zip(split, texts[at : at + 512])]
-        return out
+        out, group, size = [], [], 0
+        for t in texts:
+            group.append(t or "")
+            size += len(group[-1])
+            if size > GROUP:
+                out += self._encode(group)
+                group, size = [], 0
+        return out + self._encode(group)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """A group of texts: each different piece is looked up once, its ids are gathered to all its places."""
+        split = [self.pieces(t) for t in texts]
+        flat = pa.array(list(chain.from_iterable(s for s in split if s)), pa.string()).dictionary_encode()
+        words, place = flat.dictionary.to_pylist(), flat.indices.to_numpy()
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        found = list(map(self.memo.get, words))
+        new = [i for i, x in enumerate(found) if x is None]
+        if new:
+            self.learn([words[i] for i in new])
+            for i in new:
+                found[i] = self.memo[words[i]]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        many = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = (np.cumsum(many) - many)[place]
+        many = many[place]
+        ends = np.cumsum(many)
+        data = ids[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - many - first, many)].tobytes()
+        at = np.concatenate([[0], ends])[np.cumsum([0, *(len(s or ()) for s in split)])].tolist()
+        return [self.whole(t) if s is None else data[4 * a : 4 * b] for t, s, a, b in zip(texts, split, at, at[1:])]
 
 
 @lru_cache(maxsize=4)
