@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.session import checkpoint_dir
+from pulsekit.session import checkpoint_dir, ship_package
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -47,8 +47,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Rows that Spark hands to a Python worker at once: texts can be long, and a worker holds a batch or two.
+BATCH_ROWS = 1000
+
+
+def workers_ready(spark: SparkSession) -> None:
+    """Executors can import this package, and batches of whole texts stay small."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def need(df: DataFrame, *cols: str) -> DataFrame:
     """The named columns only, so that no other column of the input can clash."""
+    workers_ready(df.sparkSession)
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"input lacks the columns {missing}")

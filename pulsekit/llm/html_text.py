@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import need
+from pulsekit.llm.common import need, workers_ready
 
 SAMPLE = 2000
 WORD, TAG = 1.0, 1.0  # weights of kinds that no labelled page has
@@ -232,6 +232,7 @@ def extract_text(pages: DataFrame, weights: dict[str, float], html_col: str = "h
     A null or empty page, and one without any text that scores, has no blocks.
     A name that the kept columns have already is refused.
     """
+    workers_ready(pages.sparkSession)
     keep = list(pages.columns if keep is None else keep)
     if blocks_col in keep:
         raise ValueError(f"{blocks_col} clashes with a column of the input; name another")

@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import need
+from pulsekit.llm.common import need, workers_ready
 
 SAMPLE, MIN_DOCS, LIFT, FEATURES = 3000, 4, 2.5, 30_000
 EPOCHS, RATE, DECAY = 150, 0.1, 1e-4
-MEMO = 400_000
+MEMO = 200_000
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -84,6 +84,9 @@ def train(texts: list[str], labels: list[int]) -> dict:
     return {"weights": {f: float(x) for f, x in zip(names, w) if abs(x) > 1e-6}, "bias": float(bias)}
 
 
+_NOTHING: dict[str, float] = {}
+
+
 class Scorer:
     """Applies a trained model; a word's summed weight is kept in a bounded memo."""
 
@@ -96,7 +99,7 @@ class Scorer:
         if got is None:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
-            got = self.memo[word] = {f: x for f in features(word) if (x := self.weights.get(f))}
+            got = self.memo[word] = {f: x for f in features(word) if (x := self.weights.get(f))} or _NOTHING
         return got
 
     def sentence(self, text: str) -> float:
@@ -136,24 +139,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train([t for t, _ in rows], [y for _, y in rows])
 
 
-_SCORERS: dict[str, Scorer] = {}  # a worker's latest model
-
+def _score(model: str, at: int):
+    """Task: append score and spans to the rows; the text is column ``at``."""
 
-def _score(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[model] = Scorer(json.loads(model))
-        scorer = _SCORERS[model]
+        scorer = Scorer(json.loads(model))
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                got = [scorer.document(t) for t in part.column("__text").to_pylist()]
-                spans = [[{"start": a, "end": b, "score": float(x)} for a, b, x in s] for _, s in got]
-                kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([s for s, _ in got], pa.float64()), pa.array(spans, kind)],
-                    names=[*part.schema.names[:-1], "__score", "__spans"])
+            got = [scorer.document(t.as_py()) for t in batch.column(at)]
+            spans = [[{"start": a, "end": b, "score": float(x)} for a, b, x in s] for _, s in got]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([s for s, _ in got], pa.float64()), pa.array(spans, kind)],
+                                             names=[*batch.schema.names, "__score", "__spans"])
 
     return run
 
@@ -165,10 +161,13 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", score_col: str =
     are code point offsets. Repeated rows get equal scores. Names that the
     kept columns have already are refused.
     """
+    workers_ready(docs.sparkSession)
     keep = list(docs.columns if keep is None else keep)
     if {score_col, spans_col} & set(keep):
         raise ValueError(f"{score_col}, {spans_col} clash with columns of the input; name others")
-    src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    schema = f"{kinds}{', ' if keep else ''}__score double, __spans array<struct<start:int,end:int,score:double>>"
-    return src.mapInArrow(_score(json.dumps(model)), schema).withColumnsRenamed({"__score": score_col, "__spans": spans_col})
+    cols = keep if text_col in keep else [*keep, text_col]
+    src = docs.select(*[F.col(f"`{c}`") for c in cols])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields)
+    out = src.mapInArrow(_score(json.dumps(model), cols.index(text_col)),
+                         f"{kinds}, __score double, __spans array<struct<start:int,end:int,score:double>>")
+    return out.select(*[F.col(f"`{c}`") for c in keep], F.col("__score").alias(score_col), F.col("__spans").alias(spans_col))
