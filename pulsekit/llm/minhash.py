@@ -38,7 +38,7 @@ WORDS = 5
 #: Sketches: slots, bits a slot, and the most slots that may differ. A pair at 0.75
 #: differs in 30 of 128 (standard deviation 4.8), and in 192 of 1024 (12.5 at most).
 SHORT, WIDE = (SLOTS, 4, 55), (1024, 2, 250)
-WORD_CACHE = 400_000
+WORD_CACHE = 150_000
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -236,9 +236,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _links(src: DataFrame, classes: DataFrame) -> DataFrame:
     """Confirmed links (a, b) that join all texts which are similar and share a band."""
     texts = classes.filter("bands is not null")
-    rows = texts.select("rep", F.explode("bands").alias("bucket"))
+    rows = texts.select("rep", F.posexplode("bands").alias("place", "bucket"))
     shared = rows.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("last > hub")
-    left = save(rows.join(shared, "bucket").select("bucket", "rep", "hub").distinct(), "minhash-buckets")
+    left = save(rows.join(shared, "bucket").select("bucket", "place", "rep", "hub").distinct(), "minhash-buckets")
     ids = left.select("rep").distinct()
     body = save(src.join(ids, src["doc_id"] == ids["rep"]).select("rep", "text"), "minhash-texts")
     sketch = save(texts.join(ids, "rep", "left_semi").select(
@@ -262,10 +262,10 @@ def _links(src: DataFrame, classes: DataFrame) -> DataFrame:
     def still_open(links: DataFrame) -> DataFrame:
         """Rows of the buckets that hold more than one component."""
         labels = connected_components(links, "a", "b").withColumnRenamed("node", "rep")
-        now = save(left.select("bucket", "rep").join(labels, "rep", "left").select(
-            "bucket", "rep", F.coalesce("component", "rep").alias("component")), "minhash-labelled")
+        now = save(left.drop("hub").join(labels, "rep", "left").select(
+            "bucket", "place", "rep", F.coalesce("component", "rep").alias("component")), "minhash-labelled")
         mixed = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-        return now.join(mixed, "bucket").select("bucket", "rep", "component", "hi")
+        return now.join(mixed, "bucket").select("bucket", "place", "rep", "component", "hi")
 
     links = stars(left.filter("rep != hub").select("rep", "hub").distinct())
     # second hub: a member of the component with the largest label
@@ -277,11 +277,14 @@ def _links(src: DataFrame, classes: DataFrame) -> DataFrame:
     most = now.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("m"))
     odd = now.join(most.select("bucket", F.col("m.component").alias("main")), "bucket").filter("component != main")
     words = WIDE[0] * WIDE[1] // 64
-    texts = body.join(now.select("rep").distinct(), "rep", "left_semi").select("rep", "text")
-    wide = save(texts.mapInArrow(_wide, "rep long, n long, " + ", ".join(f"`{i}` long" for i in range(words))), "minhash-wide")
+    open_texts = body.join(now.select("rep").distinct(), "rep", "left_semi").select("rep", "text")
+    wide = save(open_texts.mapInArrow(_wide, "rep long, n long, " + ", ".join(f"`{i}` long" for i in range(words))), "minhash-wide")
+    wide = wide.join(texts.select("rep", "bands"), "rep")
     odd = odd.join(side("odd", wide), F.col("rep") == F.col("odd")).select(
         F.col("bucket").alias("at"), F.col("component").alias("apart"), *[f"`{c}`" for c in side("odd", wide).columns])
     every = now.join(side("all", wide), F.col("rep") == F.col("all")).drop("rep")
-    near = (F.col("at") == F.col("bucket")) & (F.col("apart") != F.col("component")) & _may_link("odd", "all", WIDE)
+    # a pair counts in the first bucket that it shares
+    sooner = F.arrays_overlap(F.slice("oddbands", 1, F.col("place")), F.slice("allbands", 1, F.col("place")))
+    near = (F.col("at") == F.col("bucket")) & (F.col("apart") != F.col("component")) & _may_link("odd", "all", WIDE) & ~sooner
     pairs = odd.join(every, near).select(F.least("odd", "all").alias("a"), F.greatest("odd", "all").alias("b")).distinct()
     return links.unionByName(confirmed(save(pairs, "minhash-pairs")))

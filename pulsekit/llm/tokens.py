@@ -22,7 +22,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-MEMO, GROUP = 900_000, 6_000_000  # pieces remembered, characters encoded together
+MEMO, GROUP = 400_000, 3_000_000  # pieces remembered, characters encoded together
 #: The patterns by which the two public tokenizers split a text are
 #: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+ (byte) and
 #: 's|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+ (word). Here they are spelt out for
