@@ -113,7 +113,31 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, beam:
             for b in range(0, len(to), 256):
                 edges[to[b : b + 256]] = robust_prune(
                     x, to[b : b + 256], np.concatenate([edges[to[b : b + 256]], back[b : b + 256]], axis=1), degree, a)
-    return edges, start
+    return connect(x, edges, start, beam), start
+
+
+def connect(x: np.ndarray, edges: np.ndarray, start: int, beam: int) -> np.ndarray:
+    """Two more columns of edges that make every point reachable from the entry.
+
+    Pruning can leave points without a way in (copies above all). They are
+    hung, one after another, below the nearest point that a search finds.
+    """
+    wide = np.concatenate([edges, np.full((len(x), 2), -1, np.int64)], axis=1)
+    seen, now = np.zeros(len(x), bool), np.array([start])
+    while len(now):
+        seen[now] = True
+        now = np.unique(edges[now])
+        now = now[(now >= 0)]
+        now = now[~seen[now]]
+    lost = np.flatnonzero(~seen)
+    if len(lost):
+        above = np.concatenate([beam_search(x, edges, start, x[lost[k : k + 512]], beam)[0][:, 0] for k in range(0, len(lost), 512)])
+        order = np.argsort(above, kind="stable")
+        lost, above = lost[order], above[order]
+        first = np.diff(above, prepend=-1) != 0
+        wide[above[first], -2] = lost[first]
+        wide[lost[:-1][~first[1:]], -1] = lost[1:][~first[1:]]
+    return wide
 
 
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -45,10 +45,9 @@ def features(word: str) -> list[str]:
 
 def train(texts: list[str], labels: list[int]) -> dict:
     """Weights by gradient descent (Adam) on the log loss of the noisy-or of each document."""
-    seen = Counter()
-    bags = []
+    seen, known, bags = Counter(), {}, []  # known: one string a word
     for t in texts:
-        bags.append([_WORD.findall(s.lower()) for s in sentences(t)])
+        bags.append([[known.setdefault(w, w) for w in _WORD.findall(s.lower())] for s in sentences(t)])
         seen.update({f for words in bags[-1] for w in set(words) for f in features(w)})
     toxic = Counter(f for bag, y in zip(bags, labels) if y for f in {f for words in bag for w in set(words) for f in features(w)})
     rate = sum(labels) / len(labels)

@@ -101,7 +101,7 @@ class ArchiveWriter:
     def _open(self) -> None:
         data = build_dictionary(self.sample)
         frame = zstandard.ZstdCompressor(level=LEVEL).compress(data)
-        self.out = self.fs.open_output_stream(self.path)
+        self.out = self.fs.open_output_stream(self.path, compression=None)  # frames are as written
         self._put(DICT_MAGIC + len(frame).to_bytes(4, "little") + frame)
         self.zstd = zstandard.ZstdCompressor(level=LEVEL, dict_data=open_dictionary(data), write_checksum=True, write_content_size=True)
         for r in self.sample:
@@ -133,7 +133,7 @@ class ArchiveWriter:
 def read_records(uri: str) -> Iterator[dict]:
     """The records of a file in order, one in memory at a time."""
     fs, path = filesystem(uri)
-    with fs.open_input_stream(path) as f:
+    with fs.open_input_stream(path, compression=None) as f:
         head = f.read(8)
         if head[:4] != DICT_MAGIC:
             raise ValueError(f"{uri} does not begin with a dictionary frame")
