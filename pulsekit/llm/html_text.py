@@ -195,8 +195,10 @@ def extract(page: str | None, weights: dict[str, float]) -> list[str]:
 
 def learn_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> dict[str, float]:
     """Weights from up to ``sample`` pages (in the order of a hash of the id); {} if none marks its article."""
-    rows = need(pages, id_col, html_col).toDF("page_id", "html").filter("html is not null")
-    rows = rows.orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    rows = need(pages, id_col, html_col).toDF("page_id", "html").filter("html is not null and page_id is not null")
+    # at most `sample` ids of 8 bytes are gathered and broadcast, not their pages
+    ids = rows.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    rows = rows.join(F.broadcast(ids), "page_id")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
