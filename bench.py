@@ -44,8 +44,6 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]", app_name="pulsekit-bench", shuffle_partitions=int(cpus) * 2,
                       extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     spark.sparkContext.setLogLevel("ERROR")
-    if os.environ.get("BENCH_MIN_SCAN_PARTITIONS"):
-        spark.conf.set("pulsekit.minScanPartitions", os.environ["BENCH_MIN_SCAN_PARTITIONS"])
     queries, _ = load_all()
     n_events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     times: dict[str, float] = {}

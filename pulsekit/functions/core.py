@@ -27,14 +27,17 @@ def nan_to_null(c: str | Column) -> Column:
 
 
 def clip_keep_null(c: str | Column, lo: float | None, hi: float | None) -> Column:
-    """Clamp into [lo, hi] while keeping NULL (``greatest``/``least`` skip NULLs)."""
+    """Clamp into [lo, hi]; NULL stays NULL (``greatest``/``least`` skip it) and NaN becomes NULL.
+
+    NaN sorts above every number, so ``least`` would turn it into the upper bound.
+    """
     c = as_col(c)
     out = c
     if lo is not None:
         out = F.greatest(out, F.lit(float(lo)))
     if hi is not None:
         out = F.least(out, F.lit(float(hi)))
-    return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(out)
+    return F.when(c.isNull() | F.isnan(c.cast("double")), F.lit(None).cast("double")).otherwise(out)
 
 
 def safe_ratio(num: str | Column, den: str | Column) -> Column:

@@ -66,15 +66,20 @@ def accuracy(df: DataFrame, y_true: str, y_pred: str, by: list[str] | None = Non
 
 
 def regression_metrics(df: DataFrame, y_true: str, y_pred: str, by: list[str] | None = None) -> DataFrame:
-    """MSE, R2, RMSE (4 dp). Constant target: R2 = 1 when predictions are exact, else 0."""
+    """MSE, R2, RMSE (4 dp). Constant target: R2 = 1 when predictions are exact, else 0.
+
+    Every term is over the same rows, those with both values; ``n_samples`` is their number.
+    """
     by = by or []
     y, p = F.col(y_true).cast("double"), F.col(y_pred).cast("double")
+    both = y.isNotNull() & p.isNotNull()
+    y = F.when(both, y)
     err = (y - p) * (y - p)
     aggs = [
         F.avg(err).alias("__mse"),
         F.sum(err).alias("__ssr"),
         (F.var_pop(y) * F.count(y)).alias("__sst"),
-        F.count(F.lit(1)).alias("n_samples"),
+        F.count(y).alias("n_samples"),
     ]
     out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     r2 = (

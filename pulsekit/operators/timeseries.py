@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsekit.functions import as_col
+from pulsekit.functions import as_col, nan_to_null
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 DAY_US = 86_400_000_000
@@ -37,9 +37,12 @@ def clock_drift(
     by: list[str] | None = None,
     max_drift_seconds: float = 5.0,
 ) -> DataFrame:
-    """Mean / max |device - server| in seconds; critical when max > limit."""
+    """Mean / max |device - server| in seconds; critical when max > limit.
+
+    Pairs without a difference (NULL or NaN on either side) do not count.
+    """
     by = by or []
-    d = F.abs(as_col(device_col).cast("double") - as_col(server_col).cast("double"))
+    d = nan_to_null(F.abs(as_col(device_col).cast("double") - as_col(server_col).cast("double")))
     aggs = [F.avg(d).alias("mean_drift_sec"), F.max(d).alias("max_drift_sec")]
     out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     return out.withColumn("is_drift_critical", F.col("max_drift_sec") > F.lit(float(max_drift_seconds)))

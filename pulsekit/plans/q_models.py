@@ -44,8 +44,8 @@ def _model_query(fn, **kw):
 
 register("model_heart_rate_anomaly")(_model_query(anomaly.train_heart_rate))
 register("model_spo2_critical")(_model_query(mllib_models.train_spo2))
-register("model_combined_vitals")(_model_query(anomaly.train_combined, max_iter=60))
+register("model_combined_vitals")(_model_query(anomaly.train_combined, max_iter=250))
 register("model_sleep_quality")(_model_query(mllib_models.train_sleep))
-register("model_activity_recognition")(_model_query(mllib_models.train_activity, max_iter=100))
+register("model_activity_recognition")(_model_query(mllib_models.train_activity, max_iter=250))
 register("model_glucose_patterns")(_model_query(mllib_models.train_glucose))
 register("model_risk_score")(_model_query(mllib_models.train_risk))

@@ -54,22 +54,22 @@ for _m in ("standard", "minmax", "robust"):
     "scaled_robust",
     with_vitals(
         "SELECT patient_id, timestamp, "
-        + ", ".join(f"{R(f'({c} - p.c_{c}) / p.s_{c}', 6)} AS {c}" for c in SCALE_COLS[:3])
+        + ", ".join(f"{R(f'({c} - p.c_{c}) / p.s_{c}', 6)} AS {c}" for c in SCALE_COLS)
         + " FROM vitals, p",
         "p AS (SELECT "
         + ", ".join(
             f"quantile_cont({c}, 0.5) AS c_{c}, CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) = 0 "
             f"THEN 1.0 ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END AS s_{c}"
-            for c in SCALE_COLS[:3]
+            for c in SCALE_COLS
         )
         + " FROM vitals)",
     ),
 )
 def q_scaled_robust(spark, sf_dir):
     v = load_vitals(spark, sf_dir)
-    sc = Scaler("robust").fit(v, SCALE_COLS[:3])
-    out = sc.transform(v.select("patient_id", "timestamp", *SCALE_COLS[:3]))
-    return out.select("patient_id", "timestamp", *[round_half_up(c, 6).alias(c) for c in SCALE_COLS[:3]])
+    sc = Scaler("robust").fit(v, SCALE_COLS)
+    out = sc.transform(v.select("patient_id", "timestamp", *SCALE_COLS))
+    return out.select("patient_id", "timestamp", *[round_half_up(c, 6).alias(c) for c in SCALE_COLS])
 
 
 # ---------------------------------------------------------------------------

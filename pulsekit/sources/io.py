@@ -42,12 +42,20 @@ def read_measurements(
         reader = spark.read.schema(schema) if schema is not None else spark.read
         df = reader.parquet(source)
     elif kind == "csv":
-        df = spark.read.schema(schema or MEASUREMENT_SCHEMA).option("header", True).csv(source)
+        df = _read_csv(spark, source, schema or MEASUREMENT_SCHEMA)
     else:
-        raise ValueError("Unsupported file format. Use .parquet or .csv")
+        raise ValueError(f"cannot read {source!r}: only parquet and CSV sources are known")
     return normalize_nans(df)
 
 
+def _read_csv(spark: SparkSession, source: str, schema: T.StructType) -> DataFrame:
+    """Columns by their names in the header, in any order; those the file lacks are NULL, others are ignored."""
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(source)  # strings: no inference pass
+    known = set(raw.columns)
+    return raw.select(*[
+        (F.col(f"`{f.name}`") if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def write_measurements(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """Parquet sink (optionally partitioned, e.g. by date, for partition pruning)."""
     w = df.write.mode(mode)
