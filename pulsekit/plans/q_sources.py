@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulsekit.plans.catalog import register
+from pulsekit.plans.oracles import R
 from pulsekit.sources import io
 from pulsekit.sources.adapter import read_table
 
@@ -34,11 +35,27 @@ def q_encrypt_roundtrip(spark, sf_dir):
     )
 
 
-@register("file_manifest")
+# S9 / S10 over a given table: each document is an artifact. The file form stays a helper.
+_MANIFEST_SQL = (
+    "m AS (SELECT CAST(doc_id AS VARCHAR) AS file, CASE WHEN text IS NOT NULL THEN sha256(text) END AS sha256, "
+    "CAST(coalesce(octet_length(encode(text)), 0) AS BIGINT) AS size_bytes FROM documents), "
+    f"k AS (SELECT *, {R('size_bytes / 1024.0', 2)} AS size_kb, {R('size_bytes / 1048576.0', 3)} AS size_mb FROM m)"
+)
+DOC_BUDGET_KB = 4.0
+
+
+@register("file_manifest", f"WITH {_MANIFEST_SQL} SELECT file, sha256, size_bytes, size_kb, size_mb FROM k")
 def q_file_manifest(spark, sf_dir):
-    return io.file_manifest(spark, f"{sf_dir.rstrip('/')}/*.parquet")
+    return io.artifact_manifest(read_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@register("manifest_audit")
+@register(
+    "manifest_audit",
+    f"WITH {_MANIFEST_SQL}, d AS (SELECT sha256, count(*) AS n FROM k WHERE sha256 IS NOT NULL GROUP BY sha256) "
+    f"SELECT k.file, k.sha256, k.size_kb, k.size_kb <= {DOC_BUDGET_KB} AS is_within_budget, "
+    "CAST(coalesce(d.n, 0) AS BIGINT) AS copies, coalesce(d.n, 0) > 1 AS duplicate_checksum "
+    "FROM k LEFT JOIN d ON k.sha256 = d.sha256",
+)
 def q_manifest_audit(spark, sf_dir):
-    return io.manifest_audit(io.file_manifest(spark, f"{sf_dir.rstrip('/')}/*.parquet"))
+    docs = read_table(spark, sf_dir, "documents")
+    return io.manifest_audit(io.artifact_manifest(docs, "doc_id", "text"), DOC_BUDGET_KB)

@@ -108,6 +108,22 @@ def file_manifest(spark: SparkSession, path_glob: str, expected: list[str] | Non
     )
 
 
+def artifact_manifest(df: DataFrame, name_col: str, content_col: str) -> DataFrame:
+    """S9 over a table of artifacts, one per row: same columns as :func:`file_manifest`.
+
+    Narrow, so it scales with the table; a NULL content has size 0 and no checksum.
+    """
+    content = F.col(content_col).cast("binary")
+    size = F.coalesce(F.octet_length(content), F.lit(0)).cast("bigint")
+    return df.select(
+        F.col(name_col).cast("string").alias("file"),
+        F.sha2(content, 256).alias("sha256"),
+        size.alias("size_bytes"),
+        round_half_up(size / 1024.0, 2).alias("size_kb"),
+        round_half_up(size / (1024.0 * 1024.0), 3).alias("size_mb"),
+    )
+
+
 def manifest_audit(manifest: DataFrame, budget_kb: float = 2048.0) -> DataFrame:
     """Per file: within budget (inclusive) and how many files share its checksum."""
     dup = manifest.where(F.col("sha256").isNotNull()).groupBy("sha256").agg(F.count(F.lit(1)).alias("copies"))
