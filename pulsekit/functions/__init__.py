@@ -1,7 +1,6 @@
 from pulsekit.functions.core import (
     as_col,
     clip_keep_null,
-    exact_mean,
     ks_pvalue,
     nan_to_null,
     round_half_up,
@@ -12,7 +11,6 @@ from pulsekit.functions.core import (
 __all__ = [
     "as_col",
     "clip_keep_null",
-    "exact_mean",
     "ks_pvalue",
     "nan_to_null",
     "round_half_up",

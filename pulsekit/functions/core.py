@@ -67,15 +67,3 @@ def ks_pvalue(d: str | Column, n: str | Column, m: str | Column, terms: int = 10
         * F.exp(F.lit(-2.0) * k.cast("double") * k.cast("double") * lam * lam),
     )
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
-
-
-def exact_mean(c: str | Column, scale: int = 12) -> Column:
-    """Order-independent mean: exact DECIMAL sum, one final double division.
-
-    A double ``avg`` depends on the order partial sums are merged in (task
-    completion order), so a mean that sits on a rounding tie can flip between
-    runs. Values are taken at ``scale`` decimals (sensor data has far fewer).
-    """
-    x = as_col(c).cast("double")
-    x = F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
-    return F.sum(x.cast(f"decimal(38,{scale})")).cast("double") / F.count(x)

@@ -9,6 +9,7 @@ from pulsekit.models.autoencoder import fit_autoencoder
 from pulsekit.models.common import FitResult
 from pulsekit.models.isolation_forest import fit_isolation_forest
 from pulsekit.operators import metrics
+from pulsekit.operators.ordered import exact_quantiles
 from pulsekit.operators.scaling import Scaler
 from pulsekit.schema import COMBINED_FEATURES, HR_FEATURES
 
@@ -32,7 +33,7 @@ def train_heart_rate(tagged: DataFrame, n_trees: int = 100, seed: int = 42, spli
     forest = fit_isolation_forest(scaler.transform(train), HR_FEATURES, n_trees=n_trees, seed=seed,
                                   key_cols=["patient_id", "timestamp", *HR_FEATURES])
     scored_train = forest.score_column(scaler.transform(train)).withColumn("score", -F.col("anomaly_score"))
-    threshold = scored_train.agg(F.percentile("score", F.lit(float(contamination)))).first()[0]
+    threshold = exact_quantiles(scored_train, "score", [contamination]).first().quantiles[0]
     ev = forest.score_column(scaler.transform(tagged.where(F.col("split") == split)))
     ev = ev.withColumn("score", -F.col("anomaly_score")).withColumn("pred", (F.col("score") <= threshold).cast("int"))
     m = _eval(ev, label, "anomaly_score")
@@ -49,7 +50,7 @@ def train_combined(tagged: DataFrame, max_iter: int = 250, percentile: float = 9
     scaler = Scaler("standard").fit(train, COMBINED_FEATURES)
     ae = fit_autoencoder(scaler.transform(train), COMBINED_FEATURES, max_iter=max_iter, seed=seed)
     err_train = ae.error_column(scaler.transform(train).dropna(subset=COMBINED_FEATURES))
-    threshold = err_train.agg(F.percentile("recon_error", F.lit(percentile / 100.0))).first()[0]
+    threshold = exact_quantiles(err_train, "recon_error", [percentile / 100.0]).first().quantiles[0]
     ae.threshold = threshold
     ev = ae.error_column(scaler.transform(tagged.where(F.col("split") == split)).dropna(subset=COMBINED_FEATURES))
     ev = ev.withColumn("pred", (F.col("recon_error") >= threshold).cast("int"))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsekit.functions import ks_pvalue, round_half_up
-from pulsekit.operators.ordered import materialize, running_totals
+from pulsekit.operators.ordered import materialize, quantile_columns, ranged, running_totals
 from pulsekit.schema import DRIFT_P_VALUE, DRIFT_PSI, PSI_BUCKETS, PSI_FLOOR
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -76,7 +76,7 @@ def feature_drift(
     p_value_threshold: float = DRIFT_P_VALUE,
     psi_threshold: float = DRIFT_PSI,
     exact: bool = True,
-    n_buckets_rank: int | None = None,
+    n_ranges: int | None = None,
     p_method: str = "asymptotic",
     exact_max_n: int = 10_000,
 ) -> DataFrame:
@@ -86,33 +86,41 @@ def feature_drift(
     ``ks_statistic`` (4 dp), ``p_value`` (5 dp) and ``psi`` (4 dp) are reported.
     A feature with no values on either side is skipped (no row).
 
-    ``p_method="exact"`` replaces the asymptotic p-value by the exact
-    equal-size distribution where n_ref == n_cur <= ``exact_max_n`` (one small
-    action: the per-feature D and counts are brought to the driver).
+    ``p_method="exact"`` takes the exact equal-size distribution instead of the
+    asymptotic one; it raises where that does not apply (sizes that differ or
+    exceed ``exact_max_n``).
     """
     features = features if features is not None else auto_features(reference, current)
     long = to_long(reference, features, "ref").unionByName(to_long(current, features, "cur"))
 
     # The only pass over the raw rows: counts per (feature, value) and side.
-    # Partial aggregation shrinks it map-side; it is checkpointed once and
-    # every statistic below is derived from the checkpointed compact table.
-    per_value = materialize(long.groupBy("feature_idx", "value").agg(
+    # Partial aggregation shrinks it map-side; it is checkpointed once, in
+    # ranges of (feature, value), and everything below comes from it.
+    per_value = long.groupBy("feature_idx", "value").agg(
         F.count_if(F.col("side") == "ref").cast("bigint").alias("a_ref"),
         F.count_if(F.col("side") == "cur").cast("bigint").alias("a_cur"),
-    ))
-    counts = per_value.groupBy("feature_idx").agg(F.sum("a_ref").alias("n_ref"), F.sum("a_cur").alias("n_cur"))
-    counts = counts.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
+    )
+    per_value = ranged(per_value, ["feature_idx"], ["value"], n_ranges)
 
-    # Interior quantile edges of the reference side (value counts as frequencies).
+    # One ordered pass: sizes, the KS distance (W2/D4) and the interior quantile
+    # edges of the reference side (D1), one row per feature.
+    cum = running_totals(per_value, ["feature_idx"], ["value"], ["a_ref", "a_cur"])
+    cum = cum.where((F.col("total_a_ref") > 0) & (F.col("total_a_cur") > 0))
+    gap = F.abs(F.col("cum_a_ref") / F.col("total_a_ref") - F.col("cum_a_cur") / F.col("total_a_cur"))
     probs = [i / num_buckets for i in range(1, num_buckets)]
-    parr = F.array(*[F.lit(p) for p in probs])
-    ref_vals = per_value.where(F.col("a_ref") > 0)
+    stats = materialize(cum.groupBy("feature_idx").agg(
+        F.max("total_a_ref").alias("n_ref"),
+        F.max("total_a_cur").alias("n_cur"),
+        F.max(gap).alias("ks_raw"),
+        F.array(*quantile_columns("value", "a_ref", probs)).alias("edges"),
+    ))
+    counts = stats.select("feature_idx", "n_ref", "n_cur")
     if exact:
-        q = F.percentile("value", parr, F.col("a_ref"))
-        edges = ref_vals.groupBy("feature_idx").agg(q.alias("edges"))
+        edges = stats.select("feature_idx", "edges")
     else:
         raw_ref = long.where(F.col("side") == "ref")
-        edges = raw_ref.groupBy("feature_idx").agg(F.percentile_approx("value", parr, 10000).alias("edges"))
+        edges = raw_ref.groupBy("feature_idx").agg(F.percentile_approx(
+            "value", F.array(*[F.lit(p) for p in probs]), 10000).alias("edges"))
 
     # bin = number of interior edges <= value (per distinct value, then summed).
     binned = per_value.join(F.broadcast(edges), "feature_idx").select(
@@ -128,25 +136,19 @@ def feature_drift(
     c_pct = F.least(F.greatest(F.coalesce(F.col("c_cur"), F.lit(0)) / F.col("n_cur"), F.lit(PSI_FLOOR)), F.lit(1.0))
     psi = g.groupBy("feature_idx").agg(F.sum((c_pct - r_pct) * F.ln(c_pct / r_pct)).alias("psi_raw"))
 
-    # Exact two-sample KS statistic via running counts per feature.
-    cum = running_totals(per_value, ["feature_idx"], ["value"], ["a_ref", "a_cur"], n_buckets=n_buckets_rank)
-    cum = cum.join(F.broadcast(counts.select("feature_idx", "n_ref", "n_cur")), "feature_idx")
-    gap = F.abs(F.col("cum_a_ref") / F.col("n_ref") - F.col("cum_a_cur") / F.col("n_cur"))
-    ks = cum.groupBy("feature_idx").agg(F.max(gap).alias("ks_raw"))
-
     names = F.array(*[F.lit(f) for f in features])
     counts = counts.withColumn("feature", F.element_at(names, F.col("feature_idx") + 1))
-    res = counts.join(ks, "feature_idx").join(psi, "feature_idx")
+    res = counts.join(stats.select("feature_idx", "ks_raw"), "feature_idx").join(psi, "feature_idx")
     res = res.withColumn("p_raw", ks_pvalue("ks_raw", "n_ref", "n_cur"))
     if p_method == "exact":
-        spark = res.sparkSession
-        small = [(r.feature_idx, ks_pvalue_exact_equal(r.ks_raw, int(r.n_ref)))
-                 for r in res.select("feature_idx", "ks_raw", "n_ref", "n_cur").collect()  # one row per feature
-                 if r.n_ref == r.n_cur and r.n_ref <= exact_max_n]
-        if small:
-            exact_p = spark.createDataFrame(small, "feature_idx int, p_exact double")
-            res = res.join(F.broadcast(exact_p), "feature_idx", "left").withColumn(
-                "p_raw", F.coalesce("p_exact", "p_raw")).drop("p_exact")
+        sizes = stats.select("feature_idx", "ks_raw", "n_ref", "n_cur").collect()  # one row per feature
+        beyond = [features[r.feature_idx] for r in sizes if r.n_ref != r.n_cur or r.n_ref > exact_max_n]
+        if beyond:
+            raise ValueError(f"no exact p-value for {beyond}: samples must have one size of at most {exact_max_n}")
+        exact_p = res.sparkSession.createDataFrame(
+            [(r.feature_idx, ks_pvalue_exact_equal(r.ks_raw, int(r.n_ref))) for r in sizes],
+            "feature_idx int, p_exact double")
+        res = res.join(F.broadcast(exact_p), "feature_idx", "left").withColumn("p_raw", F.col("p_exact")).drop("p_exact")
     elif p_method != "asymptotic":
         raise ValueError(f"unknown p_method: {p_method}")
     res = res.withColumn(

@@ -2,7 +2,7 @@
 
 Each metric is one aggregate (optionally grouped with ``by``): partial
 aggregation per task, so they scale with the data. Rank AUC uses the
-two-level running sums of ``ordered`` (exact, ties counted as 1/2), never a
+running sums of ``ordered`` (exact, ties counted as 1/2), never a
 binned approximation.
 """
 
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.functions import exact_mean, round_half_up, safe_ratio
-from pulsekit.operators.ordered import materialize, running_totals
+from pulsekit.functions import round_half_up, safe_ratio
+from pulsekit.operators.ordered import quantile_columns, ranged, running_totals, value_totals
 
 
 def _label(c: str):
@@ -96,13 +96,13 @@ def regression_metrics(df: DataFrame, y_true: str, y_pred: str, by: list[str] |
 
 
 def rank_auc(
-    df: DataFrame, y_true: str, score: str, by: list[str] | None = None, n_buckets: int | None = None
+    df: DataFrame, y_true: str, score: str, by: list[str] | None = None, n_ranges: int | None = None
 ) -> DataFrame:
     """P(score of a positive > score of a negative), ties count 1/2 (exact).
 
     Rows are first reduced to one row per (group, score) with positive and
-    negative counts; the running negative count then comes from the
-    two-level prefix sums. AUC is NULL (omitted) unless both classes occur.
+    negative counts; the running negative count then comes from
+    ``ordered.running_totals``. AUC is NULL (omitted) unless both classes occur.
     """
     by = by or []
     t = _label(y_true)
@@ -112,7 +112,7 @@ def rank_auc(
         .groupBy(*by, s.alias("__s"))
         .agg(F.count_if(t == 1).alias("__pos"), F.count_if(t == 0).alias("__neg"))
     )
-    cum = running_totals(materialize(per_score), by, ["__s"], ["__neg"], n_buckets=n_buckets)
+    cum = running_totals(ranged(per_score, by, ["__s"], n_ranges), by, ["__s"], ["__neg"])
     # 2 * pos * (neg strictly below + neg tied / 2), kept in exact integers.
     twice = F.col("__pos") * (2 * (F.col("cum___neg") - F.col("__neg")) + F.col("__neg"))
     agg = cum.groupBy(*by).agg(
@@ -128,16 +128,15 @@ def rank_auc(
 
 
 def latency_summary(df: DataFrame, ms_col: str, by: list[str] | None = None) -> DataFrame:
-    """Mean, p95, p99, min, max of timing rows (ms, 3 dp, exact percentiles)."""
+    """Mean, p95, p99, min, max of timing rows (ms, 3 dp, exact percentiles; NULL and NaN left out)."""
     by = by or []
-    x = F.col(ms_col).cast("double")
-    aggs = [
-        exact_mean(x).alias("__mean"),
-        F.percentile(x, F.array(F.lit(0.95), F.lit(0.99))).alias("__p"),
-        F.min(x).alias("__min"),
-        F.max(x).alias("__max"),
-    ]
-    out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    v, n = F.col("__v"), F.col("__n")
+    out = value_totals(df, ms_col, by).groupBy(*by).agg(
+        F.try_divide(F.sum(v * n), F.sum(n)).alias("__mean"),
+        F.array(*quantile_columns("__v", "__n", [0.95, 0.99])).alias("__p"),
+        F.min(v).alias("__min"),
+        F.max(v).alias("__max"),
+    )
     return out.select(
         *by,
         round_half_up("__mean", 3).alias("latency_mean_ms"),

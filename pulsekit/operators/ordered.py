@@ -1,40 +1,33 @@
-"""Exact running totals without a single-partition window (two-level prefix sums).
-
-Ordered statistics (KS ECDF, rank AUC, exact split ranks, exact quantile
-positions) need cumulative sums over a sort order. A plain
-``Window.orderBy(...)`` without a partition key funnels every row through one
-task. Instead:
-
-1. The input is already one row per distinct (group, order key), so ties are
-   whole before anything else happens. Callers checkpoint it (``materialize``)
-   because it is read several times.
-2. Per group, B-1 approximate quantiles of the leading order key (B =
-   ``n_buckets``) cut it into buckets; bucket = number of cuts below the key.
-3. Bucket totals (groups x B rows) get exclusive running offsets.
-4. A window partitioned by (group, bucket) adds the within-bucket running sum
-   to the bucket's offset.
-
-Ungrouped (one global order, e.g. exact patient ranks or a global AUC): the
-cuts come from ``approxQuantile`` and the offsets from B totals, both brought
-to the driver (B numbers, independent of the data) and inlined as literals,
-so there is no join and no single-partition window. Grouped: cuts and
-offsets are small tables equi-joined on the group keys (AQE broadcasts them
-when they are small).
-
-Every window partition is bounded by roughly rows / B. By default B is chosen
-from the input size (``rows_per_bucket``), so the bound holds at any scale;
-inputs below it skip the cuts. The result is exact; only the balance of
-buckets is approximate.
+"""Exact ordered statistics without a single-partition window.
+
+KS distances, rank AUC, exact split ranks and exact quantiles need running
+sums over a sort order. A plain ``Window.orderBy(...)`` funnels every row (or
+every row of a hot group) through one task. Instead the compact input, one row
+per distinct (group, order key), is
+
+1. range-partitioned by (group, order key) and checkpointed together with the
+   number of each row's range (:func:`ranged`);
+2. summed per (group, range), at most groups + ranges rows, whose exclusive
+   running sums are the ranges' offsets;
+3. windowed by (group, range): offset + running sum inside the range.
+
+A group with most of the rows spreads over most of the ranges, so no window
+partition exceeds a range. The number of ranges is Spark's own (the session's
+shuffle partitions, coalesced by AQE); there is no cap and no separate path for
+small inputs. Results are exact; sampling decides only how even the ranges are.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsekit.functions import nan_to_null
+
+RANGE = "__range"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a compact intermediate once and cut its lineage.
 
@@ -48,87 +41,102 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def ranged(df: DataFrame, group_cols: list[str], order_cols: list[str], n_ranges: int | None = None) -> DataFrame:
+    """``df`` in ranges of (group, order key), checkpointed; column ``__range`` numbers them in order.
+
+    ``order_cols`` must identify a row within a group. ``n_ranges`` forces a number of
+    ranges (tests); by default Spark chooses it.
+    """
+    keys = [F.col(c) for c in (*group_cols, *order_cols)]
+    spread = df.repartitionByRange(n_ranges, *keys) if n_ranges else df.repartitionByRange(*keys)
+    return materialize(spread.withColumn(RANGE, F.spark_partition_id()))
+
+
+def _offsets(totals: DataFrame, groups: list[str], sum_cols: list[str]) -> DataFrame:
+    """Per (group, range): the sums of the group's earlier ranges and of the whole group."""
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(
+        *groups,
+        RANGE,
+        *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in sum_cols],
+        *[F.sum(f"__t_{c}").over(whole).alias(f"total_{c}") for c in sum_cols],
+    )
+
+
+def _ungrouped_offsets(totals: DataFrame, sum_cols: list[str]) -> DataFrame:
+    """The same of one global order, added up on the driver: one row a range, whatever the data's size."""
+    rows = sorted(totals.collect(), key=lambda r: r[RANGE])
+    whole = [sum(r[f"__t_{c}"] or 0 for r in rows) for c in sum_cols]
+    run, out = [0] * len(sum_cols), []
+    for r in rows:
+        out.append((r[RANGE], *run, *whole))
+        run = [x + (r[f"__t_{c}"] or 0) for x, c in zip(run, sum_cols)]
+    fields = [f"{RANGE} int", *[f"`__o_{c}` bigint" for c in sum_cols], *[f"`total_{c}` bigint" for c in sum_cols]]
+    return totals.sparkSession.createDataFrame(out, ", ".join(fields))
+
+
 def running_totals(
-    df: DataFrame,
+    rows: DataFrame,
     group_cols: list[str],
     order_cols: list[str],
     sum_cols: list[str],
-    n_buckets: int | None = None,
-    accuracy: int = 10000,
-    prefix: str = "cum_",
-    rows_per_bucket: int = 2_000_000,
-    n_rows: int | None = None,
-    max_buckets: int = 100_000,
-    max_group_buckets: int = 256,
 ) -> DataFrame:
-    """Add ``cum_<c>`` = inclusive running sum of ``c`` per group in ``order_cols`` order.
-
-    ``order_cols[0]`` must be numeric (it drives the bucket cuts); the full
-    ``order_cols`` list must identify a row within a group. Pass a
-    materialised (checkpointed or cached) input: it is read several times.
+    """Add ``cum_<c>`` (inclusive running sum per group) and ``total_<c>`` (its sum over the group).
 
-    Without groups, the B-1 cut points and the B bucket offsets are brought to
-    the driver (bounded by B, independent of the data) and inlined as
-    literals, so no join is needed at all.
+    ``rows`` comes from :func:`ranged` with the same groups and order.
     """
-    if n_buckets is None:
-        # Data-driven: window partitions hold about rows_per_bucket rows (one
-        # cheap aggregate over the compact input). Ungrouped: B <= max_buckets,
-        # located by binary search. Grouped: B follows the LARGEST group and is
-        # capped at max_group_buckets (each row scans its group's cut list).
-        if group_cols:
-            biggest = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
-            n_buckets = min(max_group_buckets, max(1, math.ceil(biggest / rows_per_bucket)))
-        else:
-            n = df.count() if n_rows is None else n_rows
-            n_buckets = min(max_buckets, max(1, math.ceil(n / rows_per_bucket)))
-    key = F.col(order_cols[0]).cast("double")
-    probs = [i / n_buckets for i in range(1, n_buckets)] or [0.5]
-    w_in = Window.partitionBy(*group_cols, "__b").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-
-    if n_buckets == 1:
-        # Input of at most rows_per_bucket rows: one bounded window partition per group.
-        one = df.withColumn("__b", F.lit(0))
-        return one.select(*df.columns, *[F.sum(c).over(w_in).alias(f"{prefix}{c}") for c in sum_cols])
-
-    if not group_cols:
-        from pyspark.ml.feature import Bucketizer
-
-        rel_err = min(1.0 / accuracy, 0.25 / n_buckets)
-        cuts = sorted(set(df.stat.approxQuantile(order_cols[0], probs, rel_err)))
-        # JVM binary search over the cut points; bucket = number of cuts <= key
-        # (ties of the key always share a bucket).
-        splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]
-        bucketizer = Bucketizer(splits=splits, inputCol="__key", outputCol="__bd", handleInvalid="keep")
-        bucketed = bucketizer.transform(df.withColumn("__key", key)).withColumn(
-            "__b", F.col("__bd").cast("int")).drop("__key", "__bd")
-        totals = bucketed.groupBy("__b").agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(sum_cols)]).collect()
-        by_b = {r["__b"]: r for r in totals}
-        outs = []
-        for i, c in enumerate(sum_cols):
-            run, offs = 0, []
-            for b in range(len(cuts) + 1):
-                offs.append(run)
-                t = by_b.get(b)
-                run += (t[f"__t{i}"] or 0) if t is not None else 0
-            off = F.element_at(F.array(*[F.lit(int(o)) for o in offs]), F.col("__b") + 1)
-            outs.append((off + F.sum(c).over(w_in)).alias(f"{prefix}{c}"))
-        return bucketed.select(*df.columns, *outs)
-
     groups = list(group_cols)
-    cuts = df.groupBy(*groups).agg(F.percentile_approx(key, probs, accuracy).alias("__cuts"))
-    bucketed = df.join(cuts, groups).withColumn(
-        "__b", F.size(F.filter("__cuts", lambda c: c < key))
-    ).drop("__cuts")
-    totals = bucketed.groupBy(*groups, "__b").agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(sum_cols)])
-    w_off = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *groups,
-        "__b",
-        *[F.coalesce(F.sum(f"__t{i}").over(w_off), F.lit(0)).alias(f"__o{i}") for i in range(len(sum_cols))],
-    )
-    joined = bucketed.join(offsets, [*groups, "__b"])
+    totals = rows.groupBy(*groups, RANGE).agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
+    offsets = _offsets(totals, groups, sum_cols) if groups else F.broadcast(_ungrouped_offsets(totals, sum_cols))
+    inside = Window.partitionBy(*groups, RANGE).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    # Null-safe: a NULL group is a group like any other.
+    left, right = rows.alias("l"), offsets.alias("r")
+    same = F.col(f"l.{RANGE}") == F.col(f"r.{RANGE}")
+    for g in groups:
+        same = same & F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}"))
+    joined = left.join(right, same).select("l.*", *[f"r.__o_{c}" for c in sum_cols], *[f"r.total_{c}" for c in sum_cols])
     return joined.select(
-        *df.columns,
-        *[(F.col(f"__o{i}") + F.sum(c).over(w_in)).alias(f"{prefix}{c}") for i, c in enumerate(sum_cols)],
+        *[c for c in rows.columns if c != RANGE],
+        *[(F.col(f"__o_{c}") + F.sum(c).over(inside)).alias(f"cum_{c}") for c in sum_cols],
+        *[f"total_{c}" for c in sum_cols],
     )
+
+
+def quantile_columns(value: str, weight: str, probs: list[float]) -> list[Column]:
+    """Aggregates over :func:`running_totals` rows that interpolate exact quantiles.
+
+    ``weight`` counts a value's occurrences. The element at 0-based position i is the
+    row with cum - weight <= i < cum; a quantile lies linearly between two positions.
+    """
+    out = []
+    cum, w, n = F.col(f"cum_{weight}"), F.col(weight), F.col(f"total_{weight}")
+    for p in probs:
+        at = F.lit(float(p)) * (n - 1)
+        low, high = F.floor(at), F.ceil(at)
+        low_value = F.max(F.when((cum - w <= low) & (low < cum), F.col(value)))
+        high_value = F.max(F.when((cum - w <= high) & (high < cum), F.col(value)))
+        share = F.max(at - low)  # the same in every row of a group
+        between = low_value * (F.lit(1.0) - share) + high_value * share
+        out.append(F.when(low_value == high_value, low_value).otherwise(between))
+    return out
+
+
+def value_totals(df: DataFrame, value: str | Column, by: list[str], n_ranges: int | None = None) -> DataFrame:
+    """One row per (by..., ``__v``) with its count ``__n`` and running totals, for :func:`quantile_columns`.
+
+    Counting is partial in every task, so ties cost nothing. NULL and NaN become one
+    row of count 0, which keeps groups without values.
+    """
+    v = nan_to_null(value).alias("__v")
+    counts = df.select(*by, v).groupBy(*by, "__v").agg(F.count("__v").alias("__n"))
+    return running_totals(ranged(counts, by, ["__v"], n_ranges), by, ["__v"], ["__n"])
+
+
+def exact_quantiles(
+    df: DataFrame, value: str | Column, probs: list[float], by: list[str] | None = None, n_ranges: int | None = None
+) -> DataFrame:
+    """(by..., quantiles array<double>): exact, linearly interpolated; NULLs for a group without values."""
+    by = by or []
+    return value_totals(df, value, by, n_ranges).groupBy(*by).agg(
+        F.array(*quantile_columns("__v", "__n", probs)).alias("quantiles"))

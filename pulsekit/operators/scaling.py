@@ -1,7 +1,7 @@
 """Feature scaling with exact semantics.
 
-Fitting is ONE global aggregate over the training rows (partial aggregation
-per task). The fitted state is a one-row-per-feature params table, tiny by
+Fitting is one global aggregate over the training rows (partial aggregation
+per task); exact quartiles come from ranked value counts (``ordered``). The fitted state is a one-row-per-feature params table, tiny by
 construction (features x 2 numbers), so transforming inlines the params as
 literals: a pure projection, no join and no shuffle.
 
@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.functions import exact_mean
+from pulsekit.operators.ordered import exact_quantiles
 
 METHODS = ("standard", "minmax", "robust")
 PARAMS_SCHEMA = "feature string, center double, scale double, method string"
@@ -36,17 +36,18 @@ def fit_params(df: DataFrame, features: list[str], method: str = "robust", exact
     """
     if method not in METHODS:
         raise ValueError(f"Unknown scaling method: {method}")
+    if method == "robust" and exact:
+        return _exact_quartiles(df, features)
     aggs = []
     for i, c in enumerate(features):
         x = _num(c)
         if method == "standard":
-            aggs += [exact_mean(x).alias(f"c{i}"), F.stddev_pop(x).alias(f"s{i}")]
+            aggs += [F.avg(x).alias(f"c{i}"), F.stddev_pop(x).alias(f"s{i}")]
         elif method == "minmax":
             aggs += [F.min(x).alias(f"c{i}"), (F.max(x) - F.min(x)).alias(f"s{i}")]
         else:
             probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-            q = F.percentile(x, probs) if exact else F.percentile_approx(x, probs, 10000)
-            aggs.append(q.alias(f"q{i}"))
+            aggs.append(F.percentile_approx(x, probs, 10000).alias(f"q{i}"))
     wide = df.agg(*aggs)
     rows = []
     for i, c in enumerate(features):
@@ -67,6 +68,21 @@ def fit_params(df: DataFrame, features: list[str], method: str = "robust", exact
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _exact_quartiles(df: DataFrame, features: list[str]) -> DataFrame:
+    """Robust params from exact quartiles: values are counted per feature and ranked in ranges."""
+    cells = F.array(*[F.struct(F.lit(i).alias("__i"), _num(c).alias("__x")) for i, c in enumerate(features)])
+    found = exact_quantiles(df.select(F.inline(cells)), "__x", [0.25, 0.5, 0.75], by=["__i"])
+    names = F.array(*[F.lit(c) for c in features])
+    every = df.sparkSession.range(len(features)).select(F.col("id").cast("int").alias("__i"))
+    iqr = F.col("quantiles")[2] - F.col("quantiles")[0]
+    return every.join(found, "__i", "left").select(  # both sides hold one row a feature
+        F.element_at(names, F.col("__i") + 1).alias("feature"),
+        F.col("quantiles")[1].alias("center"),
+        F.when(iqr.isNull() | (iqr == 0), F.lit(1.0)).otherwise(iqr).alias("scale"),
+        F.lit("robust").alias("method"),
+    )
+
+
 @dataclass
 class Scaler:
     """Fitted scaler: collect the (tiny) params once, then transform lazily."""

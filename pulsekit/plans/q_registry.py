@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pulsekit.functions import round_half_up
 from pulsekit.operators import gates, registry
 from pulsekit.operators.features import autonomic_stress, glucose_rule
+from pulsekit.operators.ordered import exact_quantiles
 from pulsekit.plans.catalog import register
 from pulsekit.plans.oracles import R, with_vitals
 from pulsekit.sources.adapter import load_vitals, read_table
@@ -31,10 +32,11 @@ def patient_metrics(v):
         F.count_if((t == 1) & (p == 1)).alias("tp"),
         F.avg((F.col("activity_class") == act_pred).cast("double")).alias("acc_act"),
         F.avg((F.col("sleep_stage") == sleep_pred).cast("double")).alias("acc_sleep"),
-        F.percentile(F.col("hr_bpm") / 30, F.lit(0.95)).alias("p95"),
         F.sum((y - yhat) * (y - yhat)).alias("ssr"),
         (F.var_pop(y) * F.count(y)).alias("sst"),
     )
+    p95 = exact_quantiles(v, F.col("hr_bpm") / 30, [0.95], by=["patient_id"])
+    agg = agg.join(p95.select("patient_id", F.col("quantiles")[0].alias("p95")), "patient_id")
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     r2 = F.when(F.col("sst") == 0, F.when(F.col("ssr") == 0, 1.0).otherwise(0.0)).otherwise(1 - F.col("ssr") / F.col("sst"))
     return agg.select(

@@ -53,7 +53,7 @@ def test_rank_auc_matches_brute_force_with_ties(spark):
     pairs = [(rng.randint(0, 1), float(rng.randint(0, 20))) for _ in range(400)]
     df = spark.createDataFrame(pairs, "y int, s double")
     for nb in (1, 4, 64):
-        r = metrics.rank_auc(df.repartition(5), "y", "s", n_buckets=nb).first()
+        r = metrics.rank_auc(df.repartition(5), "y", "s", n_ranges=nb).first()
         assert r.auc_roc == pytest.approx(round(_brute_auc(pairs), 4))
 
 
@@ -89,7 +89,7 @@ def test_rank_auc_grouped_bucketed_matches_brute_force(spark):
     rows = [(g, rng.randint(0, 1), float(rng.randint(0, 15))) for g in ("a", "b", "c") for _ in range(200)]
     df = spark.createDataFrame(rows, "g string, y int, s double")
     for nb in (1, 8):
-        got = {r.g: r.auc_roc for r in metrics.rank_auc(df.repartition(3), "y", "s", by=["g"], n_buckets=nb).collect()}
+        got = {r.g: r.auc_roc for r in metrics.rank_auc(df.repartition(3), "y", "s", by=["g"], n_ranges=nb).collect()}
         for g in ("a", "b", "c"):
             pairs = [(y, s) for gg, y, s in rows if gg == g]
             assert got[g] == pytest.approx(round(_brute_auc(pairs), 4))
