@@ -81,6 +81,12 @@ class AutoencoderModel:
     params: list[np.ndarray]
     threshold: float | None = None
 
+    def save(self, spark, path: str) -> None:
+        """Weights in layer order and the threshold as one Parquet row."""
+        row = [(self.features, [p.ravel().tolist() for p in self.params], self.threshold)]
+        spark.createDataFrame(row, "features array<string>, params array<array<double>>, threshold double").coalesce(
+            1).write.mode("overwrite").parquet(path)
+
     def error_column(self, df: DataFrame, out: str = "recon_error") -> DataFrame:
         params = self.params
 

@@ -24,6 +24,7 @@ class FitResult:
     metrics: dict = field(default_factory=dict)
     hyperparameters: dict = field(default_factory=dict)
     scored: DataFrame | None = None
+    cohort: DataFrame | None = None  # the rows the model was split from, where not all
 
 
 def require_two_classes(train: DataFrame, label: str) -> None:

@@ -1,10 +1,10 @@
 """Isolation Forest on Spark (M1; Liu, Ting and Zhou, 2008).
 
 * Subsampling is hash-based, never partition-order based: each row gets
-  ``m`` candidate tree ids from seeded ``xxhash64`` values and is kept for a
-  tree with probability chosen so every tree sees about 1.5 x ``max_samples``
+  ``m`` different candidate trees from seeded ``xxhash64`` values and is kept for
+  a tree with a probability chosen so every tree sees about 1.5 x ``max_samples``
   candidates; a window per tree keeps the ``max_samples`` rows with the
-  smallest hash. Identical on task retry and under any partitioning.
+  smallest hash, so no tree holds a row twice or fewer rows than its scores assume. Identical on task retry and under any partitioning.
 * Each tree is grown in its own task (``groupBy(tree).applyInPandas``) from at
   most ``max_samples`` rows; the forest is a node table of at most
   ``n_trees * (2 * max_samples - 1)`` rows -- a proven bound, so it is safe to
@@ -71,6 +71,12 @@ class IsolationForestModel:
     max_samples: int
     nodes: np.ndarray  # (n_trees, max_nodes, 5): feature, threshold, left, right, size
 
+    def save(self, spark, path: str) -> None:
+        """Node table as Parquet (at most trees x (2 x max_samples - 1) rows)."""
+        rows = [(t, i, *map(float, node)) for t, tree in enumerate(self.nodes) for i, node in enumerate(tree) if node[4] > 0]
+        spark.createDataFrame(rows, "tree int, node int, feature double, threshold double, left double, right double, "
+                                    "size double").coalesce(1).write.mode("overwrite").parquet(path)
+
     def score_column(self, df: DataFrame, out: str = "anomaly_score") -> DataFrame:
         """Adds ``out`` = s(x) in (0, 1]; higher means more anomalous."""
         nodes = self.nodes
@@ -120,28 +126,28 @@ def fit_isolation_forest(
     m = int(min(n_trees, max(1, math.ceil(1.5 * psi * n_trees / n))))
     keep_p = min(1.0, 1.5 * psi * n_trees / (n * m))
     key = [F.col(c).cast("string") for c in (key_cols or features)]
-
-    def u(j: int, salt: int):
-        # uniform in [0, 1) from a seeded 64-bit hash
-        h = F.xxhash64(F.lit(seed), F.lit(salt), F.lit(j), *key)
-        return (F.abs(h % F.lit(1 << 40)).cast("double") / float(1 << 40))
-
-    cands = F.array(*[
-        F.struct((F.abs(F.xxhash64(F.lit(seed), F.lit(1), F.lit(j), *key)) % n_trees).cast("int").alias("tree"),
-                 u(j, 2).alias("keep"), u(0, 3).alias("order"))
-        for j in range(m)
-    ])
-    exploded = data.select(*[F.col(c).cast("double").alias(c) for c in features], F.inline(cands))
-    # "order" depends on the row only, so a row drawn twice for one tree is kept once.
-    exploded = exploded.where(F.col("keep") < keep_p).dropDuplicates(["tree", "order"])
-    w = Window.partitionBy("tree").orderBy("order")
-    sample = exploded.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= psi).drop("__rn", "keep")
+    # A row's trees are start, start + step, ...: different ones, since step and n_trees share no factor.
+    steps = [k for k in range(1, n_trees + 1) if math.gcd(k, n_trees) == 1]
+
+    def drawn(bound: int, *salt):
+        return F.pmod(F.xxhash64(F.lit(seed), *salt, *key), F.lit(bound))
+
+    step = F.element_at(F.array(*[F.lit(k) for k in steps]), (drawn(len(steps), F.lit(2)) + 1).cast("int"))
+    start = drawn(n_trees, F.lit(1))
+    cands = F.array(*[F.pmod(start + F.lit(j) * step, F.lit(n_trees)).cast("int") for j in range(m)])
+    rows = data.select(*[F.col(c).cast("double").alias(c) for c in features], *[k.alias(f"__k{i}") for i, k in enumerate(key)],
+                       F.explode(cands).alias("tree"))
+    key = [F.col(f"__k{i}") for i in range(len(key))]
+    rows = rows.where(drawn(1 << 40, F.lit(3), F.col("tree")) < int(keep_p * (1 << 40))).withColumn(
+        "order", drawn(1 << 62, F.lit(4), F.col("tree")))
+    w = Window.partitionBy("tree").orderBy("order", *features)
+    sample = rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= psi).select(*features, "tree", "order")
 
     feats = list(features)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree"].iloc[0])
-        pdf = pdf.sort_values("order")
+        pdf = pdf.sort_values(["order", *feats])
         rng = np.random.default_rng(seed * 100_003 + t)
         nodes = _grow(pdf[feats].to_numpy(dtype=float), rng, limit)
         return pd.DataFrame(

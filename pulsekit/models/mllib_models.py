@@ -18,6 +18,7 @@ from pulsekit.models.common import FitResult, assemble, require_two_classes
 from pulsekit.operators import features as fx
 from pulsekit.operators import metrics
 from pulsekit.operators.scaling import Scaler
+from pulsekit.operators.split import split_by_patient
 from pulsekit.schema import COMBINED_FEATURES, GLUCOSE_FEATURES, IMU_AXES, RISK_FEATURES, SPO2_FEATURES
 
 
@@ -51,9 +52,12 @@ def train_spo2(tagged: DataFrame, seed: int = 42, threshold: float = 0.35, split
 
 
 def train_sleep(tagged: DataFrame, seed: int = 42, split: str = "val", num_trees: int = 50) -> FitResult:
-    """M4: random forest 50 x depth 6 on sleeping rows (P12) with P8 features."""
+    """M4: random forest 50 x depth 6 on sleeping rows (P12) with P8 features.
+
+    Rows are filtered before the split, so the ratios hold for the patients that have such rows.
+    """
     label = "sleep_stage"
-    rows = fx.sleep_rows(tagged)
+    rows = split_by_patient(fx.sleep_rows(tagged.drop("split")))
     feats = ["movement_variance", "hr_avg", "hrv_avg", "duration_mins"]
     prepared = fx.sleep_features(rows, keep=["split", label])
     train = prepared.where(F.col("split") == "train")
@@ -63,7 +67,7 @@ def train_sleep(tagged: DataFrame, seed: int = 42, split: str = "val", num_trees
     scored = model.transform(assemble(prepared.where(F.col("split") == split), feats, scaler))
     m = metrics.accuracy(scored.withColumn("pred", F.col("prediction").cast("int")), label, "pred").first().asDict()
     return FitResult("sleep_quality", "RandomForestClassifier", model, scaler, m,
-                     {"num_trees": num_trees, "max_depth": 6}, scored)
+                     {"num_trees": num_trees, "max_depth": 6}, scored, rows)
 
 
 def train_activity(tagged: DataFrame, seed: int = 42, split: str = "val", max_iter: int = 250) -> FitResult:

@@ -80,12 +80,17 @@ def approval_gate(df: DataFrame, on_device: bool = True) -> DataFrame:
 
 
 def require_approval(gated: DataFrame, key_cols: list[str]) -> None:
-    """Strict mode: raise when any row is rejected (message built from at most 20 rows)."""
+    """Strict mode: raise when any row is rejected.
+
+    The message tells how many rows are rejected and shows the first 20 by key;
+    all of them stay in ``gated``.
+    """
     rejected = gated.where(~F.col("approved"))
-    sample = rejected.select(*key_cols, "rejection_reasons").limit(20).collect()
-    if sample:
-        lines = [f"{[r[k] for k in key_cols]}: " + "; ".join(r.rejection_reasons) for r in sample]
-        raise ClinicalThresholdViolation("Model rejected due to clinical safety violations:\n - " + "\n - ".join(lines))
+    n = rejected.count()
+    if n:
+        first = rejected.select(*key_cols, "rejection_reasons").orderBy(*key_cols).limit(20).collect()
+        lines = [f"{[r[k] for k in key_cols]}: " + "; ".join(r.rejection_reasons) for r in first]
+        raise ClinicalThresholdViolation(f"{n} row(s) fail the approval gate:\n - " + "\n - ".join(lines))
 
 
 # Per-model gates (thresholds in ``schema``).
@@ -140,3 +145,22 @@ def registry_status(df: DataFrame, type_col: str = "model_type", compat: bool =
         .when(t.isin(REGRESSION_MODEL_TYPES), F.when(regression_ok, F.lit("production")).otherwise("rejected"))
         .otherwise(F.lit("staged"))
     )
+
+
+def model_gate(df: DataFrame, rule: str) -> DataFrame:
+    """One model's own gate in G1's form: adds ``rejection_reasons`` and ``approved``.
+
+    ``rule``: ``on_device`` and ``backend`` (G1 with and without latency and size), ``sleep``,
+    ``activity``, ``glucose`` or ``risk`` (G2-G5, whose reason is one sentence).
+    """
+    if rule in ("on_device", "backend"):
+        return approval_gate(df, on_device=rule == "on_device")
+    passed, reason = {
+        "sleep": (sleep_gate(df), F.lit("Accuracy, latency or size of the sleep model is outside its budget.")),
+        "activity": (activity_gate(df), F.lit("Accuracy, latency or size of the activity model is outside its budget.")),
+        "glucose": (glucose_gate(df), F.lit("Recall or false positive rate of the glucose model is outside its budget.")),
+        "risk": (risk_gate(df), F.concat(F.lit("R2 ("), _fmt(metric(df, "r2_score", "r2"), 3),
+                                         F.lit(f") is below the minimum of {RISK_GATE['min_r2']:.2f}."))),
+    }[rule]
+    return df.withColumn("approved", passed).withColumn(
+        "rejection_reasons", F.when(F.col("approved"), F.array().cast("array<string>")).otherwise(F.array(reason)))

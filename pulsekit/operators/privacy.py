@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from pulsekit.schema import PII_COLUMNS
 
 CONSENT_COL = "consent_for_ml_training"
+#: Hex digits of a pseudonymous id.
+TOKEN_LEN = 32
 
 
 class ConsentError(ValueError):
@@ -46,13 +48,13 @@ def drop_pii(df: DataFrame, pii_columns: list[str] | None = None) -> DataFrame:
 
 
 def pseudonymize(
-    df: DataFrame, salt: str, id_col: str = "patient_id", token_len: int = 12, prefix: str = "anon-"
+    df: DataFrame, salt: str, id_col: str = "patient_id", token_len: int = TOKEN_LEN, prefix: str = "anon-"
 ) -> DataFrame:
     """Id -> prefix + first ``token_len`` hex chars of sha256(salt || id).
 
-    NULL ids stay NULL so a later null-id check still fires. 48 bits (12 hex)
-    collide with noticeable probability near 2^24 ids: raise ``token_len``
-    for large patient populations.
+    NULL ids stay NULL so a later null-id check still fires. The default of 128 bits
+    keeps patients apart at any size; ``token_len=12`` gives the short tokens of older
+    tables, of which two may be equal from about 2^24 ids on.
     """
     if id_col not in df.columns:
         return df
@@ -92,7 +94,7 @@ def anonymize(
     salt: str | None = None,
     dataset: str = "health_measurements",
     audit_sink: str | None = None,
-    token_len: int = 12,
+    token_len: int = TOKEN_LEN,
 ) -> tuple[DataFrame, dict]:
     """P1-P4 as one step: returns the anonymised (lazy) frame and the audit row.
 

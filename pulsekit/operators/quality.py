@@ -184,7 +184,7 @@ def quarantine(df: DataFrame, range_rules: dict | None = None, allowed_rules: di
     for c, (allowed, _req) in allowed_rules.items():
         if c in df.columns:
             allowed_sql = ", ".join(f"{float(x)!r}D" for x in allowed)
-            reasons.append(f"CASE WHEN {_q(c)} IS NOT NULL AND CAST({_q(c)} AS DOUBLE) NOT IN ({allowed_sql}) "
+            reasons.append(f"CASE WHEN NOT {_missing_sql(df, c)} AND CAST({_q(c)} AS DOUBLE) NOT IN ({allowed_sql}) "
                            f"THEN {_lit_sql(c + '_not_allowed')} END")
     arr = f"array_compact(array({', '.join(reasons)}))" if reasons else "CAST(array() AS array<string>)"
     return df.selectExpr("*", f"{arr} AS reasons").selectExpr("*", "size(reasons) = 0 AS is_valid")

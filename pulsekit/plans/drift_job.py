@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 from pulsekit.operators import drift
@@ -20,12 +18,10 @@ def run_drift_check(
 ) -> dict:
     """Compare two measurement tables; write per-feature rows and the summary as JSON.
 
-    Missing inputs raise (the original silently compared simulated data).
+    Missing inputs raise when Spark resolves the path, on whichever file system it is
+    (the original silently compared simulated data).
     Outputs are tiny (one row per feature), so they are written as single files.
     """
-    for p in (reference_path, current_path):
-        if "://" not in p and not os.path.exists(p):
-            raise FileNotFoundError(p)
     ref = read_measurements(spark, reference_path)
     cur = read_measurements(spark, current_path)
     per, summary = drift.check_drift(ref, cur, features)

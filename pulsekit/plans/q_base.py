@@ -139,7 +139,7 @@ def q_quarantine(spark, sf_dir):
 @register(
     "anonymized",
     with_vitals(
-        f"SELECT 'anon-' || substr(sha256('{QUERY_SALT}' || patient_id), 1, 12) AS patient_id, "
+        f"SELECT 'anon-' || substr(sha256('{QUERY_SALT}' || patient_id), 1, {privacy.TOKEN_LEN}) AS patient_id, "
         "* EXCLUDE (patient_id, name, email) FROM vitals WHERE consent_for_ml_training"
     ),
 )

@@ -122,6 +122,35 @@ def q_model_gates(spark, sf_dir):
     )
 
 
+# Every model's own gate over each patient's metrics, size included.
+_GATE_RULES = ("on_device", "backend", "sleep", "activity", "glucose", "risk")
+
+
+@register(
+    "catalog_gates",
+    with_vitals(
+        "SELECT patient_id, rule, CAST(CASE rule "
+        "WHEN 'on_device' THEN general + CAST(latency_p95_ms > 5.0 AS INTEGER) + CAST(size_mb > 2.0 AS INTEGER) "
+        "WHEN 'backend' THEN general "
+        "WHEN 'sleep' THEN CAST(NOT (accuracy >= 0.6 AND latency_p95_ms < 10.0 AND size_mb < 2.0) AS INTEGER) "
+        "WHEN 'activity' THEN CAST(NOT (accuracy >= 0.85 AND latency_p95_ms < 5.0 AND size_mb < 2.0) AS INTEGER) "
+        "WHEN 'glucose' THEN CAST(NOT (recall >= 0.85 AND false_positive_rate <= 0.1) AS INTEGER) "
+        "ELSE CAST(NOT r2_score >= 0.75 AS INTEGER) END AS INTEGER) AS n_reasons FROM sized, "
+        f"(SELECT unnest({list(_GATE_RULES)}) AS rule)",
+        *_PM_CTE,
+        "sized AS (SELECT *, latency_p95_ms * 0.5 AS size_mb, CAST(recall < 0.95 AS INTEGER) + "
+        "CAST(false_positive_rate > 0.05 AS INTEGER) + CAST(precision < 0.8 AS INTEGER) AS general FROM pm)",
+    ),
+)
+def q_catalog_gates(spark, sf_dir):
+    pm = patient_metrics(load_vitals(spark, sf_dir)).withColumn("size_mb", F.col("latency_p95_ms") * 0.5)
+    reasons = [F.struct(F.lit(rule).alias("rule"), F.col(f"n_{rule}").alias("n_reasons")) for rule in _GATE_RULES]
+    for rule in _GATE_RULES:
+        pm = gates.model_gate(pm, rule).withColumn(f"n_{rule}", F.size("rejection_reasons")).drop(
+            "approved", "rejection_reasons")
+    return pm.select("patient_id", F.inline(F.array(*reasons)))
+
+
 _TYPES = ["anomaly_detection", "classifier", "risk_scoring", "other"]
 
 

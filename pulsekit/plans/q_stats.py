@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from pulsekit.functions import round_half_up
+from pulsekit.operators import features as fx
 from pulsekit.operators import metrics, split, timeseries
+from pulsekit.operators.ordered import exact_quantiles
 from pulsekit.operators.scaling import Scaler, fit_params
 from pulsekit.plans.catalog import register
 from pulsekit.plans.oracles import R, with_vitals
@@ -254,19 +257,62 @@ def q_latency(spark, sf_dir):
     return metrics.latency_summary(read_table(spark, sf_dir, "events"), "value", by=["event_type"])
 
 
+_TRAIN_SQL = "FROM vitals JOIN a USING (patient_id) WHERE split = 'train'"
+
+
+def _train_rows(spark, sf_dir):
+    return split.split_by_patient(load_vitals(spark, sf_dir)).where("split = 'train'")
+
+
 @register(
     "contamination",
-    with_vitals(f"SELECT {R('least(greatest(avg(CAST(is_hr_anomaly AS DOUBLE)), 0.04), 0.12)', 6)} AS contamination, "
-                "count(DISTINCT patient_id) AS patient_count, count(*) AS sample_count FROM vitals"),
+    with_vitals(f"SELECT {R('least(greatest(avg(CAST(is_hr_anomaly AS DOUBLE)), 0.04), 0.12)', 6)} AS contamination "
+                + _TRAIN_SQL, *_SPLIT_CTES),
 )
 def q_contamination(spark, sf_dir):
+    share = metrics.anomaly_fraction(_train_rows(spark, sf_dir), "is_hr_anomaly")
+    return share.select(round_half_up("contamination", 6).alias("contamination"))
+
+
+@register(
+    "run_counts",
+    with_vitals("SELECT count(DISTINCT patient_id) AS patient_count, count(*) AS sample_count " + _TRAIN_SQL, *_SPLIT_CTES),
+)
+def q_run_counts(spark, sf_dir):
+    return metrics.run_counts(_train_rows(spark, sf_dir))
+
+
+@register(
+    "score_threshold",
+    with_vitals(
+        "SELECT is_hr_anomaly, count(*) AS n_rows, count(*) FILTER (WHERE hr_bpm >= t) AS n_flagged FROM vitals, "
+        "(SELECT quantile_cont(hr_bpm, 0.94) AS t FROM vitals) GROUP BY is_hr_anomaly"
+    ),
+)
+def q_score_threshold(spark, sf_dir):
+    """A19 over a fixed score column: rows at or above the score's 94th percentile, by label."""
     v = load_vitals(spark, sf_dir)
-    return v.agg(
-        round_half_up(F.least(F.greatest(F.avg(F.col("is_hr_anomaly").cast("double")), F.lit(0.04)), F.lit(0.12)), 6)
-        .alias("contamination"),
-        F.count_distinct("patient_id").alias("patient_count"),
-        F.count(F.lit(1)).alias("sample_count"),
-    )
+    t = exact_quantiles(v, "hr_bpm", [0.94]).first().quantiles[0]
+    return v.groupBy("is_hr_anomaly").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("hr_bpm") >= t).alias("n_flagged"))
+
+
+@register(
+    "prediction_columns",
+    with_vitals(
+        "SELECT patient_id, timestamp, least(greatest(hr_bpm * 2 - 120, 0), 100) AS clipped, "
+        "CAST(value_share >= 0.35 AS INTEGER) AS positive, "
+        "CASE activity_class WHEN 0 THEN 'REST' WHEN 1 THEN 'WALKING' WHEN 2 THEN 'RUNNING' WHEN 3 THEN 'HIGH_INTENSITY' END "
+        "AS class_name FROM (SELECT *, least(greatest((hr_bpm - 50) / 100, 0), 1) AS value_share FROM vitals)"
+    ),
+)
+def q_prediction_columns(spark, sf_dir):
+    """P19-P21 over fixed scores: clipped prediction, thresholded probability, class name."""
+    share = F.least(F.greatest((F.col("hr_bpm") - 50) / 100, F.lit(0.0)), F.lit(1.0))
+    v = load_vitals(spark, sf_dir).withColumn("raw", F.col("hr_bpm") * 2 - 120).withColumn(
+        "probability", array_to_vector(F.array(F.lit(1.0) - share, share)))
+    return v.select("patient_id", "timestamp", fx.clip_prediction("raw").alias("clipped"),
+                    fx.threshold_positive("probability", 0.35).alias("positive"),
+                    fx.activity_name("activity_class").alias("class_name"))
 
 
 # ---------------------------------------------------------------------------

@@ -9,24 +9,44 @@ fits and the model fits themselves.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsekit.models import anomaly, mllib_models
-from pulsekit.operators import drift, gates, privacy, quality, split
-from pulsekit.operators.registry import ModelRegistry, registry_summary
+from pulsekit.models.common import FitResult
+from pulsekit.operators import drift, gates, metrics, privacy, quality, split
+from pulsekit.operators.registry import ModelRegistry, evaluation_report, registry_summary
 from pulsekit.schema import FEATURE_SCHEMA_VERSION
-from pulsekit.sources.io import dataset_fingerprint, read_measurements
+from pulsekit.sources.io import dataset_fingerprint, read_measurements, write_json
+
+@dataclass(frozen=True)
+class CatalogEntry:
+    """What the catalogue knows of a model beside its training: registry row and gate."""
+
+    model_type: str
+    target: str
+    deployed_to: tuple[str, ...]
+    gate: str
+    train: Callable
 
+
+# Type, target, deployment and gate of each model.
 TRAINERS = {
-    "heart_rate_anomaly": ("anomaly_detection", "heart_rate", anomaly.train_heart_rate),
-    "spo2_critical": ("anomaly_detection", "spo2", mllib_models.train_spo2),
-    "combined_vitals": ("anomaly_detection", "vitals", anomaly.train_combined),
-    "sleep_quality": ("classifier", "sleep_stage", mllib_models.train_sleep),
-    "activity_recognition": ("classifier", "activity_class", mllib_models.train_activity),
-    "glucose_patterns": ("anomaly_detection", "glucose", mllib_models.train_glucose),
-    "risk_score": ("risk_scoring", "risk_score_30d", mllib_models.train_risk),
+    "heart_rate_anomaly": CatalogEntry("anomaly_detection", "heart_rate", ("android", "backend"), "on_device",
+                                       anomaly.train_heart_rate),
+    "spo2_critical": CatalogEntry("critical_alert", "spo2_critical", ("android",), "on_device", mllib_models.train_spo2),
+    "combined_vitals": CatalogEntry("anomaly_detection", "combined_vitals", ("backend",), "backend",
+                                    anomaly.train_combined),
+    "sleep_quality": CatalogEntry("classifier", "sleep_stage", ("android",), "sleep", mllib_models.train_sleep),
+    "activity_recognition": CatalogEntry("classifier", "activity_class", ("android",), "activity",
+                                         mllib_models.train_activity),
+    "glucose_patterns": CatalogEntry("anomaly_detection", "glucose_pattern_flag", ("android", "backend"), "glucose",
+                                     mllib_models.train_glucose),
+    "risk_score": CatalogEntry("regression", "30_day_risk_score", ("backend",), "risk", mllib_models.train_risk),
 }
 
 
@@ -61,8 +81,24 @@ def prepare(
 
 
 def train_one(tagged: DataFrame, model_id: str, **kw):
-    _type, _target, fn = TRAINERS[model_id]
-    return fn(tagged, **kw)
+    return TRAINERS[model_id].train(tagged, **kw)
+
+
+def save_run(spark: SparkSession, res: FitResult, folder: str) -> dict[str, str]:
+    """Model and scaler as tables below ``folder``; their paths by artifact name."""
+    paths = {"model": f"{folder}/model", "normalizer": f"{folder}/scaler"}
+    if hasattr(res.model, "write"):
+        res.model.write().overwrite().save(paths["model"])
+    else:
+        res.model.save(spark, paths["model"])
+    res.scaler.save(spark, paths["normalizer"])
+    return paths
+
+
+def stored_mb(spark: SparkSession, path: str) -> float:
+    """Size of the files below ``path`` on any file system Spark reads (their contents are not read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return (files.agg(F.sum("length")).first()[0] or 0) / (1024.0 * 1024.0)
 
 
 def run_catalog(
@@ -72,28 +108,49 @@ def run_catalog(
     version: str = "1.0.0",
     models: list[str] | None = None,
     trainer_kw: dict | None = None,
+    artifacts_path: str | None = None,
+    timings: DataFrame | None = None,
     drift_reference: DataFrame | None = None,
 ) -> dict:
-    """M8: prepare once, fit every model, gate, register, optional drift check, summary."""
+    """M8: prepare once; fit, save, gate, report and register every model; optional drift check; summary.
+
+    ``timings`` (model_id, ms) holds measured single-record latencies, which the gates of
+    device models read; without it, and so for a missing model, latency counts as 0 and passes.
+    Models, scalers and reports go below ``artifacts_path`` (beside the registry by default), a
+    folder the cluster shares.
+    """
     tagged, facts = prepare(spark, source)
     reg = ModelRegistry(spark, registry_path)
+    artifacts_path = artifacts_path or f"{registry_path.rstrip('/')}_artifacts"
+    latency = {}
+    if timings is not None:
+        latency = {r.model_id: {k: v for k, v in r.asDict().items() if k != "model_id"}
+                   for r in metrics.latency_summary(timings, "ms", by=["model_id"]).collect()}  # one row a model
     results = {}
     try:
         for model_id in models or list(TRAINERS):
-            mtype, target, _fn = TRAINERS[model_id]
+            plan = TRAINERS[model_id]
             res = train_one(tagged, model_id, **(trainer_kw or {}).get(model_id, {}))
-            metrics_row = spark.createDataFrame([{k: float(v) for k, v in res.metrics.items() if v is not None}])
-            approved = gates.approval_gate(metrics_row, on_device=True).first()
+            folder = f"{artifacts_path}/{model_id}/{version}"
+            paths = save_run(spark, res, folder)
+            values = {k: float(v) for k, v in {**res.metrics, **latency.get(model_id, {})}.items() if v is not None}
+            values["size_mb"] = round(stored_mb(spark, paths["model"]), 3)
+            gated = gates.model_gate(spark.createDataFrame([values]), plan.gate)
+            verdict = gated.first()
+            paths["evaluation_report"] = f"{folder}/report"
+            write_json(evaluation_report(gated, model_id, version, facts["dataset_hash"], FEATURE_SCHEMA_VERSION,
+                                         sorted(values)), paths["evaluation_report"])
+            cohort = metrics.run_counts(tagged if res.cohort is None else res.cohort).first()
             entry = reg.register(
-                model_id=model_id, version=version, model_type=mtype, target=target, deployed_to=["backend"],
-                algorithm=res.algorithm, hyperparameters=res.hyperparameters, metrics=res.metrics, artifacts={},
-                feature_schema_version=FEATURE_SCHEMA_VERSION, dataset_hash=facts["dataset_hash"],
-                patient_count=int(facts["audit"]["patients_count"]), sample_count=int(facts["sample_count"]),
+                model_id=model_id, version=version, model_type=plan.model_type, target=plan.target,
+                deployed_to=list(plan.deployed_to), algorithm=res.algorithm, hyperparameters=res.hyperparameters,
+                metrics=values, artifacts=paths, feature_schema_version=FEATURE_SCHEMA_VERSION,
+                dataset_hash=facts["dataset_hash"], patient_count=cohort.patient_count, sample_count=cohort.sample_count,
             )
             # The approval gate and the registry status follow different rules; both are kept.
-            results[model_id] = {"metrics": res.metrics, "gate_status": "approved_for_export" if approved.approved
-                                 else "rejected", "registry_status": entry["status"],
-                                 "reasons": list(approved.rejection_reasons)}
+            results[model_id] = {"metrics": values, "gate_status": "approved_for_export" if verdict.approved
+                                 else "rejected", "registry_status": entry["status"], "artifacts": paths,
+                                 "reasons": list(verdict.rejection_reasons)}
         out = {"models": results, "facts": facts,
                "registry": [r.asDict() for r in registry_summary(reg.entries()).collect()]}
         if drift_reference is not None:

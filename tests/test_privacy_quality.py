@@ -36,7 +36,7 @@ def test_pii_dropped_tokens_and_nulls(spark):
     tokens = [r.patient_id for r in rows]
     assert tokens.count(None) == 1  # NULL id stays NULL
     real = [t for t in tokens if t]
-    assert len(set(real)) == 1 and real[0].startswith("anon-") and len(real[0]) == 17
+    assert len(set(real)) == 1 and real[0].startswith("anon-") and len(real[0]) == 5 + privacy.TOKEN_LEN
     assert audit["records_total"] == 4 and audit["records_consented_processed"] == 3 and audit["patients_count"] == 1
 
 

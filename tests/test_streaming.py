@@ -54,6 +54,9 @@ def test_drift_job_and_catalog(spark, tmp_path):
     assert set(res["models"]) == {"spo2_critical", "sleep_quality"}
     assert {r["model_id"] for r in res["registry"]} == {"spo2_critical", "sleep_quality"}
     assert res["facts"]["audit"]["records_consented_processed"] > 0
+    sleep = res["models"]["sleep_quality"]
+    assert sleep["metrics"]["size_mb"] > 0 and spark.read.parquet(sleep["artifacts"]["normalizer"]).count() == 4
+    assert spark.read.json(sleep["artifacts"]["evaluation_report"]).first().status == sleep["gate_status"]
 
 
 def test_streaming_model_scoring(spark, tmp_path):
