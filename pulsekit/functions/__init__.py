@@ -5,6 +5,7 @@ from pulsekit.functions.core import (
     nan_to_null,
     round_half_up,
     safe_ratio,
+    secret,
     semver_key,
 )
 
@@ -15,5 +16,6 @@ __all__ = [
     "nan_to_null",
     "round_half_up",
     "safe_ratio",
+    "secret",
     "semver_key",
 ]

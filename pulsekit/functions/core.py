@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -67,3 +67,13 @@ def ks_pvalue(d: str | Column, n: str | Column, m: str | Column, terms: int = 10
         * F.exp(F.lit(-2.0) * k.cast("double") * k.cast("double") * lam * lam),
     )
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+
+
+def secret(value: str | bytes) -> Column:
+    """A key or salt as a scalar subquery over a one-row table.
+
+    Unlike a literal it cannot be folded into an expression, so no plan, event log or
+    ``explain`` shows it.
+    """
+    kind = "binary" if isinstance(value, bytes) else "string"
+    return SparkSession.active().createDataFrame([(value,)], f"secret {kind}").scalar()

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsekit.functions import secret
 from pulsekit.schema import PII_COLUMNS
 
 CONSENT_COL = "consent_for_ml_training"
@@ -27,7 +28,7 @@ class ConsentError(ValueError):
 
 
 def new_salt() -> str:
-    """A fresh random salt per run (kept out of logged plan literals by the caller)."""
+    """A fresh random salt per run."""
     return secrets.token_hex(16)
 
 
@@ -59,7 +60,7 @@ def pseudonymize(
     if id_col not in df.columns:
         return df
     ident = F.col(id_col).cast("string")
-    token = F.concat(F.lit(prefix), F.substring(F.sha2(F.concat(F.lit(salt), ident), 256), 1, token_len))
+    token = F.concat(F.lit(prefix), F.substring(F.sha2(F.concat(secret(salt), ident), 256), 1, token_len))
     return df.withColumn(id_col, F.when(ident.isNull(), F.lit(None).cast("string")).otherwise(token))
 
 

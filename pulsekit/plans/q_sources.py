@@ -13,19 +13,27 @@ from pulsekit.sources.adapter import read_table
 QUERY_PASSPHRASE = "pulsekit-roundtrip-check"
 
 
+_EVENT_TEXTS = ("CAST(event_id AS VARCHAR)", "CAST(user_id AS VARCHAR)", "event_type", "CAST(epoch_us(ts) AS VARCHAR)",
+                "printf('%.6f', value)", "props")
+_LANES = " || '-' || ".join(
+    f"coalesce(CAST(sum(CAST(('0x' || substr(h, {at}, 15)) AS BIGINT)) AS VARCHAR), '')" for at in range(1, 65, 15))
+
+
 @register(
     "dataset_fingerprint",
-    "SELECT count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(sha256(concat_ws('|', "
-    "coalesce(CAST(event_id AS VARCHAR), chr(0)), coalesce(CAST(user_id AS VARCHAR), chr(0)), "
-    "coalesce(event_type, chr(0)))), 1, 15)) AS BIGINT)) AS VARCHAR) AS fingerprint FROM events",
+    "SELECT count(*) AS n_rows, " + _LANES + " AS fingerprint FROM (SELECT sha256("
+    + " || ".join(f"coalesce(CAST(length({x}) AS VARCHAR) || ':' || {x}, '-')" for x in _EVENT_TEXTS) + ") AS h FROM events)",
 )
 def q_fingerprint(spark, sf_dir):
-    return io.dataset_fingerprint(read_table(spark, sf_dir, "events"), ["event_id", "user_id", "event_type"])
+    """All columns of ``events``; time and value in a text form that other engines write alike."""
+    ev = read_table(spark, sf_dir, "events")
+    return io.dataset_fingerprint(ev, [
+        "event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")),
+        F.format_string("%.6f", "value"), "props"])
 
 
 @register("encrypt_roundtrip", "SELECT event_id, props, length(props) + 28 AS cipher_bytes FROM events")
 def q_encrypt_roundtrip(spark, sf_dir):
-    spark.conf.set("spark.sql.redaction.string.regex", "(?i)pulsekit-roundtrip-check")
     ev = read_table(spark, sf_dir, "events")
     enc = ev.select("event_id", io.encrypt_column("props", QUERY_PASSPHRASE).alias("cipher"))
     return enc.select(

@@ -6,11 +6,13 @@ inferred, Catalyst prunes columns and pushes filters into the parquet reader.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsekit.functions import round_half_up
+from pulsekit.functions import round_half_up, secret
 from pulsekit.schema import MEASUREMENT_SCHEMA
 
 
@@ -141,24 +143,27 @@ def manifest_audit(manifest: DataFrame, budget_kb: float = 2048.0) -> DataFrame:
 # Order-insensitive dataset fingerprint
 # ---------------------------------------------------------------------------
 
-def row_digest(cols: list[str | Column] | None = None, df: DataFrame | None = None) -> Column:
-    """SHA-256 of one row: typed ``concat_ws`` of the given columns, or ``to_json(struct(*))``."""
-    if cols:
-        parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\u0000")) for c in cols]
-        return F.sha2(F.concat_ws("|", *parts), 256)
-    assert df is not None
-    return F.sha2(F.to_json(F.struct(*df.columns)), 256)
+def row_digest(cols: list[str | Column]) -> Column:
+    """SHA-256 of one row: every value as text behind its length, so that no two rows read alike."""
+    parts = []
+    for c in cols:
+        text = (F.col(f"`{c}`") if isinstance(c, str) else c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.sha2(F.concat(*parts), 256)
 
 
-def dataset_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(n_rows, fingerprint) -- sum of 60-bit digest prefixes, exact in decimal(38,0).
+def dataset_fingerprint(df: DataFrame, cols: list[str | Column] | None = None) -> DataFrame:
+    """(n_rows, fingerprint): the rows' SHA-256 digests, summed in lanes of 60 bits, exact in decimal(38,0).
 
-    Independent of row order and partitioning (a commutative sum), so it is
-    stable under repartitioning, retries and input shuffles.
+    All 256 bits and, by default, all columns count (those without a text form as JSON).
+    A sum is independent of row order and partitioning, hence stable under retries.
     """
-    h = row_digest(cols, df)
-    v = F.conv(F.substring(h, 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(v).cast("string").alias("fingerprint"))
+    if cols is None:
+        nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+        cols = [F.to_json(f"`{f.name}`") if isinstance(f.dataType, nested) else f.name for f in df.schema.fields]
+    digests = df.select(row_digest(cols).alias("h"))
+    lanes = [F.sum(F.conv(F.substring("h", at, 15), 16, 10).cast("decimal(38,0)")).cast("string") for at in range(1, 65, 15)]
+    return digests.agg(F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", *lanes).alias("fingerprint"))
 
 
 # ---------------------------------------------------------------------------
@@ -168,14 +173,13 @@ def dataset_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFra
 def _key(passphrase: str | None) -> Column:
     if not passphrase:
         raise ValueError("An encryption key is required; refusing to write plaintext.")
-    return F.unhex(F.sha2(F.lit(passphrase), 256))
+    return secret(hashlib.sha256(passphrase.encode()).digest())
 
 
 def encrypt_column(c: str | Column, passphrase: str) -> Column:
     """AES-256-GCM; output = 12-byte nonce || ciphertext || 16-byte tag.
 
-    The key is a literal in the plan: set ``spark.sql.redaction.string.regex``
-    so plans and logs redact it.
+    The key stands in no plan (``functions.secret``).
     """
     col = F.col(c) if isinstance(c, str) else c
     return F.aes_encrypt(col.cast("binary"), _key(passphrase), F.lit("GCM"))
