@@ -319,7 +319,12 @@ def q_prediction_columns(spark, sf_dir):
 # Resampling
 # ---------------------------------------------------------------------------
 
-RESAMPLE_COLS = ["hr_bpm", "spo2_percent", "activity_intensity"]
+#: Every numeric column of the vitals view.
+RESAMPLE_COLS = [
+    "hr_bpm", "hrv_ms", "spo2_percent", "elevation_meters", "is_sleeping", "activity_intensity", "resp_rate", "temp_c",
+    "bp_sys", "bp_dia", "movement_variance", "accel_x", "accel_y", "accel_z", "gyro_x", "gyro_y", "gyro_z", "sleep_stage",
+    "activity_class", "is_hr_anomaly", "critical_spo2_drop", "glucose_pattern_flag", "risk_score_30d",
+]
 
 
 def _resample_oracle(step_us: int, method: str = "linear") -> str:
