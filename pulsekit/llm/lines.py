@@ -11,6 +11,13 @@ on more than ``ratio`` of the pages, so there are fewer than (mean lines a
 page) / ``ratio``. Pages meet that list by (host, salt), so a host with a third
 of all pages is spread over ``salts`` keys; counts are summed before they are
 shuffled.
+
+``RATIO`` stands in the gap of the measured shares. On sf0.1 (500 pages a host)
+the most common line is on 8.6 to 13.2 % of every host's pages and no other line
+on more than 4.8 % of any; on check_h the line below the gap reaches 6.5 % at
+most. At 0.07 each line is judged alike on every host of sf0.1, check_s and
+check_h; at 0.03 eight of the nine lines dropped on sf0.1 go from some of their
+hosts only. Hosts of under 72 pages are decided by ``MIN_PAGES`` alone.
 """
 
 from __future__ import annotations
@@ -18,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RATIO, MIN_PAGES, SALTS = 0.1, 5, 64
+RATIO, MIN_PAGES, SALTS = 0.07, 5, 64
 _BLANK = " \t\r"
 
 

@@ -116,6 +116,14 @@ def test_line_dedup_cases(spark):
     assert lines.drop_boilerplate(docs_frame(spark, [])).count() == 0
 
 
+def test_line_dedup_judges_a_line_alike_on_every_host(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = lines.boilerplate_lines(docs).toPandas()
+    # counted outside Spark: one line is on 1,061 pages, 43 to 66 of each host's 500; the next is on 24 of a host's at most
+    assert len(got) == got.host.nunique() == 20 and got.line_key.nunique() == 1
+    assert got.n_pages.sum() == 1061 and got.n_pages.min() == 43 and got.n_pages.max() == 66
+
+
 # ---- 3 WARC
 
 def test_warc_round_trip(spark):
