@@ -6,9 +6,11 @@ best orthogonal map to them (Procrustes), which balances the bits. Several
 such rotations, from different starts, give codes of any length.
 
 Retrieval: the code is cut into substrings, one hash table each. The substring
-length follows the number of vectors, and the number of tables follows from
-it and from the chance ``angle / pi`` that a bit of a pair at the threshold
-differs, so that such a pair shares a substring with probability ``RECALL``.
+length follows the number of vectors. The number of tables is measured: sample
+vectors are paired with made ones at the threshold, both are coded like any
+vector (centred, so a common mean widens their angle), and tables are added until
+a share of ``RECALL`` of the pairs has a substring in common. Where ``MOST``
+tables do not reach it, substrings get shorter, down to none (all are compared).
 
 Rerank: vectors that share a table's substring are compared by the cosine of
 their original vectors. Equal vectors are folded first. A bucket is cut into
@@ -33,6 +35,7 @@ from pulsekit.llm.components import connected_components
 from pulsekit.llm.vectors import unit, usable
 
 THRESHOLD, RECALL = 0.98, 0.995
+MOST, PAIRS = 96, 4000  # tables before substrings get shorter; measured pairs of either kind
 SAMPLE, ROUNDS, BLOCK = 20_000, 25, 128  # vectors that the rotations are learned on; refinements; vectors a block
 
 
@@ -55,11 +58,43 @@ def learn_rotations(x: np.ndarray, n: int, rounds: int = ROUNDS, seed: int = 11)
 
 
 def tables_for(bits: int, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """Substrings of ``bits`` bits that a pair at the threshold needs to share one with probability ``recall``."""
+    """Substrings of ``bits`` bits that a pair at the threshold needs at least to share one with probability ``recall``."""
     same = (1 - np.arccos(threshold) / np.pi) ** bits
     return int(np.ceil(np.log(1 - recall) / np.log(1 - same)))
 
 
+def threshold_pairs(x: np.ndarray, threshold: float, n: int = PAIRS, seed: int = 13) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``x`` and unit vectors at the threshold from them: ``n`` towards other rows, then ``n`` in any direction."""
+    rng = np.random.default_rng(seed)
+    a = x[rng.integers(0, len(x), 2 * n)]
+    to = np.concatenate([x[rng.integers(0, len(x), n)], rng.standard_normal((n, x.shape[1]))])
+    for _ in range(2):  # a row towards itself has no direction: any will do
+        to = to - (to * a).sum(axis=1, keepdims=True) * a
+        none = np.linalg.norm(to, axis=1) < 1e-6
+        to[none] = rng.standard_normal((int(none.sum()), x.shape[1]))
+    to = to - (to * a).sum(axis=1, keepdims=True) * a
+    long = np.maximum(np.linalg.norm(to, axis=1, keepdims=True), 1e-300)
+    return a, threshold * a + np.sqrt(1 - threshold**2) * to / long
+
+
+def fit_tables(x: np.ndarray, bits: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """(mean, rotations, bits, tables) with which pairs at the threshold share a substring with probability ``recall``."""
+    d = x.shape[1]
+    least = tables_for(bits, threshold, recall)
+    a, b = threshold_pairs(x, threshold)
+    tries = [(bits, least), (bits, max(MOST, least)), *((k, MOST) for k in range(bits - 1, 0, -1))]
+    mean, rotations = learn_rotations(x, -(-bits * least // d))
+    for k, most in tries:
+        if k * most > len(rotations) * d:
+            mean, rotations = learn_rotations(x, -(-k * most // d))
+        same = substrings(a, mean, rotations, k, most) == substrings(b, mean, rotations, k, most)
+        share = np.logical_or.accumulate(same, axis=1).reshape(2, -1, most).mean(axis=1).min(axis=0)
+        if share[-1] >= recall:
+            tables = max(least if k == bits else 1, int(np.argmax(share >= recall)) + 1)
+            return mean, rotations[: -(-k * tables // d)], k, tables
+    return mean, rotations[:1], 0, 1
+
+
 def substrings(x: np.ndarray, mean: np.ndarray, rotations: np.ndarray, bits: int, tables: int) -> np.ndarray:
     """Code of each row of ``x`` as integers, rows x tables."""
     y = (x - mean) @ rotations.transpose(1, 0, 2).reshape(x.shape[1], -1)
@@ -67,16 +102,18 @@ def substrings(x: np.ndarray, mean: np.ndarray, rotations: np.ndarray, bits: int
     return (b << np.arange(bits)).sum(axis=2)
 
 
-def _coder(models: dict[int, tuple[np.ndarray, np.ndarray]], bits: int, tables: int):
+def _coder(models: dict[int, tuple[np.ndarray, np.ndarray, int, int]], tables: int):
+    """Task: append each vector's codes; those beyond the tables of its length are -1."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vecs = batch.column("vec")
             sizes = np.diff(vecs.offsets.to_numpy())
-            codes = np.zeros((len(vecs), tables), np.int64)
+            codes = np.full((len(vecs), tables), -1, np.int64)
             for d in np.unique(sizes).tolist():
                 at = np.flatnonzero(sizes == d)
                 mine = vecs.take(pa.array(at))
-                codes[at] = substrings(unit(mine.flatten().to_numpy().reshape(-1, d)), *models[d], bits, tables)
+                codes[at, : models[d][3]] = substrings(unit(mine.flatten().to_numpy().reshape(-1, d)), *models[d])
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(vecs) + 1, dtype=np.int32) * tables), pa.array(codes.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, flat], names=[*batch.schema.names, "code"])
 
@@ -188,15 +225,15 @@ def _links(classes: DataFrame, threshold: float, sample: int) -> DataFrame:
     sizes = {r[0]: r[1] for r in classes.groupBy(F.size("vec")).count().collect()}  # a row per vector length
     total = sum(sizes.values())
     bits = int(min(30, max(8, np.ceil(np.log2(max(total, 2))))))
-    tables = tables_for(bits, threshold)
     models = {}
     for d in sizes:
         rows = min(sample, max(200, 4_000_000 // d))  # bounds the sample's memory for long vectors
         got = classes.filter(F.size("vec") == d).select("vec").orderBy(F.xxhash64("vec"), "vec").limit(rows).collect()
-        models[d] = learn_rotations(unit(np.array([r[0] for r in got], np.float64)), -(-bits * tables // d))
+        models[d] = fit_tables(unit(np.array([r[0] for r in got], np.float64)), bits, threshold)
+    tables = max((m[3] for m in models.values()), default=1)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema.fields)
-    coded = save(classes.mapInArrow(_coder(models, bits, tables), f"{kinds}, code array<long>"), "itq-codes")
-    place = coded.select("cls", F.posexplode("code").alias("table", "value"), "label", F.size("vec").alias("d"))
+    coded = save(classes.mapInArrow(_coder(models, tables), f"{kinds}, code array<long>"), "itq-codes")
+    place = coded.select("cls", F.posexplode("code").alias("table", "value"), "label", F.size("vec").alias("d")).filter("value >= 0")
     place = place.select("cls", "table", F.concat_ws("/", "table", "d", "value", "label").alias("bucket"))
     big = place.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")

@@ -206,6 +206,23 @@ def test_itq_against_brute_force(spark):
     assert link.sum() > 60 and (got.n_links.to_numpy() <= link.sum(1)).all() and got.n_links.sum() >= 0.9 * link.sum()
 
 
+def test_itq_recall_with_a_large_common_mean(spark):
+    rng = np.random.default_rng(8)
+    g = rng.standard_normal((700, 32))
+    g[:, 0] = 0
+    x = 0.436 * g / np.linalg.norm(g, axis=1)[:, None]
+    x[:, 0] = 0.9  # the mean of these unit vectors has a norm of 0.9
+    a, b = itq.threshold_pairs(x, 0.981, 350)
+    both = np.concatenate([a, b])
+    both = both[np.sort(np.unique(both, axis=0, return_index=True)[1])]
+    u = both / np.linalg.norm(both, axis=1)[:, None]
+    link = u @ u.T >= 0.98
+    np.fill_diagonal(link, False)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<double>")
+    got = itq.near_duplicate_vectors(df, label_col=None).toPandas().sort_values("vec_id")
+    assert (got.n_links.to_numpy() <= link.sum(1)).all() and got.n_links.sum() >= 0.985 * link.sum()
+
+
 # ---- 5, 9, 10 tokens
 
 @pytest.mark.parametrize("path,kind", [(WORD, TextEncoder), (BYTE, TextEncoder), (WORD, BpeEncoder), (BYTE, BpeEncoder)])
