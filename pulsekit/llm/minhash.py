@@ -187,14 +187,15 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep the pairs whose full shingle sets have a similarity of at least 75 %."""
-    sets: dict[int, np.ndarray] = {}  # a hub's pairs come one after another
+    sets: dict[tuple[int, str], np.ndarray] = {}  # a hub's pairs come one after another; an id can have several texts
 
     def of(i: int, text: str) -> np.ndarray:
-        if i not in sets:
+        got = sets.get((i, text))
+        if got is None:
             if len(sets) >= 64:
                 sets.clear()
-            sets[i] = shingle_set(text)
-        return sets[i]
+            got = sets[i, text] = shingle_set(text)
+        return got
 
     for batch in batches:
         a, b, ta, tb = batch.column(0), batch.column(1), batch.column(2), batch.column(3)

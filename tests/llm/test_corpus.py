@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -82,6 +83,13 @@ def test_minhash_groups_chains_and_edge_cases(spark):
     assert minhash.near_duplicates(docs_frame(spark, [])).count() == 0
 
 
+def test_linked_compares_each_text_of_a_repeated_id():
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = {"a": [1, 1, 1], "b": [2, 3, 4], "ta": [one, two, one], "tb": [one + " x", two + " x", two]}
+    got = pa.Table.from_batches(minhash._linked(iter([pa.RecordBatch.from_pydict(rows)])))
+    assert got.to_pydict() == {"a": [1, 1], "b": [2, 3]}
+
+
 def test_superminhash_estimates_and_definition():
     rng = np.random.default_rng(3)
     elements = rng.integers(0, 2**63, 9).astype(np.uint64)
