@@ -1,8 +1,9 @@
 """From raw documents to packed sequences: toxicity, line dedup, near-duplicates, packing.
 
 Each stage takes what its predecessor kept, as a table written and read again.
-Rows with a null id cannot be grouped with others and pass the near-duplicate
-stage; of rows with one id, one stays. Null texts count as empty.
+The near-duplicate stage judges rows, not ids: rows with one id and unlike texts
+all stay, and rows with a null id are compared like any other. Null texts count
+as empty.
 """
 
 from __future__ import annotations
@@ -32,10 +33,16 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near-duplicates stays (operator 1)."""
-    kept = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id")
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    """The first row of each group of near-duplicates stays: by id (null last), then by a digest of the text.
+
+    Rows are numbered in that order, and operator 1 sees the number as the id.
+    Texts without words (null, empty, white space) form no group: all rows with them stay.
+    """
+    order = [F.col("doc_id").asc_nulls_last(), F.md5(F.col("text")), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])]
+    rows = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__row", F.monotonically_increasing_id())
+    rows = save(rows, "pipeline-rows")
+    kept = minhash.near_duplicates(rows, id_col="__row").filter("kept").select("doc_id")
+    return rows.join(kept, rows["__row"] == kept["doc_id"], "left_semi").drop("__row")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

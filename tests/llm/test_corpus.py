@@ -408,6 +408,14 @@ def test_best_run_and_cases(spark):
 
 # ---- pipeline
 
+def test_near_duplicate_stage_judges_rows(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(1, one, "s"), (1, two, "s"), (1, two, "s"), (2, one + " x", "s"), (None, two, "s"), (None, three, "s"), (None, three, "s"), (3, "", "s")]
+    got = corpus_pipeline.drop_near_duplicates(spark, docs_frame(spark, rows), SF).collect()
+    want = [(1, one, "s"), (1, two, "s"), (None, three, "s"), (3, "", "s")]
+    assert Counter(tuple(r) for r in got) == Counter(want)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     names, now = [n for n, _ in corpus_pipeline.STAGES], docs
