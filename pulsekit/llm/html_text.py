@@ -7,7 +7,7 @@ mark their article themselves (``article`` or ``main`` element) tell for every
 kind of element how often its words, and its tags, are inside or outside. An
 element that is boilerplate by its name, role or class (menus, forms, adverts,
 reader comments and so on) counts as one tag, wherever it stands, and yields
-no text. Learning uses a bounded sample of pages (``SAMPLE``).
+no text. Learning uses a bounded sample (``SAMPLE``) of the pages that mark their article.
 """
 
 from __future__ import annotations
@@ -51,6 +51,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_MARK = re.compile("<(?:article|main)", re.I)  # LANDMARKS
 _RAW_END = {n: re.compile(rf"</{n}\s*>", re.I) for n in RAW}
 
 
@@ -68,6 +69,11 @@ def _furniture(name: str, attrs: str, inside: bool) -> tuple[bool, str]:
 
 
 def read_page(page: str | None) -> list[tuple[str, str, bool, object]]:
+    """The whole page as a list, see :func:`_read`."""
+    return list(_read(page))
+
+
+def _read(page: str | None) -> Iterator[tuple[str, str, bool, object]]:
     """The page as a sequence of (what, kind, in a landmark, value).
 
     what: ``text`` (value: its words; kind: the element around), ``tag`` (value:
@@ -93,8 +99,10 @@ def read_page(page: str | None) -> list[tuple[str, str, bool, object]]:
     while True:
         m = _TOKEN.search(page, at)
         text(page[at : m.start() if m else len(page)])
+        yield from out
+        out.clear()
         if not m:
-            return out
+            return
         at = m.end()
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
@@ -142,6 +150,11 @@ def read_page(page: str | None) -> list[tuple[str, str, bool, object]]:
         kinds.append(kind)
 
 
+def marks_article(page: str | None) -> bool:
+    """Whether :func:`count_kinds` counts the page; read up to its first landmark."""
+    return bool(_MARK.search(page or "")) and any(inside for _, _, inside, _ in _read(page))
+
+
 def count_kinds(page: str | None) -> Counter | None:
     """How often words and tags of each kind are inside (1) or outside (0) the marked article; None if none is marked."""
     seq = read_page(page)
@@ -194,10 +207,15 @@ def extract(page: str | None, weights: dict[str, float]) -> list[str]:
 
 
 def learn_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> dict[str, float]:
-    """Weights from up to ``sample`` pages (in the order of a hash of the id); {} if none marks its article."""
+    """Weights from up to ``sample`` pages that mark their article (in the order of a hash of the id); {} if none does."""
     rows = need(pages, id_col, html_col).toDF("page_id", "html").filter("html is not null and page_id is not null")
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select([0]).filter(pa.array([marks_article(p.as_py()) for p in batch.column(1)], pa.bool_()))
+
     # at most `sample` ids of 8 bytes are gathered and broadcast, not their pages
-    ids = rows.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    ids = rows.mapInArrow(marked, rows.select("page_id").schema).distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
     rows = rows.join(F.broadcast(ids), "page_id")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -406,6 +406,17 @@ def test_best_run_and_cases(spark):
     assert got[1] == ["Head & line", "One two", "three four", "five six"] and got[2] == got[3] == [] and got[4] == ["plain & text"] and len(got) == 5
 
 
+def test_weights_come_from_the_pages_that_mark_an_article(spark):
+    plain, marked = "<body><div><p>some words</p></div></body>", "<body><p>menu</p><main class='m'><p>an article of words</p></main></body>"
+    odd = "<body><!-- <main> --><script>'<article>'</script><p>words</p></body>"
+    rows = [(i, marked if i in (100, 900) else odd if i % 2 else plain) for i in range(1000)]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    want = Counter()
+    for _ in range(2):
+        want.update(html_text.count_kinds(marked))
+    assert html_text.learn_weights(df, sample=2) == html_text.learn_weights(df, sample=20) == html_text.weights_of(want) != {}
+
+
 # ---- pipeline
 
 def test_near_duplicate_stage_judges_rows(spark):
