@@ -7,10 +7,8 @@ of the rest of a sequence that no other filling dominates, repeats a filling
 as often as the counts allow, prunes branches whose bins plus a lower bound
 (total length, or pieces over half) cannot beat the best solution, or whose
 waste exceeds what a better solution may waste, and completes every node by
-best-fit decreasing as the incumbent. Fillings come fullest first, one by one as
-the search returns to a node, so none is left out. The search stops when the
-bound is met, when nothing is left to try, or after ``EFFORT`` nodes or ``STEPS``
-steps (packing is NP-hard; the incumbent is then the answer, not proven best).
+best-fit decreasing as the incumbent. The search stops when the bound is met or
+after ``EFFORT`` (packing is NP-hard; the incumbent is then the answer).
 
 The plan maps ranges of the pieces' global order (length, then id) to
 sequences and offsets, so Spark assigns every piece by one look-up: the order
@@ -23,7 +21,6 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +29,8 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm.common import need, save
 
-CAPACITY = 4096  # ids a sequence
-EFFORT, STEPS = 4000, 2_000_000  # of the search: nodes, whatever the number of lengths; lengths looked at for their fillings
+CAPACITY, WIDTH = 4096, 6  # ids a sequence; fillings tried at a node
+EFFORT = 200_000  # of the search: pieces of different lengths seen at all its nodes
 
 #: A plan is a list of (times, lengths): `times` sequences hold pieces of these lengths each.
 Plan = list[tuple[int, tuple[int, ...]]]
@@ -110,68 +107,42 @@ def dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
     return False
 
 
-@dataclass
-class Effort:
-    """What a search may still spend."""
+def fillings(counts: dict[int, int], room: int, waste: int) -> list[tuple[int, ...]]:
+    """Undominated ways to fill ``room`` leaving at most ``waste``, fullest first (WIDTH at most).
 
-    nodes: int = EFFORT
-    steps: int = STEPS
-
-    @property
-    def over(self) -> bool:
-        return self.nodes <= 0 or self.steps <= 0
-
-
-def fillings(counts: dict[int, int], room: int, waste: int, effort: Effort) -> Iterator[tuple[int, ...]]:
-    """Undominated ways to fill ``room`` leaving at most ``waste``, fullest first; all of them, if the effort lasts.
-
-    For each sum they are found by depth-first search over the lengths in
-    falling order, along sums that the remaining lengths can make; a filling to
-    which a remaining piece could be added is dominated.
+    They are found by depth-first search over the lengths in falling order; a
+    filling to which a remaining piece could be added is dominated.
     """
     sizes = sorted((n for n, c in counts.items() if c and n <= room), reverse=True)
-    below = [-n for n in sizes]
-    can, mask = [1], (1 << (room + 1)) - 1  # can[i]: bit s is set if lengths from place i on make the sum s
-    for n in reversed(sizes):
-        sums, left, k = can[-1], min(counts[n], room // n), 1
-        while left:
-            k = min(k, left)
-            sums |= sums << k * n & mask
-            left, k = left - k, 2 * k
-        can.append(sums)
-    can.reverse()
-
-    def exact(at: int, chosen: tuple[int, ...], left: int) -> Iterator[tuple[int, ...]]:
-        if not left:
-            yield chosen
-            return
-        at = max(at, bisect_left(below, -left))
-        while at < len(sizes) and can[at] >> left & 1 and not effort.over:
-            effort.steps -= 1
+    if not sizes:
+        return [()] if room <= waste else []
+    found: list[tuple[int, ...]] = []
+    steps = 0
+
+    def extend(at: int, chosen: tuple[int, ...], left: int) -> None:
+        nonlocal steps
+        while at < len(sizes) and len(found) < 4 * WIDTH and steps < 4000:
             n = sizes[at]
-            for k in range(min(counts[n], left // n), 0, -1):
-                if can[at + 1] >> (left - k * n) & 1:
-                    yield from exact(at + 1, chosen + (n,) * k, left - k * n)
+            if n <= left and chosen.count(n) < counts[n]:
+                steps += 1
+                extend(at, (*chosen, n), left - n)
             at += 1
+        if left <= waste and not any(n <= left and chosen.count(n) < counts[n] for n in sizes):
+            found.append(chosen)
 
+    extend(0, (), room)
+    found = sorted(dict.fromkeys(found), key=lambda f: (-sum(f), len(f)))
     kept: list[tuple[int, ...]] = []
-    for total in range(room, max(0, room - waste) - 1, -1):
-        effort.steps -= 1
-        if effort.over:
-            return
-        if not can[0] >> total & 1:
-            continue
-        small = [n for n in sizes if n <= room - total]
-        for f in exact(0, (), total):
-            if any(f.count(n) < counts[n] for n in small):
-                continue
-            if not any(len(k) <= 8 and len(f) <= 8 and dominates(k, f) for k in kept):
-                kept.append(f)
-                yield f
+    for f in found:
+        if not any(len(k) <= 8 and len(f) <= 8 and dominates(k, f) for k in kept):
+            kept.append(f)
+        if len(kept) == WIDTH:
+            break
+    return kept
 
 
-def search(counts: dict[int, int], capacity: int = CAPACITY, effort: int = EFFORT, steps: int = STEPS) -> tuple[Plan, int, bool]:
-    """(plan, lower bound, whether no plan has fewer bins) for pieces of 1 to ``capacity``; every piece is used exactly once."""
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, effort: int = EFFORT) -> tuple[Plan, int]:
+    """(plan, lower bound) for pieces of 1 to ``capacity``; every piece is used exactly once."""
     counts = {n: c for n, c in counts.items() if c}
     if any(not 0 < n <= capacity for n in counts):
         raise ValueError("piece lengths must be between 1 and the capacity")
@@ -179,46 +150,35 @@ def search(counts: dict[int, int], capacity: int = CAPACITY, effort: int = EFFOR
     best = best_fit(counts, capacity)
     used = lambda plan: sum(t for t, _ in plan)
     total = sum(n * c for n, c in counts.items())
-    may = Effort(effort, steps)
-
-    def children(left: dict[int, int], plan: Plan, bins: int, lost: int) -> Iterator[tuple]:
+    # depth first without recursion: a node is (remaining counts, plan so far, bins, waste)
+    stack, seen = [(counts, [], 0, 0)], 0
+    while stack and used(best) > bound and seen < effort:
+        left, plan, bins, lost = stack.pop()
+        seen += len(left) + 1
+        if not left:
+            if bins < used(best):
+                best = plan
+            continue
+        if bins + lower_bound(left, capacity) >= used(best):
+            continue
+        done = best_fit(left, capacity)
+        if bins + used(done) < used(best):
+            best = plan + done
+            continue
         spare = (used(best) - 1) * capacity - total - lost  # what a better solution may still waste
         top = max(left)
         rest = dict(left)
         rest[top] -= 1
-        for f in fillings(rest, capacity - top, spare, may):
+        for f in reversed(fillings(rest, capacity - top, spare)):
             lengths = (top, *f)
             need_of = {n: lengths.count(n) for n in set(lengths)}
             times = min(left[n] // c for n, c in need_of.items())
             gap = capacity - sum(lengths)
             if gap:
                 times = max(1, min(times, spare // gap))
-            for t in dict.fromkeys((times, 1)):  # often at once, or this one and any others after it
-                after = {n: c - t * need_of.get(n, 0) for n, c in left.items()}
-                yield {n: c for n, c in after.items() if c}, [*plan, (t, lengths)], bins + t, lost + t * gap
-
-    # depth first without recursion: a node is (remaining counts, plan so far, bins, waste)
-    stack = [iter([(counts, [], 0, 0)])]
-    while stack and used(best) > bound and not may.over:
-        node = next(stack[-1], None)
-        if node is None:
-            stack.pop()
-            continue
-        may.nodes -= 1
-        left, plan, bins, _ = node
-        if bins + lower_bound(left, capacity) >= used(best):
-            continue
-        done = best_fit(left, capacity)
-        if bins + used(done) < used(best):
-            best = plan + done
-        if left:
-            stack.append(children(*node))
-    return best, bound, used(best) == bound or not may.over
-
-
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, effort: int = EFFORT) -> tuple[Plan, int]:
-    """(plan, lower bound) of :func:`search`."""
-    return search(counts, capacity, effort)[:2]
+            after = {n: c - times * need_of.get(n, 0) for n, c in left.items()}
+            stack.append(({n: c for n, c in after.items() if c}, [*plan, (times, lengths)], bins + times, lost + times * gap))
+    return best, bound
 
 
 def _ranges(plan: Plan, counts: dict[int, int]) -> dict[str, np.ndarray]:

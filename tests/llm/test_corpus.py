@@ -331,20 +331,6 @@ def test_bin_completion_is_optimal_on_small_cases():
     assert packing.dominates((6, 4), (4, 3, 3)) and not packing.dominates((5, 5), (6,))
 
 
-def test_fillings_are_whole_and_fullest_first():
-    counts, room, waste = Counter([41, 37, 36, 34, 33, 31, 29, 28, 27, 26, 25, 24, 23]), 100, 4
-    got = list(packing.fillings(counts, room, waste, packing.Effort()))
-    sums = [sum(f) for f in got]
-    assert sums == sorted(sums, reverse=True) and len(set(got)) == len(got) > 6
-    items = sorted(counts.elements(), reverse=True)
-    every = {f for k in range(len(items) + 1) if k <= 6 for f in itertools.combinations(items, k) if room - waste <= sum(f) <= room}
-    assert set(got) <= every and all(any(packing.dominates(g, f) for g in got) for f in every)
-    plan, bound, proven = packing.search(Counter([6, 6, 6, 5, 5, 5]), 10)
-    assert proven and sum(t for t, _ in plan) >= bound
-    hard = Counter(np.random.default_rng(1).integers(200, 500, 60).tolist())
-    assert packing.search(hard, 1000, effort=1)[2] == (sum(t for t, _ in packing.search(hard, 1000, effort=1)[0]) == packing.lower_bound(hard, 1000))
-
-
 # ---- 6 toxicity
 
 def test_toxicity_learns_and_locates(spark):
