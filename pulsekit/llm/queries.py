@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm import graph_ann, html_text, huffman, itq, lines, minhash, packing, toxicity, warc
+from pulsekit.llm import align, graph_ann, html_text, huffman, itq, langid, lines, minhash, packing, runs, toxicity, warc
 from pulsekit.llm.digests import bpe_digests
 from pulsekit.llm.vectors import usable
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 PIECE_END, FILE_END = 1, 2  # ids appended to a document
 
 
@@ -77,6 +79,37 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), PIECE_END))
 
 
+def periodic(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Of one document in ten, by its id's checksum, the words from a place on repeat with a period."""
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 or doc_id is None:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[: a + p] + [words[a + (i - a) % p] for i in range(a + p, n)]
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.find_runs(table(spark, sf_dir, "documents"), reword=periodic))
+
+
+def not_learned() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op12_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(docs.filter(~not_learned())))
+    return found.select("doc_id", not_learned().alias("held_out"), F.col("lang").alias("lang_pred"), "score", "accepted")
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return align.align(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES))[0].drop("groups")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_minhash, op2_line_dedup, op3_warc, op4_graph_ann, op5_huffman_ids, op6_toxicity, op7_itq, op8_html_text, op9_bpe, op10_packing)}
+    op1_minhash, op2_line_dedup, op3_warc, op4_graph_ann, op5_huffman_ids, op6_toxicity, op7_itq, op8_html_text, op9_bpe, op10_packing,
+    op11_runs, op12_langid, op13_align)}
 ORACLES = {"op2_line_dedup": lines.ORACLE_SQL, "op3_warc": warc.ORACLE_SQL}
