@@ -5,7 +5,7 @@ space itself). If the tokens of each, joined, are these bytes again, they cover
 the same bytes, and their ends can be compared. Where both have an end and the
 next token of both begins with a space lies an anchor; anchors cut a text into
 windows, and a window is fully described by its ids of A and of B. Windows
-repeat, so each different one is aligned once and remembered by its id tuples:
+repeat, so each different one of a chunk is aligned once and remembered by its id tuples:
 its groups (cut where both have an end) and its links (pairs of tokens that
 share bytes). Everything about a text is a sum, or a string, over its windows.
 
@@ -21,7 +21,6 @@ summed from their windows.
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,16 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from pulsekit.llm.bpe import byte_symbols
 from pulsekit.llm.common import need, save
-from pulsekit.llm.tokens import TextEncoder
+from pulsekit.llm.tokens import TextEncoder, byte_symbols
 
 GROUP, CHUNK = 2_000_000, 8_000_000  # characters encoded together; of a chunk
-MEMO = 150_000  # windows remembered, in each of two generations
-
-#: (groups as text, number of groups, pairs of ids as a << 32 | b, one for each link)
-Window = tuple[str, int, list[int]]
 
+#: ids of A and of B
+Window = tuple[tuple[int, ...], tuple[int, ...]]
 
 class PlainTextEncoder(TextEncoder):
     """A :class:`TextEncoder` to which the strings of special tokens are text like any other."""
@@ -56,12 +52,22 @@ class Tokens:
     """The bytes of a vocabulary's tokens: their joint string, lengths, and which begin with a space."""
 
     def __init__(self, tokens: list[bytes]):
-        self.bytes = tokens
+        self.blob = np.frombuffer(b"".join(tokens), np.uint8)
         self.size = np.array([len(t) for t in tokens], np.int64)
+        self.start = np.cumsum(self.size) - self.size
         self.spaced = np.array([t.startswith(b" ") for t in tokens], bool)
+        self.decimal = pa.array([str(i) for i in range(len(tokens))])
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the tokens in a row."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        return self.blob[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size - self.start[ids], size)]
+
 
-    def covers(self, ids: np.ndarray, text: bytes) -> bool:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist())) == text
+def join(items: pa.Array, cuts: np.ndarray, by: str) -> pa.Array:
+    """Between each two cuts the items, joined."""
+    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts, pa.int64()), items), by)
 
 
 def byte_level_tokens(enc: TextEncoder) -> Tokens:
@@ -85,10 +91,6 @@ class Aligner:
         self.enc_a = PlainTextEncoder(path_a)
         self.enc_b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.a, self.b = byte_level_tokens(self.enc_a), piece_tokens(self.enc_b)
-        self.long_a, self.long_b = self.a.size.tolist(), self.b.size.tolist()
-        self.decimal = [str(i) for i in range(max(len(self.long_a), len(self.long_b)))]
-        self.new: dict[tuple, Window] = {}
-        self.old: dict[tuple, Window] = {}
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B of each text; none of both if null, empty, or if the joined bytes are others."""
@@ -97,50 +99,31 @@ class Aligner:
         got_b = [np.array(x, np.int64) for x in self.enc_b.encode([t or "" for t in texts], num_threads=1)]
         out, none = [], np.zeros(0, np.int64)
         for text, a, b in zip(full, got_a, got_b):
-            raw = text.encode("utf-8")
-            out.append((a, b) if raw and self.a.covers(a, raw) and self.b.covers(b, raw) else (none, none))
+            raw = np.frombuffer(text.encode("utf-8"), np.uint8)
+            same = len(raw) and np.array_equal(self.a.joined(a), raw) and np.array_equal(self.b.joined(b), raw)
+            out.append((a, b) if same else (none, none))
         return out
 
-    def window(self, ids_a: tuple[int, ...], ids_b: tuple[int, ...]) -> Window:
-        """The alignment of a window, remembered by its ids."""
-        key = (ids_a, ids_b)
-        got = self.new.get(key)
-        if got is None:
-            got = self.old.get(key)
-            if got is None:
-                got = self._align(ids_a, ids_b)
-            if len(self.new) >= MEMO:
-                self.new, self.old = {}, self.new
-            self.new[key] = got
-        return got
-
-    def _align(self, ids_a: tuple[int, ...], ids_b: tuple[int, ...]) -> Window:
-        size_a, size_b, name = self.long_a, self.long_b, self.decimal
-        groups, pairs, i, j, first_a, first_b = [], [], 0, 0, 0, 0
-        a, b = ids_a[0], ids_b[0]
-        ahead = size_a[a] - size_b[b]  # by how many bytes A's token ends later than B's
-        while True:
-            pairs.append(a << 32 | b)
-            if not ahead:
-                if i == first_a and j == first_b:
-                    groups.append(f"{name[a]}|{name[b]}")
-                else:
-                    groups.append(",".join([name[x] for x in ids_a[first_a : i + 1]]) + "|" + ",".join([name[x] for x in ids_b[first_b : j + 1]]))
-                i, j = i + 1, j + 1
-                if i == len(ids_a):
-                    return ";".join(groups), len(groups), pairs
-                first_a, first_b, a, b = i, j, ids_a[i], ids_b[j]
-                ahead = size_a[a] - size_b[b]
-            elif ahead < 0:
-                i += 1
-                a = ids_a[i]
-                ahead += size_a[a]
-            else:
-                j += 1
-                b = ids_b[j]
-                ahead -= size_b[b]
-
-    def windows(self, coded: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[tuple[tuple, tuple]], np.ndarray, np.ndarray]:
+    def align(self, windows: list[Window]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """(groups as text, number of groups, number of links) of each window, and the links' pairs (a << 32 | b) in a row.
+
+        The windows lie in a row, so that an end has a place: each different
+        end of A or B closes one link, and one of both closes a group.
+        """
+        size_a, size_b = (np.fromiter((len(w[k]) for w in windows), np.int64, len(windows)) for k in (0, 1))
+        a, b = (np.fromiter((x for w in windows for x in w[k]), np.int64, n.sum()) for k, n in ((0, size_a), (1, size_b)))
+        end_a, end_b = np.cumsum(self.a.size[a]), np.cumsum(self.b.size[b])
+        ends = np.union1d(end_a, end_b)
+        at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+        shared = np.flatnonzero((end_a[at_a] == ends) & (end_b[at_b] == ends))
+        links = np.bincount(np.repeat(np.arange(len(windows)), size_a)[at_a], minlength=len(windows))
+        groups = np.diff(np.searchsorted(shared, np.cumsum(links) - 1, side="right"), prepend=0)
+        text = [join(tokens.decimal.take(pa.array(ids)), np.append(0, at[shared] + 1), ",")
+                for tokens, ids, at in ((self.a, a, at_a), (self.b, b, at_b))]
+        rows = join(pc.binary_join_element_wise(*text, "|"), np.append(0, np.cumsum(groups)), ";")
+        return rows, groups, links, a[at_a] << 32 | b[at_b]
+
+    def windows(self, coded: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[Window], np.ndarray, np.ndarray]:
         """(different windows, the number of each window in text order, how many windows each text has)."""
         a, b = np.concatenate([x for x, _ in coded]), np.concatenate([x for _, x in coded])
         if not len(a):
@@ -157,7 +140,9 @@ class Aligner:
             rows = pa.Array.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer((4 * cut).astype("<i8").tobytes()), raw])
             codes.append(rows.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64))
         _, first, number = np.unique(codes[0] << 32 | codes[1], return_index=True, return_inverse=True)
-        keys = [(tuple(a[cut_a[k] : cut_a[k + 1]].tolist()), tuple(b[cut_b[k] : cut_b[k + 1]].tolist())) for k in first.tolist()]
+        list_a, list_b = a.tolist(), b.tolist()
+        keys = [(tuple(list_a[i:j]), tuple(list_b[k:m])) for i, j, k, m in
+                zip(*(c[x].tolist() for c in (cut_a, cut_b) for x in (first, first + 1)))]
         borders = np.cumsum([int(self.a.size[x].sum()) for x, _ in coded])
         many = np.diff(np.searchsorted(anchors, borders, side="right"), prepend=0)
         return keys, number, many
@@ -174,36 +159,33 @@ _KIND = ("chunk string, doc_id {id}, n_a long, n_b long, n_groups long, n_links
 
 
 class _Chunk:
-    """What a task keeps of a chunk until it is written: different windows, pairs, counts."""
+    """What a task keeps of a chunk until it is written: its different windows by their ids, and their alignment."""
 
     def __init__(self, name: str):
         self.name, self.chars = name, 0
-        self.windows: dict[tuple, int] = {}
-        self.pairs: dict[int, int] = {}
-        self.links = array("i")
-        self.sizes: list[int] = []
-        self.text: list[str] = []
-        self.groups: list[int] = []
-        self.times = np.zeros(0, np.int64)
-
-    def number(self, key: tuple, find) -> int:
-        got = self.windows.get(key)
-        if got is None:
-            got = self.windows[key] = len(self.windows)
-            text, groups, pairs = find(*key)
-            known = self.pairs
-            self.links.extend([known.setdefault(p, len(known)) for p in pairs])
-            self.sizes.append(len(pairs))
-            self.text.append(text)
-            self.groups.append(groups)
-        return got
+        self.number: dict[Window, int] = {}
+        self.text = pa.array([], pa.string())
+        self.groups, self.links, self.times = (np.zeros(0, np.int64) for _ in range(3))
+        self.pairs: list[np.ndarray] = []
+
+    def numbers(self, windows: list[Window], tool: Aligner) -> np.ndarray:
+        """Numbers of the windows; those met for the first time are aligned."""
+        known = self.number
+        out = np.array([known.setdefault(w, len(known)) for w in windows], np.int64)
+        new = [w for w, n in zip(windows, out.tolist()) if n >= len(self.groups)]
+        if new:
+            text, groups, links, pairs = tool.align(new)
+            self.text = pa.concat_arrays([self.text, text])
+            self.groups, self.links = np.append(self.groups, groups), np.append(self.links, links)
+            self.times = np.append(self.times, np.zeros(len(new), np.int64))
+            self.pairs.append(pairs)
+        return out
 
     def row(self) -> dict:
-        sizes, links = np.array(self.sizes, np.int64), np.array(self.links, np.int64)
-        counts = np.zeros(len(self.pairs), np.int64)
-        np.add.at(counts, links, np.repeat(self.times, sizes))
-        return {"sizes": sizes.astype("<i4").tobytes(), "links": links.astype("<i4").tobytes(),
-                "pairs": np.fromiter(self.pairs, np.int64, len(self.pairs)), "counts": counts}
+        pairs, place = np.unique(np.concatenate(self.pairs), return_inverse=True)
+        counts = np.zeros(len(pairs), np.int64)
+        np.add.at(counts, place, np.repeat(self.times, self.links))
+        return {"sizes": self.links.astype("<i4").tobytes(), "links": place.astype("<i4").tobytes(), "pairs": pairs, "counts": counts}
 
 
 def _align(path_a: str, path_b: str, keep_groups: bool, chunk_chars: int, kind: pa.DataType):
@@ -219,17 +201,16 @@ def _align(path_a: str, path_b: str, keep_groups: bool, chunk_chars: int, kind:
     def documents(ids: pa.Array, texts: list, tool: Aligner, chunk: _Chunk) -> pa.RecordBatch:
         coded = tool.encode(texts)
         keys, number, many = tool.windows(coded)
-        mine = np.array([chunk.number(k, tool.window) for k in keys], np.int64)[number] if keys else number
-        chunk.times = np.bincount(mine, minlength=len(chunk.windows)) + np.pad(chunk.times, (0, len(chunk.windows) - len(chunk.times)))
-        groups = np.array(chunk.groups, np.int64)
+        mine = chunk.numbers(keys, tool)[number] if keys else number
+        chunk.times += np.bincount(mine, minlength=len(chunk.times))
         ends = np.cumsum(many)
+        texts = join(chunk.text.take(pa.array(mine)), np.append(0, ends), ";").to_pylist()
         rows = []
-        for n, end, (a, b) in zip(many.tolist(), ends.tolist(), coded):
+        for n, end, (a, b), text in zip(many.tolist(), ends.tolist(), coded, texts):
             w = mine[end - n : end]
-            text = ";".join(map(chunk.text.__getitem__, w.tolist()))
-            a, b, g = len(a), len(b), int(groups[w].sum())
-            rows.append((a, b, g, a + b - g, hashlib.sha256(text.encode()).hexdigest() if n else "", text if keep_groups else None,
-                         w.astype("<i4").tobytes()))
+            g = int(chunk.groups[w].sum())
+            rows.append((len(a), len(b), g, len(a) + len(b) - g, hashlib.sha256(text.encode()).hexdigest() if n else "",
+                         text if keep_groups else None, w.astype("<i4").tobytes()))
         n_a, n_b, groups, links, sha, text, windows = zip(*rows)
         return batch_of(len(rows), chunk=[chunk.name] * len(rows), doc_id=ids, n_a=n_a, n_b=n_b, n_groups=groups, n_links=links,
                         groups_sha256=sha, groups=text, windows=windows)
@@ -252,7 +233,7 @@ def _align(path_a: str, path_b: str, keep_groups: bool, chunk_chars: int, kind:
                     yield batch_of(1, chunk=[chunk.name], **{k: [v] for k, v in chunk.row().items()})
                     n_chunks += 1
                     chunk = _Chunk(f"{part}-{n_chunks}")
-        if chunk.windows:
+        if chunk.number:
             yield batch_of(1, chunk=[chunk.name], **{k: [v] for k, v in chunk.row().items()})
 
     return run

@@ -17,18 +17,11 @@ from functools import lru_cache
 
 import numpy as np
 
-from pulsekit.llm.tokens import TextEncoder, ids_bytes
+from pulsekit.llm.tokens import TextEncoder, byte_symbols, ids_bytes
 
 _END = 0xE000  # a word's last symbol is a symbol of its own
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    spare = iter(range(0x100, 0x200))
-    return [chr(b) if b in keep else chr(next(spare)) for b in range(256)]
-
-
 class BackTrackingBpe:
     """Words (in byte symbols) -> ids; ids -> text."""
 
@@ -128,6 +121,7 @@ class BpeEncoder(TextEncoder):
         import regex
 
         super().__init__(path)
+        self.ranked = None  # pieces are encoded here
         model = self.spec["model"]
         self.bpe = BackTrackingBpe(model["vocab"], model["merges"], model["end_of_word_suffix"], self.special)
         symbols = byte_symbols()
