@@ -1,26 +1,30 @@
 """Clock drift (A13) and resampling to a regular grid with interpolation.
 
-Resampling plan (per key, default ``patient_id``):
+Resampling plan (per key, default ``patient_id``), in chunks of ``chunk_slots``
+grid slots, so that no task holds more of a series than a chunk:
 
-1. Bucket each row: ``d0 + floor((t - d0) / step) * step`` with ``d0`` the
-   midnight of the key's first day. When the step divides a day, every
-   midnight gives the same buckets and the per-key ``d0`` join is skipped.
-2. ``groupBy(key, bucket).agg(avg)`` -- partial aggregation shrinks even a hot
+1. Slot number ``floor((t - d0) / step)`` with ``d0`` the midnight of the key's
+   first day. When the step divides a day, every midnight gives the same slots
+   and the per-key ``d0`` join is skipped.
+2. ``groupBy(key, slot).agg(avg)`` -- partial aggregation shrinks even a hot
    patient to at most one row per slot per task before the shuffle.
-3. Interpolation anchors on the SPARSE bucket table: previous / next known
-   value and slot per column from ``last(ignorenulls)`` running windows
-   (ascending for previous, descending for next -- growing frames are linear,
-   ``currentRow..unboundedFollowing`` frames are re-evaluated per row).
-4. Grid (J3): each bucket expands with ``sequence(slot, next_slot - step)``
-   into itself and the empty slots after it; every slot is filled from its
-   bucket's anchors. A narrow explode replaces a dense left join plus dense
-   windows. Keys whose grid exceeds ``max_slots`` raise instead of silently
-   multiplying rows; window partitions hold one key's buckets (<= slots).
+3. One row per (key, chunk) with data: first and last known (slot, value) of
+   every column. A window over these rows, 1 / ``chunk_slots`` of the grid,
+   gives each chunk what is known before and after it; chunks without data are
+   added between (J3).
+4. That goes back to the chunks as two border rows, before the first and after
+   the last slot. Within (key, chunk), running ``last(ignorenulls)`` windows
+   over data and border rows give the known point before and after every row
+   (ascending and descending: growing frames are linear), and each row expands
+   with ``sequence`` into its slot and the empty ones up to the next row.
+
+With ``keys=[]`` the one series spreads over tasks by chunks. Steps 3 and 4
+read the same aggregate (a reused exchange); nothing runs before an action.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +32,7 @@ from pulsekit.functions import as_col, nan_to_null
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 DAY_US = 86_400_000_000
+CHUNK_SLOTS = 10_000  # grid slots that one task expands and fills at a time
 
 
 def clock_drift(
@@ -71,6 +76,25 @@ def numeric_columns(df: DataFrame, exclude: list[str]) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC) and f.name not in exclude]
 
 
+def _known(cols: list[str], what: str) -> list[str]:
+    return [what.replace("{c}", c.replace("`", "``")).replace("{i}", str(i)) for i, c in enumerate(cols)]
+
+
+def slot_means(df: DataFrame, time_col: str, step: int, keys: list[str], cols: list[str]) -> DataFrame:
+    """(keys, __d0, __s, columns): means per slot; slot ``__s`` begins ``__s`` steps after ``__d0`` (microseconds)."""
+    base = df.where(F.col(time_col).isNotNull()).select(*keys, F.unix_micros(F.col(time_col).cast("timestamp")).alias("__us"), *[
+        F.expr(e) for e in _known(cols, "nullif(CAST(`{c}` AS DOUBLE), double('NaN')) AS `{c}`")])
+    if DAY_US % step == 0:
+        slots = base.selectExpr("*", "0L AS __d0")
+    else:
+        first = base.groupBy(*keys).agg(F.expr(f"(min(__us) - pmod(min(__us), {DAY_US}L)) AS __d0"))
+        # without keys there is one first day
+        slots = base.join(first, keys) if keys else base.join(F.broadcast(first))
+    slots = slots.withColumn("__s", F.expr(f"(__us - __d0 - pmod(__us - __d0, {step}L)) div {step}L"))
+    return slots.groupBy(*[f"`{k}`" for k in keys], "__d0", "__s").agg(
+        *[F.expr(e) for e in _known(cols, "avg(`{c}`) AS `{c}`")])
+
+
 def resample(
     df: DataFrame,
     time_col: str = "timestamp",
@@ -78,7 +102,8 @@ def resample(
     method: str = "linear",
     keys: list[str] | None = None,
     columns: list[str] | None = None,
-    max_slots: int = 1_000_000,
+    max_slots: int | None = None,
+    chunk_slots: int = CHUNK_SLOTS,
 ) -> DataFrame:
     """W3+W4: bucket means on a regular grid, gaps filled by ``method``.
 
@@ -86,83 +111,65 @@ def resample(
     bfill / backfill, nearest. After the method, leading gaps take the first
     known value and trailing gaps the last one; an all-NULL column stays NULL.
     ``keys=[]`` resamples the whole table as one series (reference behaviour).
+    Rows without a time do not count; NaN is NULL; rows with a NULL key form a
+    series of their own. A series may be as long as it likes;
+    ``max_slots`` refuses longer grids where a caller wants that.
     """
     if time_col not in df.columns:
-        raise KeyError(f"Timestamp column '{time_col}' missing.")
+        raise KeyError(f"resample needs the time column '{time_col}'")
     method = {"pad": "ffill", "backfill": "bfill", "time": "linear", "index": "linear"}.get(method, method)
     if method not in ("linear", "ffill", "bfill", "nearest"):
         raise ValueError(f"Unsupported interpolation method: {method}")
     keys = ["patient_id"] if keys is None else list(keys)
     cols = columns or numeric_columns(df, exclude=keys + [time_col])
     step = parse_freq(freq)
-    gkeys = keys or ["__k"]
-    base = df if keys else df.withColumn("__k", F.lit(0))
-    us = F.unix_micros(F.col(time_col).cast("timestamp"))
-    base = base.where(F.col(time_col).isNotNull()).select(*gkeys, us.alias("__us"), *[
-        F.when(F.isnan(F.col(c).cast("double")), None).otherwise(F.col(c).cast("double")).alias(c) for c in cols
-    ])
-
-    if DAY_US % step == 0:
-        bucket = F.floor(F.col("__us") / F.lit(step)).cast("bigint") * F.lit(step)
-        bucketed = base.withColumn("__slot", bucket)
-    else:
-        d0 = base.groupBy(*gkeys).agg(
-            (F.floor(F.min("__us") / F.lit(DAY_US)).cast("bigint") * F.lit(DAY_US)).alias("__d0")
-        )
-        if not keys:
-            d0 = F.broadcast(d0)
-        bucketed = base.join(d0, gkeys).withColumn(
-            "__slot",
-            F.col("__d0") + F.floor((F.col("__us") - F.col("__d0")) / F.lit(step)).cast("bigint") * F.lit(step),
-        )
-    means = bucketed.groupBy(*gkeys, "__slot").agg(*[F.avg(c).alias(c) for c in cols])
-
-    # Interpolate on the sparse bucket table, then expand each bucket into the
-    # grid slots up to the next bucket (no dense join, no dense window).
-    w_key = Window.partitionBy(*gkeys)
-    w_asc = Window.partitionBy(*gkeys).orderBy("__slot")
-    w_prev = w_asc.rowsBetween(Window.unboundedPreceding, -1)
-    w_next = Window.partitionBy(*gkeys).orderBy(F.col("__slot").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    seg = means.select(
-        "*",
-        F.lead("__slot").over(w_asc).alias("__next_slot"),
-        ((F.max("__slot").over(w_key) - F.min("__slot").over(w_key)) / F.lit(step) + 1).alias("__n_slots"),
-        *[e for c in cols for e in (
-            # (slot, value) of the previous / next known point, one window function each
-            F.last(F.when(F.col(c).isNotNull(), F.struct(F.col("__slot").alias("t"), F.col(c).alias("v"))), True)
-            .over(w_prev).alias(f"__p_{c}"),
-            F.last(F.when(F.col(c).isNotNull(), F.struct(F.col("__slot").alias("t"), F.col(c).alias("v"))), True)
-            .over(w_next).alias(f"__n_{c}"),
-        )],
-    )
-    last_slot = F.coalesce(F.col("__next_slot") - F.lit(step), F.col("__slot"))
-    slots = F.when(F.col("__n_slots") > max_slots,
-                   F.raise_error(F.lit(f"resample grid exceeds max_slots={max_slots}")).cast("array<bigint>")
-                   ).otherwise(F.sequence(F.col("__slot"), last_slot, F.lit(step).cast("bigint")))
-    filled = seg.select("*", F.explode(slots).alias("__s"))
-
-    out_cols = []
-    for c in cols:
-        own = F.col(c)
-        # Known point at or before the slot, and strictly after this bucket.
-        pv = F.when(own.isNotNull(), own).otherwise(F.col(f"__p_{c}.v"))
-        pt = F.when(own.isNotNull(), F.col("__slot")).otherwise(F.col(f"__p_{c}.t"))
-        nv, nt = F.col(f"__n_{c}.v"), F.col(f"__n_{c}.t")
-        s_ = F.col("__s")
-        if method == "linear":
-            inner = pv + (nv - pv) * (s_ - pt).cast("double") / (nt - pt).cast("double")
-        elif method == "ffill":
-            inner = pv
-        elif method == "bfill":
-            inner = nv
-        else:  # nearest; an exact tie takes the earlier value
-            inner = F.when((s_ - pt) <= (nt - s_), pv).otherwise(nv)
-        val = (
-            F.when((s_ == F.col("__slot")) & own.isNotNull(), own)
-            .when(pv.isNotNull() & nv.isNotNull(), inner)
-            .when(pv.isNotNull(), pv)
-            .otherwise(nv)
-        )
-        out_cols.append(val.alias(c))
-    ts_out = F.timestamp_micros("__s").cast("timestamp_ntz").alias(time_col)
-    return filled.select(*keys, ts_out, *out_cols)
+    means = slot_means(df, time_col, step, keys, cols).withColumn("__chunk", F.expr(f"(__s - pmod(__s, {chunk_slots}L)) div {chunk_slots}L"))
+    quoted = [f"`{k}`" for k in keys]
+    part = ", ".join(quoted) or "__d0"  # one value if there are no keys
+
+    # a row per chunk with data, and what is known around it
+    chunks = means.groupBy(*quoted, "__d0", "__chunk").agg(
+        F.min("__s").alias("__first"), F.max("__s").alias("__last"),
+        *[F.expr(e) for e in _known(cols, "min(CASE WHEN `{c}` IS NOT NULL THEN struct(__s AS t, `{c}` AS v) END) AS __f{i}")],
+        *[F.expr(e) for e in _known(cols, "max(CASE WHEN `{c}` IS NOT NULL THEN struct(__s AS t, `{c}` AS v) END) AS __l{i}")])
+    before = f"(PARTITION BY {part} ORDER BY __chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    after = f"(PARTITION BY {part} ORDER BY __chunk DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    chunks = chunks.selectExpr(
+        "*", f"lead(__chunk) OVER (PARTITION BY {part} ORDER BY __chunk) AS __next",
+        f"min(__first) OVER (PARTITION BY {part}) AS __begin", f"max(__last) OVER (PARTITION BY {part}) AS __end",
+        *_known(cols, f"last(__l{{i}}, true) OVER {before} AS __p{{i}}"), *_known(cols, f"last(__f{{i}}, true) OVER {after} AS __n{{i}}"))
+    if max_slots is not None:
+        chunks = chunks.withColumn("__next", F.expr(
+            f"if(__end - __begin + 1 > {int(max_slots)}L, raise_error('resample grid exceeds max_slots={int(max_slots)}'), __next)"))
+    chunks = chunks.withColumn("__c", F.expr("explode(sequence(__chunk, coalesce(__next - 1, __chunk)))"))
+    known = "struct<t:bigint,v:double>"
+    borders = chunks.selectExpr(
+        *quoted, "__d0", "__c AS __chunk", f"inline(array(struct(greatest(__begin, __c * {chunk_slots}L) AS __s, 0 AS __kind, "
+        + ("array(" + ", ".join(_known(cols, "if(__c = __chunk, __p{i}, coalesce(__l{i}, __p{i}))")) + ")" if cols else f"CAST(array() AS array<{known}>)")
+        + f" AS __k), struct(least(__end, __c * {chunk_slots}L + {chunk_slots - 1}L) + 1 AS __s, 2 AS __kind, "
+        + ("array(" + ", ".join(_known(cols, "__n{i}")) + ")" if cols else f"CAST(array() AS array<{known}>)") + " AS __k)))")
+    data = means.selectExpr(*quoted, "__d0", "__chunk", "__s", "1 AS __kind",
+                            *_known(cols, "CASE WHEN `{c}` IS NOT NULL THEN struct(__s AS t, `{c}` AS v) END AS __k{i}"))
+    rows = data.unionByName(borders.selectExpr(*quoted, "__d0", "__chunk", "__s", "__kind", *_known(cols, "__k[{i}] AS __k{i}")))
+    # by number: few rows may expand to many slots, so their size must not decide how many tasks there are
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(spread, *[F.col(c) for c in quoted or ["__d0"]], "__chunk")
+
+    here = f"PARTITION BY {part}, __chunk ORDER BY __s, __kind"
+    back = f"PARTITION BY {part}, __chunk ORDER BY __s DESC, __kind DESC"
+    strict = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    found = rows.selectExpr(
+        *quoted, "__d0", "__s", "__kind", f"lead(__s) OVER ({here}) AS __upto", *_known(cols, "__k{i}"),
+        *_known(cols, f"coalesce(__k{{i}}, last(__k{{i}}, true) OVER ({here} {strict})) AS __p{{i}}"),
+        *_known(cols, f"last(__k{{i}}, true) OVER ({back} {strict}) AS __n{{i}}"),
+    ).where("__kind < 2 AND __upto > __s")
+    filled = found.withColumn("__g", F.expr("explode(sequence(__s, __upto - 1))"))
+    p, n = "__p{i}", "__n{i}"
+    inner = {
+        "linear": f"{p}.v + ({n}.v - {p}.v) * CAST((__g - {p}.t) * {step}L AS DOUBLE) / CAST(({n}.t - {p}.t) * {step}L AS DOUBLE)",
+        "ffill": f"{p}.v",
+        "bfill": f"{n}.v",
+        "nearest": f"if(__g - {p}.t <= {n}.t - __g, {p}.v, {n}.v)",  # an exact tie takes the earlier value
+    }[method]
+    value = f"CASE WHEN __g = {p}.t OR {n} IS NULL THEN {p}.v WHEN {p} IS NULL THEN {n}.v ELSE {inner} END AS `{{c}}`"
+    return filled.selectExpr(*quoted, f"CAST(timestamp_micros(__d0 + __g * {step}L) AS timestamp_ntz) AS `{time_col}`", *_known(cols, value))

@@ -327,7 +327,11 @@ RESAMPLE_COLS = [
 ]
 
 
-def _resample_oracle(step_us: int, method: str = "linear") -> str:
+def _resample_oracle(step_us: int, method: str = "linear", one_series: bool = False) -> str:
+    if one_series:  # every row under one key, which the result leaves out
+        sql = _resample_oracle(step_us, method).replace("SELECT patient_id, epoch_us(timestamp)", "SELECT 0 AS patient_id, epoch_us(timestamp)")
+        head, tail = sql.rsplit("SELECT patient_id, make_timestamp(slot)", 1)
+        return f"{head}SELECT make_timestamp(slot){tail}"
     divides = 86_400_000_000 % step_us == 0
     cols_d = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in RESAMPLE_COLS)
     ctes = [f"b0 AS (SELECT patient_id, epoch_us(timestamp) AS us, {cols_d} FROM vitals WHERE timestamp IS NOT NULL)"]
@@ -362,6 +366,8 @@ def _resample_oracle(step_us: int, method: str = "linear") -> str:
             inner = f"p_{c} + (n_{c} - p_{c}) * (slot - pt_{c}) / (nt_{c} - pt_{c})"
         elif method == "ffill":
             inner = f"p_{c}"
+        elif method == "nearest":
+            inner = f"CASE WHEN slot - pt_{c} <= nt_{c} - slot THEN p_{c} ELSE n_{c} END"
         else:
             inner = f"n_{c}"
         expr = (f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN p_{c} IS NOT NULL AND n_{c} IS NOT NULL THEN {inner} "
@@ -370,10 +376,10 @@ def _resample_oracle(step_us: int, method: str = "linear") -> str:
     return with_vitals("SELECT patient_id, make_timestamp(slot) AS timestamp, " + ", ".join(outs) + " FROM i", *ctes)
 
 
-def _resample_query(freq: str, method: str = "linear"):
+def _resample_query(freq: str, method: str = "linear", keys: tuple[str, ...] = ("patient_id",)):
     def q(spark, sf_dir):
-        r = timeseries.resample(load_vitals(spark, sf_dir), freq=freq, method=method, columns=RESAMPLE_COLS)
-        return r.select("patient_id", "timestamp", *[round_half_up(c, 6).alias(c) for c in RESAMPLE_COLS])
+        r = timeseries.resample(load_vitals(spark, sf_dir), freq=freq, method=method, keys=list(keys), columns=RESAMPLE_COLS)
+        return r.select(*keys, "timestamp", *[round_half_up(c, 6).alias(c) for c in RESAMPLE_COLS])
 
     return q
 
@@ -381,6 +387,9 @@ def _resample_query(freq: str, method: str = "linear"):
 register("resample_15min_linear", _resample_oracle(15 * 60_000_000))(_resample_query("15min"))
 register("resample_1h_ffill", _resample_oracle(3_600_000_000, "ffill"))(_resample_query("1h", "ffill"))
 register("resample_7min_linear", _resample_oracle(7 * 60_000_000))(_resample_query("7min"))
+register("resample_1h_bfill", _resample_oracle(3_600_000_000, "bfill"))(_resample_query("1h", "bfill"))
+register("resample_50min_nearest", _resample_oracle(50 * 60_000_000, "nearest"))(_resample_query("50min", "nearest"))
+register("resample_5min_one_series", _resample_oracle(5 * 60_000_000, one_series=True))(_resample_query("5min", keys=()))
 
 
 @register(

@@ -82,6 +82,56 @@ def test_resample_slot_limit(spark):
         timeseries.resample(df, freq="1min", max_slots=100).collect()
 
 
+@pytest.mark.parametrize("method", ["linear", "ffill", "bfill", "nearest"])
+@pytest.mark.parametrize("keys", [[], ["patient_id"]])
+def test_chunks_equal_one_chunk(spark, method, keys):
+    import random
+
+    rng = random.Random(8)
+    rows = []
+    for pid in ("a", "b", None):
+        at = _ts("2026-03-01 00:00:00") + dt.timedelta(seconds=rng.randint(0, 80_000))
+        for _ in range(60):
+            at += dt.timedelta(seconds=rng.choice((20, 100, 4000, 40_000)))
+            value = lambda: rng.choice((None, float("nan"), rng.uniform(0, 9)))
+            rows.append((pid, at, value(), value(), None))
+    df = spark.createDataFrame(rows, "patient_id string, timestamp timestamp_ntz, `x.y` double, z double, empty double")
+    one = timeseries.resample(df, freq="7min", method=method, keys=keys, columns=["z", "empty"], chunk_slots=1 << 40)
+    want = sorted(one.collect(), key=str)
+    for size in (1, 7, 50):
+        got = timeseries.resample(df.repartition(3), freq="7min", method=method, keys=keys, columns=["z", "empty"], chunk_slots=size)
+        assert sorted(got.collect(), key=str) == want
+    assert len(want) > 500 and all(r.empty is None for r in want)
+
+
+def test_resample_methods_on_one_gap(spark):
+    rows = [("p", _ts("2026-08-15 00:00:00"), None), ("p", _ts("2026-08-15 00:01:00"), 1.0), ("p", _ts("2026-08-15 00:05:00"), 5.0),
+            ("p", _ts("2026-08-15 00:07:00"), None)]
+    df = spark.createDataFrame(rows, "patient_id string, timestamp timestamp_ntz, x double")
+    want = {"linear": [1, 1, 2, 3, 4, 5, 5, 5], "ffill": [1, 1, 1, 1, 1, 5, 5, 5], "bfill": [1, 1, 5, 5, 5, 5, 5, 5],
+            "nearest": [1, 1, 1, 1, 5, 5, 5, 5]}
+    for method, values in want.items():
+        for size in (1, 3, 100):
+            out = timeseries.resample(df, method=method, chunk_slots=size).orderBy("timestamp").collect()
+            assert [r.x for r in out] == values
+
+
+def test_sixty_days_of_seconds(spark):
+    start = _ts("2026-01-01 00:00:00")
+    rows = [("p", start, 0.0), ("p", start + dt.timedelta(days=20), 20.0), ("p", start + dt.timedelta(days=60), 60.0)]
+    df = spark.createDataFrame(rows, "patient_id string, timestamp timestamp_ntz, x double")
+    out = timeseries.resample(df, freq="1s", keys=[])
+    day = (F.unix_micros(F.col("timestamp").cast("timestamp")) - int(start.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000) / 86_400_000_000
+    out = out.withColumn("part", F.spark_partition_id())
+    r = out.agg(F.count("*").alias("n"), F.max(F.abs(F.col("x") - day)).alias("off"), F.count_distinct("part").alias("parts")).first()
+    assert r.n == 60 * 86_400 + 1 and r.off < 1e-9 and r.parts > 1
+
+
+def test_empty_series(spark):
+    df = spark.createDataFrame([("p", None, 1.0)], "patient_id string, timestamp timestamp_ntz, x double")
+    assert timeseries.resample(df).count() == 0 and timeseries.resample(df, freq="7min", keys=[]).count() == 0
+
+
 def test_clock_drift_fixture(spark):
     df = spark.createDataFrame([(100.0, 100.1), (101.0, 101.2), (102.0, 102.1)], "d double, s double")
     r = timeseries.clock_drift(df, "d", "s").first()
