@@ -7,14 +7,14 @@ with limited precision it is far smaller than the input. All features are
 processed concurrently instead of a Python loop per feature:
 
 * counts per (feature, side): sums over the compact table;
-* D1: exact quantile edges of the reference side (``percentile`` with the
-  value counts as frequencies; ``exact=False`` -> ``percentile_approx``);
+* D1: exact quantile edges of the reference side, from the running counts
+  (``exact=False`` -> ``percentile_approx``);
 * D2/D3: bin index = number of interior edges <= value (NumPy's rule, also
   with duplicate edges) per distinct value, counts per (feature, bin)
   left-joined from the full bin grid so empty bins still contribute, then PSI;
 * W2/D4: two-level running sums over the compact table -> KS statistic
-  D = max |F_ref - F_cur| after each tie group; asymptotic Kolmogorov p-value
-  as a Spark expression.
+  D = max |F_ref - F_cur| after each tie group; its p-value from the exact
+  distribution, or as a Spark expression from the asymptotic one.
 
 The per-feature tables (edges, counts, results) are bounded by the number of
 features (a schema property), so broadcasting them is safe.
@@ -24,14 +24,18 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsekit.functions import ks_pvalue, round_half_up
 from pulsekit.operators.ordered import materialize, quantile_columns, ranged, running_totals
+from pulsekit.session import ship_package
 from pulsekit.schema import DRIFT_P_VALUE, DRIFT_PSI, PSI_BUCKETS, PSI_FLOOR
 
+EXACT_MAX_N = 10_000  # values a sample up to which "auto" takes the exact KS distribution
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -42,20 +46,63 @@ def auto_features(reference: DataFrame, current: DataFrame) -> list[str]:
 
 
 def ks_pvalue_exact_equal(d: float, n: int) -> float:
-    """Exact two-sided KS p-value for two samples of equal size n (D = k/n).
+    """Exact two-sided p-value for two samples of one size n, D = k/n, in closed form.
 
-    p = 2 * sum_{j>=1} (-1)^(j+1) C(2n, n-jk) / C(2n, n), evaluated with
-    log-gamma; driver arithmetic on one number per feature.
+    p = 2 * sum_{j>=1} (-1)^(j+1) C(2n, n-jk) / C(2n, n), by log-gamma: tiny values keep their digits.
     """
     k = round(d * n)
     if k <= 0:
         return 1.0
-    total, j = 0.0, 1
-    log_mid = 2.0 * math.lgamma(n + 1)
-    while n - j * k >= 0:
-        total += (-1) ** (j + 1) * math.exp(log_mid - math.lgamma(n - j * k + 1) - math.lgamma(n + j * k + 1))
-        j += 1
-    return min(1.0, max(0.0, 2.0 * total))
+    mid = 2.0 * math.lgamma(n + 1)
+    terms = (math.exp(mid - math.lgamma(n - j * k + 1) - math.lgamma(n + j * k + 1)) * (-1) ** (j + 1) for j in range(1, n // k + 1))
+    return min(1.0, max(0.0, 2.0 * sum(terms)))
+
+
+def ks_pvalue_exact(d: float, n: int, m: int) -> float:
+    """Exact two-sided p-value of the two-sample statistic: the probability of a distance of ``d`` or more.
+
+    Under the null all orders of the pooled sample are equally likely: a walk
+    that takes the rest of either sample at random. The chances of standing at
+    each (i, j) are carried from one pooled value to the next, and a walk that
+    reaches ``|i/n - j/m| >= d`` leaves; the p-value is what has left, so small
+    ones keep their digits and nothing under- or overflows. Distances are
+    compared as integers, in units of 1 / lcm(n, m).
+    """
+    if n == m:
+        return ks_pvalue_exact_equal(d, n)
+    g = math.gcd(n, m)
+    up, over = m // g, n // g  # i/n - j/m = (i * up - j * over) / lcm
+    k = round(d * n * up)
+    if k <= 0:
+        return 1.0
+    left, low, here = 0.0, 0, np.ones(1)  # chances of i = low, low + 1, ... after t values
+    for t in range(1, n + m + 1):
+        i = np.arange(low, low + len(here))
+        rest = n + m - t + 1
+        step = np.zeros(len(here) + 1)
+        step[:-1] = here * ((m - (t - 1 - i)) / rest)
+        step[1:] += here * ((n - i) / rest)
+        first = max(low, t - m, -((k - 1 - t * over) // (up + over)))
+        last = min(low + len(here), n, t, (t * over + k - 1) // (up + over))
+        if first > last:
+            return 1.0
+        left += float(step[: first - low].sum() + step[last + 1 - low :].sum())
+        low, here = first, step[first - low : last + 1 - low]
+    return min(1.0, left)
+
+
+def exact_pvalues(stats: DataFrame, exact_max_n: int = EXACT_MAX_N) -> DataFrame:
+    """(feature_idx, p_exact) for the features whose samples have at most ``exact_max_n`` values; a task a feature."""
+    rows = stats.select("feature_idx", "ks_raw", "n_ref", "n_cur").where(F.greatest("n_ref", "n_cur") <= exact_max_n)
+
+    def solve(batches):
+        for part in batches:
+            yield pd.DataFrame({"feature_idx": part.feature_idx, "p_exact": [
+                ks_pvalue_exact(d, int(n), int(m)) for d, n, m in zip(part.ks_raw, part.n_ref, part.n_cur)]})
+
+    ship_package(stats.sparkSession)
+    spread = int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(spread, "feature_idx").mapInPandas(solve, "feature_idx int, p_exact double")
 
 
 def to_long(df: DataFrame, features: list[str], side: str) -> DataFrame:
@@ -77,8 +124,8 @@ def feature_drift(
     psi_threshold: float = DRIFT_PSI,
     exact: bool = True,
     n_ranges: int | None = None,
-    p_method: str = "asymptotic",
-    exact_max_n: int = 10_000,
+    p_method: str = "auto",
+    exact_max_n: int = EXACT_MAX_N,
 ) -> DataFrame:
     """Per-feature KS statistic, p-value, PSI and drift flag.
 
@@ -86,9 +133,10 @@ def feature_drift(
     ``ks_statistic`` (4 dp), ``p_value`` (5 dp) and ``psi`` (4 dp) are reported.
     A feature with no values on either side is skipped (no row).
 
-    ``p_method="exact"`` takes the exact equal-size distribution instead of the
-    asymptotic one; it raises where that does not apply (sizes that differ or
-    exceed ``exact_max_n``).
+    ``p_method``: "auto" takes the exact distribution of the KS distance where both
+    samples have at most ``exact_max_n`` values, the asymptotic series beyond;
+    "exact" takes it whatever the sizes (time grows with their product);
+    "asymptotic" takes the series throughout.
     """
     features = features if features is not None else auto_features(reference, current)
     long = to_long(reference, features, "ref").unionByName(to_long(current, features, "cur"))
@@ -140,15 +188,10 @@ def feature_drift(
     counts = counts.withColumn("feature", F.element_at(names, F.col("feature_idx") + 1))
     res = counts.join(stats.select("feature_idx", "ks_raw"), "feature_idx").join(psi, "feature_idx")
     res = res.withColumn("p_raw", ks_pvalue("ks_raw", "n_ref", "n_cur"))
-    if p_method == "exact":
-        sizes = stats.select("feature_idx", "ks_raw", "n_ref", "n_cur").collect()  # one row per feature
-        beyond = [features[r.feature_idx] for r in sizes if r.n_ref != r.n_cur or r.n_ref > exact_max_n]
-        if beyond:
-            raise ValueError(f"no exact p-value for {beyond}: samples must have one size of at most {exact_max_n}")
-        exact_p = res.sparkSession.createDataFrame(
-            [(r.feature_idx, ks_pvalue_exact_equal(r.ks_raw, int(r.n_ref))) for r in sizes],
-            "feature_idx int, p_exact double")
-        res = res.join(F.broadcast(exact_p), "feature_idx", "left").withColumn("p_raw", F.col("p_exact")).drop("p_exact")
+    if p_method in ("auto", "exact"):
+        # one row per feature
+        exact_p = exact_pvalues(stats, exact_max_n if p_method == "auto" else 1 << 62)
+        res = res.join(F.broadcast(exact_p), "feature_idx", "left").withColumn("p_raw", F.coalesce("p_exact", "p_raw")).drop("p_exact")
     elif p_method != "asymptotic":
         raise ValueError(f"unknown p_method: {p_method}")
     res = res.withColumn(

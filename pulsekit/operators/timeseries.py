@@ -130,8 +130,12 @@ def resample(
     # a row per chunk with data, and what is known around it
     chunks = means.groupBy(*quoted, "__d0", "__chunk").agg(
         F.min("__s").alias("__first"), F.max("__s").alias("__last"),
-        *[F.expr(e) for e in _known(cols, "min(CASE WHEN `{c}` IS NOT NULL THEN struct(__s AS t, `{c}` AS v) END) AS __f{i}")],
-        *[F.expr(e) for e in _known(cols, "max(CASE WHEN `{c}` IS NOT NULL THEN struct(__s AS t, `{c}` AS v) END) AS __l{i}")])
+        *[F.expr(e) for e in _known(cols, "min(if(`{c}` IS NULL, NULL, __s)) AS __ft{i}")],
+        *[F.expr(e) for e in _known(cols, "min_by(`{c}`, if(`{c}` IS NULL, NULL, __s)) AS __fv{i}")],
+        *[F.expr(e) for e in _known(cols, "max(if(`{c}` IS NULL, NULL, __s)) AS __lt{i}")],
+        *[F.expr(e) for e in _known(cols, "max_by(`{c}`, if(`{c}` IS NULL, NULL, __s)) AS __lv{i}")]).selectExpr(
+        *quoted, "__d0", "__chunk", "__first", "__last", *_known(cols, "if(__ft{i} IS NULL, NULL, struct(__ft{i} AS t, __fv{i} AS v)) AS __f{i}"),
+        *_known(cols, "if(__lt{i} IS NULL, NULL, struct(__lt{i} AS t, __lv{i} AS v)) AS __l{i}"))
     before = f"(PARTITION BY {part} ORDER BY __chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     after = f"(PARTITION BY {part} ORDER BY __chunk DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     chunks = chunks.selectExpr(
@@ -163,13 +167,18 @@ def resample(
         *_known(cols, f"coalesce(__k{{i}}, last(__k{{i}}, true) OVER ({here} {strict})) AS __p{{i}}"),
         *_known(cols, f"last(__k{{i}}, true) OVER ({back} {strict}) AS __n{{i}}"),
     ).where("__kind < 2 AND __upto > __s")
-    filled = found.withColumn("__g", F.expr("explode(sequence(__s, __upto - 1))"))
-    p, n = "__p{i}", "__n{i}"
-    inner = {
-        "linear": f"{p}.v + ({n}.v - {p}.v) * CAST((__g - {p}.t) * {step}L AS DOUBLE) / CAST(({n}.t - {p}.t) * {step}L AS DOUBLE)",
-        "ffill": f"{p}.v",
-        "bfill": f"{n}.v",
-        "nearest": f"if(__g - {p}.t <= {n}.t - __g, {p}.v, {n}.v)",  # an exact tie takes the earlier value
+    # What a slot needs is worked out before rows multiply; without a point on one side both values are the other's.
+    first, then = "coalesce(__p{i}.v, __n{i}.v)", "coalesce(__n{i}.v, __p{i}.v)"
+    state, value = {
+        "linear": ({"a": first, "t": "coalesce(__p{i}.t, 0L)", "d": "coalesce(__n{i}.v - __p{i}.v, 0D)",
+                    "w": f"coalesce(CAST((__n{{i}}.t - __p{{i}}.t) * {step}L AS DOUBLE), 1D)"},
+                   f"if(__g = __t_{{i}}, __a_{{i}}, __a_{{i}} + __d_{{i}} * CAST((__g - __t_{{i}}) * {step}L AS DOUBLE) / __w_{{i}})"),
+        "ffill": ({"a": first}, "__a_{i}"),
+        "bfill": ({"a": first, "b": then, "t": "coalesce(__p{i}.t, 0L)"}, "if(__g = __t_{i}, __a_{i}, __b_{i})"),
+        # an exact tie takes the earlier value
+        "nearest": ({"a": first, "b": then, "t": "coalesce(__p{i}.t + __n{i}.t, 0L)"}, "if(2 * __g <= __t_{i}, __a_{i}, __b_{i})"),
     }[method]
-    value = f"CASE WHEN __g = {p}.t OR {n} IS NULL THEN {p}.v WHEN {p} IS NULL THEN {n}.v ELSE {inner} END AS `{{c}}`"
+    filled = found.selectExpr(*quoted, "__d0", "explode(sequence(__s, __upto - 1)) AS __g",
+                              *[e for k, x in state.items() for e in _known(cols, f"{x} AS __{k}_{{i}}")])
+    value += " AS `{c}`"
     return filled.selectExpr(*quoted, f"CAST(timestamp_micros(__d0 + __g * {step}L) AS timestamp_ntz) AS `{time_col}`", *_known(cols, value))

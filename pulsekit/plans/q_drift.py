@@ -90,7 +90,7 @@ def _summary_cte() -> str:
 def _feature_query(shift):
     def q(spark, sf_dir):
         ref, cur = _pair(spark, sf_dir, shift)
-        return drift.feature_drift(ref, cur, DRIFT_FEATURES)
+        return drift.feature_drift(ref, cur, DRIFT_FEATURES, p_method="asymptotic")  # as SQL can state it
 
     return q
 
@@ -98,7 +98,7 @@ def _feature_query(shift):
 def _summary_query(shift):
     def q(spark, sf_dir):
         ref, cur = _pair(spark, sf_dir, shift)
-        return drift.check_drift(ref, cur, DRIFT_FEATURES)[1]
+        return drift.check_drift(ref, cur, DRIFT_FEATURES, p_method="asymptotic")[1]
 
     return q
 
@@ -124,4 +124,14 @@ _ALERT_BODY = (
 @register("alert_rows", with_vitals(_ALERT_BODY, *_per_feature_ctes(45.0), _summary_cte()))
 def q_alert_rows(spark, sf_dir):
     ref, cur = _pair(spark, sf_dir, 45.0)
-    return drift.alert_rows(drift.check_drift(ref, cur, DRIFT_FEATURES)[1])
+    return drift.alert_rows(drift.check_drift(ref, cur, DRIFT_FEATURES, p_method="asymptotic")[1])
+
+
+@register("drift_auto_exact")
+def q_drift_auto_exact(spark, sf_dir):
+    """D7/J4 + D4: every numeric feature that both sides have, with the p-value chosen as the sample sizes demand.
+
+    No SQL states the count of lattice paths; tests compare it with all orders of small samples.
+    """
+    ref, cur = _pair(spark, sf_dir, 0.0)
+    return drift.feature_drift(ref, cur)

@@ -18,6 +18,8 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the JVM never compiles methods beyond 8,000 bytes: wide generated loops run faster as separate operators
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -40,9 +42,15 @@ def get_spark(
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    prepare(spark)
+    return spark
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the library needs of a session that it did not build itself."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", _DEFAULT_CONF["spark.sql.codegen.hugeMethodLimit"])
     checkpoint_dir(spark)
-    return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

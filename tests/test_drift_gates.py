@@ -150,3 +150,34 @@ def test_exact_equal_size_pvalue(spark):
     cur = spark.createDataFrame([(float(i) + 10,) for i in range(50)], "x double")
     r = drift.feature_drift(ref, cur, ["x"], p_method="exact").first()
     assert r.ks_statistic == 0.2 and r.p_value == round(drift.ks_pvalue_exact_equal(0.2, 50), 5)
+
+
+def test_exact_pvalue_of_all_small_samples():
+    import itertools
+    from fractions import Fraction
+
+    for n in range(1, 8):
+        for m in range(1, 9):
+            seen = []
+            for first in itertools.combinations(range(n + m), n):
+                i = j = 0
+                most = Fraction(0)
+                for at in range(n + m):
+                    i, j = (i + 1, j) if at in first else (i, j + 1)
+                    most = max(most, abs(Fraction(i, n) - Fraction(j, m)))
+                seen.append(most)
+            for d in set(seen):
+                want = sum(x >= d for x in seen) / len(seen)
+                assert drift.ks_pvalue_exact(float(d), n, m) == pytest.approx(want, abs=1e-12), (n, m, d)
+
+
+def test_exact_pvalue_is_chosen_by_size(spark):
+    ref = spark.createDataFrame([(float(i),) for i in range(60)], "x double")
+    cur = spark.createDataFrame([(i + 12.5,) for i in range(25)], "x double")
+    r = drift.feature_drift(ref, cur, ["x"]).first()
+    assert r.p_value == pytest.approx(drift.ks_pvalue_exact(r.ks_statistic, 60, 25), abs=1e-4)
+    series = drift.feature_drift(ref, cur, ["x"], exact_max_n=10).first()
+    assert series.p_value == drift.feature_drift(ref, cur, ["x"], p_method="asymptotic").first().p_value != r.p_value
+    # about where the series holds well, both agree; a large unequal pair stays within range
+    assert drift.ks_pvalue_exact(0.03, 9000, 7000) == pytest.approx(0.00163, abs=1e-4)
+    assert drift.ks_pvalue_exact(0.0, 10, 7) == 1.0 and drift.ks_pvalue_exact(1.0, 10, 7) == pytest.approx(2 / 19448)

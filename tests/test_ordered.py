@@ -72,11 +72,11 @@ def test_rows_find_their_split_without_a_join(spark):
     assert split.split_by_patient(empty).count() == 0 and split.assign_splits(empty).count() == 0
 
 
-def test_exact_p_value_is_refused_where_it_does_not_apply(spark):
+def test_exact_p_value_at_any_sizes(spark):
     a = spark.range(20).select(F.col("id").cast("double").alias("x"))
     assert drift.feature_drift(a, a, ["x"], p_method="exact").first().p_value == 1.0
-    with pytest.raises(ValueError, match="exact"):
-        drift.feature_drift(a, a.limit(10), ["x"], p_method="exact")
+    b = a.limit(10).withColumn("x", F.col("x") + 15)
+    assert drift.feature_drift(a, b, ["x"], p_method="exact").first().p_value == round(drift.ks_pvalue_exact(0.75, 20, 10), 5)
 
 
 def test_no_percentile_aggregate_over_the_rows(spark):
