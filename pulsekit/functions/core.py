@@ -14,10 +14,13 @@ def round_half_up(c: str | Column, k: int) -> Column:
     """Round to ``k`` decimals, ties away from -inf: ``floor(x*10^k + 0.5)/10^k``.
 
     Spark's ``round`` and DuckDB's ``round`` break binary ties differently;
-    this form gives identical doubles in both engines. NULL stays NULL.
+    this form gives identical doubles in both engines. NULL stays NULL. NaN,
+    infinities and numbers from 2^52 / 10^k on, whose doubles lie no closer
+    than the digit asked for, stay as they are.
     """
-    scale = float(10**k)
-    return (F.floor(as_col(c) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
+    c, scale = as_col(c).cast("double"), float(10**k)
+    return F.when(F.abs(c) >= 2.0**52 / scale, c).otherwise(  # NaN is greater than any number
+        F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
 
 
 def nan_to_null(c: str | Column) -> Column:

@@ -4,7 +4,8 @@ A metrics table has one row per evaluated model (or group) and one column
 per metric. Gates are row-local expressions (no shuffle): the reasons array
 is built with ``array_compact(array(when(...)))`` and ``approved`` is an
 empty reasons array. Missing metrics read as 0.0, so a missing FPR, latency
-or size passes, exactly as the original rules do.
+or size passes, exactly as the original rules do. A metric that is NaN fails
+its rule.
 """
 
 from __future__ import annotations
@@ -49,6 +50,11 @@ def metric(df: DataFrame, *names: str, default: float | None = 0.0) -> Column:
     return F.coalesce(*cols) if len(cols) > 1 else cols[0]
 
 
+def at_least(value: Column, bound: float) -> Column:
+    """Whether a metric reaches its bound. NaN never does (Spark itself ranks NaN above every number)."""
+    return ~F.isnan(value) & (value >= bound)
+
+
 def _fmt(x: Column, k: int) -> Column:
     return F.format_string(f"%.{k}f", round_half_up(x, k))
 
@@ -59,11 +65,11 @@ def approval_gate(df: DataFrame, on_device: bool = True) -> DataFrame:
     fpr = metric(df, "false_positive_rate", "fpr")
     precision = metric(df, "precision")
     checks = [
-        F.when(recall < GATE_MIN_RECALL, F.concat(F.lit("Recall ("), _fmt(recall, 3),
+        F.when(~at_least(recall, GATE_MIN_RECALL), F.concat(F.lit("Recall ("), _fmt(recall, 3),
                                                    F.lit(f") is below the minimum of {GATE_MIN_RECALL:.2f}."))),
         F.when(fpr > GATE_MAX_FPR, F.concat(F.lit("False positive rate ("), _fmt(fpr, 3),
                                              F.lit(f") exceeds the maximum of {GATE_MAX_FPR:.2f}."))),
-        F.when(precision < GATE_MIN_PRECISION, F.concat(F.lit("Precision ("), _fmt(precision, 3),
+        F.when(~at_least(precision, GATE_MIN_PRECISION), F.concat(F.lit("Precision ("), _fmt(precision, 3),
                                                          F.lit(f") is below the minimum of {GATE_MIN_PRECISION:.2f}."))),
     ]
     if on_device:
@@ -95,7 +101,7 @@ def require_approval(gated: DataFrame, key_cols: list[str]) -> None:
 
 # Per-model gates (thresholds in ``schema``).
 def _device_gate(df: DataFrame, g: dict, accuracy_col: str) -> Column:
-    return ((metric(df, accuracy_col) >= g["min_accuracy"]) & (metric(df, "latency_p95_ms") < g["max_latency_p95_ms"])
+    return (at_least(metric(df, accuracy_col), g["min_accuracy"]) & (metric(df, "latency_p95_ms") < g["max_latency_p95_ms"])
             & (metric(df, "size_mb") < g["max_size_mb"]))
 
 
@@ -108,12 +114,12 @@ def activity_gate(df: DataFrame, accuracy_col: str = "accuracy") -> Column:
 
 
 def glucose_gate(df: DataFrame) -> Column:
-    return ((metric(df, "recall", "sensitivity") >= GLUCOSE_GATE["min_recall"])
+    return (at_least(metric(df, "recall", "sensitivity"), GLUCOSE_GATE["min_recall"])
             & (metric(df, "false_positive_rate", "fpr") <= GLUCOSE_GATE["max_fpr"]))
 
 
 def risk_gate(df: DataFrame) -> Column:
-    return metric(df, "r2_score", "r2") >= RISK_GATE["min_r2"]
+    return at_least(metric(df, "r2_score", "r2"), RISK_GATE["min_r2"])
 
 
 METRIC_COLUMNS = ["recall", "sensitivity", "false_positive_rate", "fpr", "precision", "accuracy", "r2_score", "r2", "mae"]
@@ -137,8 +143,8 @@ def registry_status(df: DataFrame, type_col: str = "model_type", compat: bool =
     r2 = metric(df, "r2") if compat else metric(df, "r2_score", "r2")
     mae = metric(df, "mae", default=STATUS_DEFAULT_MAE)
     t = F.col(type_col)
-    alert_ok = ((recall >= STATUS_MIN_RECALL) & (fpr <= STATUS_MAX_FPR)) | (acc >= STATUS_MIN_ACCURACY)
-    regression_ok = (r2 >= STATUS_MIN_R2) | (mae <= STATUS_MAX_MAE)
+    alert_ok = (at_least(recall, STATUS_MIN_RECALL) & (fpr <= STATUS_MAX_FPR)) | at_least(acc, STATUS_MIN_ACCURACY)
+    regression_ok = at_least(r2, STATUS_MIN_R2) | (mae <= STATUS_MAX_MAE)
     return (
         F.when(empty, F.lit("staged"))
         .when(t.isin(ALERT_MODEL_TYPES), F.when(alert_ok, F.lit("production")).otherwise("rejected"))

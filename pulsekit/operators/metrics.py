@@ -16,7 +16,8 @@ from pulsekit.operators.ordered import quantile_columns, ranged, running_totals,
 
 
 def _label(c: str):
-    return F.col(c).cast("int")
+    """Labels as doubles: only 0 and 1 themselves are classes, so 0.9, NaN or NULL is neither."""
+    return F.col(c).cast("double")
 
 
 def confusion(df: DataFrame, y_true: str, y_pred: str, by: list[str] | None = None) -> DataFrame:
@@ -55,12 +56,10 @@ def classification_metrics(df: DataFrame, y_true: str, y_pred: str, by: list[str
 
 
 def accuracy(df: DataFrame, y_true: str, y_pred: str, by: list[str] | None = None) -> DataFrame:
-    """Fraction of equal labels (4 dp) and the sample count."""
+    """Fraction of equal labels (4 dp) among the rows that have both, and ``n_samples``, their number."""
     by = by or []
-    aggs = [
-        F.avg((F.col(y_true) == F.col(y_pred)).cast("double")).alias("__acc"),
-        F.count(F.lit(1)).alias("n_samples"),
-    ]
+    same = (F.col(y_true) == F.col(y_pred)).cast("double")  # NULL unless both are there
+    aggs = [F.avg(same).alias("__acc"), F.count(same).alias("n_samples")]
     out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     return out.select(*by, round_half_up("__acc", 4).alias("accuracy"), "n_samples")
 
@@ -69,6 +68,7 @@ def regression_metrics(df: DataFrame, y_true: str, y_pred: str, by: list[str] |
     """MSE, R2, RMSE (4 dp). Constant target: R2 = 1 when predictions are exact, else 0.
 
     Every term is over the same rows, those with both values; ``n_samples`` is their number.
+    NaN or an infinite value among them makes the metrics NaN or infinite: it is not hidden.
     """
     by = by or []
     y, p = F.col(y_true).cast("double"), F.col(y_pred).cast("double")
@@ -83,7 +83,7 @@ def regression_metrics(df: DataFrame, y_true: str, y_pred: str, by: list[str] |
     ]
     out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     r2 = (
-        F.when(F.col("__sst") == 0, F.when(F.col("__ssr") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+        F.when(F.isnan("__ssr"), F.col("__ssr")).when(F.col("__sst") == 0, F.when(F.col("__ssr") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
         .otherwise(F.lit(1.0) - F.col("__ssr") / F.col("__sst"))
     )
     return out.select(
@@ -108,7 +108,7 @@ def rank_auc(
     t = _label(y_true)
     s = F.col(score).cast("double")
     per_score = (
-        df.where(s.isNotNull() & ~F.isnan(s) & t.isin(0, 1))
+        df.where(s.isNotNull() & ~F.isnan(s) & t.isin(0.0, 1.0))
         .groupBy(*by, s.alias("__s"))
         .agg(F.count_if(t == 1).alias("__pos"), F.count_if(t == 0).alias("__neg"))
     )

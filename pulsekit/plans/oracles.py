@@ -53,6 +53,11 @@ def R(expr: str, k: int) -> str:
     return f"floor(({expr}) * {10**k}.0 + 0.5) / {10**k}.0"
 
 
+def R_any(expr: str, k: int) -> str:
+    """The same for expressions that may be NaN, infinite or beyond 2^52 / 10^k, which stay as they are."""
+    return f"CASE WHEN isnan({expr}) OR abs({expr}) >= {2.0**52 / 10**k!r} THEN {expr} ELSE {R(expr, k)} END"
+
+
 def with_vitals(body: str, *extra_ctes: str) -> str:
     ctes = ",\n".join([VITALS_CTE, *extra_ctes])
     return f"WITH {ctes}\n{body}"

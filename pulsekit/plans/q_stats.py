@@ -11,7 +11,7 @@ from pulsekit.operators import metrics, split, timeseries
 from pulsekit.operators.ordered import exact_quantiles
 from pulsekit.operators.scaling import Scaler, fit_params
 from pulsekit.plans.catalog import register
-from pulsekit.plans.oracles import R, with_vitals
+from pulsekit.plans.oracles import R, R_any, with_vitals
 from pulsekit.sources.adapter import load_vitals, read_table
 
 SCALE_COLS = ["hr_bpm", "hrv_ms", "spo2_percent", "resp_rate", "temp_c", "bp_sys"]
@@ -410,3 +410,45 @@ register("resample_5min_one_series", _resample_oracle(5 * 60_000_000, one_series
 def q_auc_by_patient(spark, sf_dir):
     """W6 grouped: one exact AUC per patient (grouped running sums)."""
     return metrics.rank_auc(load_vitals(spark, sf_dir), "glucose_pattern_flag", "risk_score_30d", by=["patient_id"])
+
+
+# Metrics by patient where values are missing, not numbers, infinite or huge in places that the event's number decides.
+_ODD = {"truth": "CASE WHEN e % 97 = 0 THEN NULL WHEN e % 89 = 1 THEN {nan} WHEN e % 83 = 2 THEN 0.9 ELSE CAST(hr_bpm > 90 AS {d}) END",
+        "guess": "CASE WHEN e % 101 = 3 THEN NULL WHEN e % 71 = 4 THEN 0.2 ELSE CAST(bp_sys > 128 AS {d}) END",
+        "actual": "CASE WHEN e % 103 = 5 THEN NULL ELSE hr_bpm END",
+        "forecast": "CASE WHEN u % 10 = 0 AND e % 7 = 1 THEN {nan} WHEN u % 10 = 1 AND e % 7 = 2 THEN {inf} "
+                    "WHEN u % 10 = 2 AND e % 7 = 3 THEN 1e15 WHEN e % 107 = 4 THEN NULL ELSE bp_sys - 60 END"}
+_ODD_DUCK = {k: v.format(nan="CAST('NaN' AS DOUBLE)", inf="CAST('Infinity' AS DOUBLE)", d="INTEGER") for k, v in _ODD.items()}
+_ODD_VITALS = ("odd AS (SELECT patient_id, " + ", ".join(f"CAST({v} AS DOUBLE) AS {k}" for k, v in _ODD_DUCK.items())
+               + " FROM (SELECT 'PAT-' || CAST(user_id AS VARCHAR) AS patient_id, event_id AS e, user_id AS u, "
+               "50 + value / 2 AS hr_bpm, 110 + value / 4 AS bp_sys FROM events))")
+
+
+def _odd_vitals(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events").selectExpr(
+        "concat('PAT-', CAST(user_id AS STRING)) AS patient_id", "event_id AS e", "user_id AS u", "50 + value / 2 AS hr_bpm", "110 + value / 4 AS bp_sys")
+    return events.selectExpr("patient_id", *[
+        f"CAST({v.format(nan=chr(39).join(['double(', 'NaN', ')']), inf=chr(39).join(['double(', 'Infinity', ')']), d='INT')} AS DOUBLE) AS {k}"
+        for k, v in _ODD.items()])
+
+
+@register(
+    "odd_value_metrics",
+    with_vitals(
+        "SELECT patient_id, tn AS true_negatives, fp AS false_positives, fn AS false_negatives, tp AS true_positives, "
+        f"{R('a', 4)} AS accuracy, n_acc AS accuracy_samples, {R_any('mse', 4)} AS mse, {R_any('sqrt(mse)', 4)} AS rmse, n_reg AS regression_samples FROM m",
+        _ODD_VITALS,
+        "m AS (SELECT patient_id, count(*) FILTER (WHERE truth = 0 AND guess = 0) AS tn, count(*) FILTER (WHERE truth = 0 AND guess = 1) AS fp, "
+        "count(*) FILTER (WHERE truth = 1 AND guess = 0) AS fn, count(*) FILTER (WHERE truth = 1 AND guess = 1) AS tp, "
+        "avg(CAST(truth = guess AS DOUBLE)) AS a, count(truth = guess) AS n_acc, avg((actual - forecast) * (actual - forecast)) AS mse, "
+        "count(actual - forecast) AS n_reg FROM odd GROUP BY patient_id)",
+    ),
+)
+def q_odd_value_metrics(spark, sf_dir):
+    """A14, A16, A17 per patient over labels that are NULL, NaN or between the classes, and predictions that are NULL, NaN, infinite or 1e15."""
+    v = _odd_vitals(spark, sf_dir)
+    by = ["patient_id"]
+    counts = metrics.confusion(v, "truth", "guess", by)
+    acc = metrics.accuracy(v, "truth", "guess", by).withColumnRenamed("n_samples", "accuracy_samples")
+    reg = metrics.regression_metrics(v, "actual", "forecast", by).withColumnRenamed("n_samples", "regression_samples").drop("r2_score")
+    return counts.join(acc, by).join(reg, by)

@@ -25,8 +25,8 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
 
 
-def anonymize_stream(df: DataFrame, salt: str, token_len: int = 12) -> DataFrame:
-    """P1-P3 per micro-batch; the salt must be fixed for the life of the query."""
+def anonymize_stream(df: DataFrame, salt: str, token_len: int = privacy.TOKEN_LEN) -> DataFrame:
+    """P1-P3 per micro-batch; the salt must be fixed for the life of the query; with a batch's salt the tokens are the batch's."""
     return privacy.pseudonymize(privacy.drop_pii(privacy.consent_filter(df)), salt, token_len=token_len)
 
 

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pulsekit.functions import round_half_up
 from pulsekit.operators import metrics, split
 
 
@@ -93,3 +94,52 @@ def test_rank_auc_grouped_bucketed_matches_brute_force(spark):
         for g in ("a", "b", "c"):
             pairs = [(y, s) for gg, y, s in rows if gg == g]
             assert got[g] == pytest.approx(round(_brute_auc(pairs), 4))
+
+
+def test_rounding_leaves_what_it_cannot_round(spark):
+    import math
+
+    df = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (1e15,), (-1e13,), (2.675,), (-0.00005,), (None,)], "x double")
+    got = [r[0] for r in df.select(round_half_up("x", 4)).collect()]
+    assert math.isnan(got[0]) and got[1:] == [float("inf"), float("-inf"), 1e15, -1e13, 2.675, 0.0, None]
+    assert df.select(round_half_up("x", 6)).collect()[4][0] == -1e13
+
+
+def test_metrics_with_odd_values(spark):
+    import math
+
+    df = spark.createDataFrame([(1.0, 1.0), (0.0, None), (1.0, None), (0.0, 1.0)], "y double, p double")
+    r = metrics.accuracy(df, "y", "p").first()
+    assert (r.accuracy, r.n_samples) == (0.5, 2)
+    odd = spark.createDataFrame([(0.9, 1.0), (0.2, 0.0), (float("nan"), 1.0), (1.0, 1.0), (0.0, 1.0), (None, 1.0)], "y double, p double")
+    c = metrics.confusion(odd, "y", "p").first()
+    assert (c.true_negatives, c.false_positives, c.false_negatives, c.true_positives) == (0, 1, 0, 1)
+    assert metrics.rank_auc(odd, "y", "p").first().n_pos == 1
+    m = metrics.regression_metrics(spark.createDataFrame([(1.0, float("nan")), (2.0, 2.0)], "y double, p double"), "y", "p").first()
+    assert math.isnan(m.mse) and math.isnan(m.rmse) and math.isnan(m.r2_score)
+    big = metrics.regression_metrics(spark.createDataFrame([(0.0, 1e9), (1.0, 2e9)], "y double, p double"), "y", "p").first()
+    assert big.mse == pytest.approx(2.5e18, rel=1e-6) and big.rmse == pytest.approx(math.sqrt(big.mse))
+
+
+def test_nan_metrics_fail_their_gates(spark):
+    from pulsekit.operators import gates
+
+    nan = float("nan")
+    good = {"recall": 0.99, "false_positive_rate": 0.01, "precision": 0.9, "latency_p95_ms": 1.0, "size_mb": 1.0, "accuracy": 0.99, "r2_score": 0.99}
+    for key in ("recall", "false_positive_rate", "precision", "latency_p95_ms", "size_mb"):
+        row = gates.approval_gate(spark.createDataFrame([{**good, key: nan}])).first()
+        assert not row.approved and len(row.rejection_reasons) == 1 and "NaN" in row.rejection_reasons[0]
+    assert gates.approval_gate(spark.createDataFrame([good])).first().approved
+    for rule, key in (("sleep", "accuracy"), ("activity", "accuracy"), ("glucose", "recall"), ("risk", "r2_score")):
+        assert not gates.model_gate(spark.createDataFrame([{**good, key: nan}]), rule).first().approved
+    df = spark.createDataFrame([{**good, "recall": nan, "accuracy": nan, "model_type": "classifier"}])
+    assert df.select(gates.registry_status(df)).first()[0] == "rejected"
+
+
+def test_stream_and_batch_tokens_agree(spark):
+    import inspect
+
+    from pulsekit.operators import privacy
+    from pulsekit.streaming import stream_ops
+
+    assert inspect.signature(stream_ops.anonymize_stream).parameters["token_len"].default == privacy.TOKEN_LEN
