@@ -77,6 +77,6 @@ for _fn, _id, _algorithm, _label, _rows, _quality, _bound, _kw in (
     (mllib_models.train_activity, "activity_recognition", "MultilayerPerceptronClassifier", None, "TRUE", "accuracy", 0.3,
      {"max_iter": 250}),
     (mllib_models.train_glucose, "glucose_patterns", "GBTClassifier", "glucose_pattern_flag", "TRUE", "auc_roc", 0.6, {}),
-    (mllib_models.train_risk, "risk_score", "GBTRegressor", None, "TRUE", "r2_score", 0.75, {}),
+    (mllib_models.train_risk, "risk_score", "HistGradientBoosting", None, "TRUE", "r2_score", 0.94, {}),
 ):
     register(f"model_{_id}", _model_oracle(_id, _algorithm, _label, _rows))(_model_query(_fn, _quality, _bound, **_kw))
