@@ -5,9 +5,11 @@ negative, and the contiguous run with the largest sum is the content region,
 found by one linear scan. The weights come from labelled pages: those that
 mark their article themselves (``article`` or ``main`` element) tell for every
 kind of element how often its words, and its tags, are inside or outside. An
-element that is boilerplate by its name, role or class (menus, forms, adverts,
-reader comments and so on) counts as one tag, wherever it stands, and yields
-no text. Learning uses a bounded sample (``SAMPLE``) of the pages that mark their article.
+element that is boilerplate by its name, by its role, or by a class or id that
+is the name of page furniture as it stands (``comments``, ``sidebar``; not
+``with-sidebar``) counts as one tag, wherever it stands, and yields no text;
+what other classes mean is left to the learned weights. Where nothing scores
+that way, class names are left out of account altogether. Learning uses a bounded sample (``SAMPLE``) of the pages that mark their article.
 """
 
 from __future__ import annotations
@@ -34,8 +36,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt s samp small span "
     "strike strong sub sup time tt u var wbr".split())
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object")
-FURNITURE = frozenset("head nav footer aside form button select menu dialog script style noscript template textarea title iframe svg math object".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+FURNITURE = frozenset("head nav footer aside button select menu dialog script style noscript template textarea title iframe svg math object".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
 NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead ad ads adv advert adverts advertisement advertising banner "
     "promo promotion sponsor sponsored cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription "
@@ -43,6 +45,7 @@ NAMES = frozenset(
     "search skip copyright".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 LANDMARKS = ("article", "main")
+COMMENTS = frozenset("comment comments reply replies".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
@@ -55,25 +58,27 @@ _MARK = re.compile("<(?:article|main)", re.I)  # LANDMARKS
 _RAW_END = {n: re.compile(rf"</{n}\s*>", re.I) for n in RAW}
 
 
-def _furniture(name: str, attrs: str, inside: bool) -> tuple[bool, str]:
+def _furniture(name: str, attrs: str, inside: bool, names: bool) -> tuple[bool, str]:
     """(is it boilerplate, kind of the element: name and classes)."""
     got = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)} if attrs.strip() else {}
     classes = got.get("class", "").lower().split()
     kind = ".".join([name, *sorted(classes)[:2]])
-    if name in FURNITURE or name == "header" and not inside:
+    if name in FURNITURE or name == "header" and not inside or name == "form" and not inside and got.get("role", "").lower() == "search":
         return True, kind
-    if name in ("html", "body", *LANDMARKS):
+    if name in ("html", "body", "main"):
         return False, kind
-    words = set(re.split(r"[^a-z0-9]+", " ".join([*classes, got.get("id", "").lower()])))
-    return bool(words & NAMES) or got.get("role", "").lower() in ROLES, kind
+    words = {*classes, got.get("id", "").lower()}
+    if name == "article":  # a reader's comment may be marked so
+        return names and bool(words & COMMENTS), kind
+    return got.get("role", "").lower() in ROLES or names and bool(words & NAMES), kind
 
 
-def read_page(page: str | None) -> list[tuple[str, str, bool, object]]:
+def read_page(page: str | None, names: bool = True) -> list[tuple[str, str, bool, object]]:
     """The whole page as a list, see :func:`_read`."""
-    return list(_read(page))
+    return list(_read(page, names))
 
 
-def _read(page: str | None) -> Iterator[tuple[str, str, bool, object]]:
+def _read(page: str | None, names: bool = True) -> Iterator[tuple[str, str, bool, object]]:
     """The page as a sequence of (what, kind, in a landmark, value).
 
     what: ``text`` (value: its words; kind: the element around), ``tag`` (value:
@@ -82,17 +87,22 @@ def _read(page: str | None) -> Iterator[tuple[str, str, bool, object]]:
     page, out, at = page or "", [], 0
     open_: list[str] = []
     kinds: list[str] = []
+    blocks: list[int] = []  # places in open_ that are not inline
+    count: Counter = Counter()  # how often a name is open
     skip_from, marks = None, 0
 
     def text(raw: str) -> None:
         if skip_from is None and raw:
-            block = next((k for n, k in zip(reversed(open_), reversed(kinds)) if n not in INLINE), "")
+            block = kinds[blocks[-1]] if blocks else ""
             out.append(("text", block, marks > 0, html.unescape(raw)))
 
     def close(k: int) -> None:
         nonlocal skip_from, marks
         marks -= sum(n in LANDMARKS for n in open_[k:])
+        count.subtract(open_[k:])
         del open_[k:], kinds[k:]
+        while blocks and blocks[-1] >= k:
+            blocks.pop()
         if skip_from is not None and k <= skip_from:
             skip_from = None
 
@@ -112,8 +122,10 @@ def _read(page: str | None) -> Iterator[tuple[str, str, bool, object]]:
         ends, attrs, was_skip = bool(m["end"] or m["end2"]), m["attrs"] or m["attrs2"] or "", skip_from is not None
         block = name not in INLINE
         if ends:
-            if name in open_:
-                k = len(open_) - 1 - open_[::-1].index(name)
+            if count[name]:
+                k = len(open_) - 1
+                while open_[k] != name:
+                    k -= 1
                 kind = kinds[k]
                 close(k)
                 if not was_skip:
@@ -124,14 +136,14 @@ def _read(page: str | None) -> Iterator[tuple[str, str, bool, object]]:
         if block and not was_skip or name in CLOSES:
             # a block ends an open paragraph, an item its predecessor; not beyond the nearest container
             ended = CLOSES.get(name, {"p"})
-            for k in range(len(open_) - 1, -1, -1):
+            for k in reversed(blocks):
                 if open_[k] in ended:
                     close(k)
                     break
-                if open_[k] not in INLINE and open_[k] not in ("td", "th", "tr"):
+                if open_[k] not in ("td", "th", "tr"):
                     break
             was_skip = skip_from is not None
-        bad, kind = _furniture(name, attrs, marks > 0)
+        bad, kind = _furniture(name, attrs, marks > 0, names)
         if not was_skip:
             out.append(("skip" if bad and name not in VOID else "tag", kind, marks > 0, block))
         if name in VOID or attrs.rstrip().endswith("/"):
@@ -146,6 +158,9 @@ def _read(page: str | None) -> Iterator[tuple[str, str, bool, object]]:
             marks += 1
         if bad and skip_from is None:
             skip_from = len(open_)
+        if block:
+            blocks.append(len(open_))
+        count[name] += 1
         open_.append(name)
         kinds.append(kind)
 
@@ -189,7 +204,11 @@ def best_run(scores: np.ndarray) -> tuple[int, int]:
 
 def extract(page: str | None, weights: dict[str, float]) -> list[str]:
     """The blocks of the main text in page order; none if no run scores above zero."""
-    seq = read_page(page)
+    return _extract_page(page, weights, True) or _extract_page(page, weights, False)
+
+
+def _extract_page(page: str | None, weights: dict[str, float], names: bool) -> list[str]:
+    seq = read_page(page, names)
     scores = np.array([
         len(v.split()) * weights.get(f"w {k}", WORD) if what == "text" else weights.get(f"t {k}", -TAG) for what, k, _, v in seq])
     start, end = best_run(scores)
