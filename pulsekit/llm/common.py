@@ -64,3 +64,11 @@ def need(df: DataFrame, *cols: str) -> DataFrame:
     if missing:
         raise ValueError(f"input lacks the columns {missing}")
     return df.select(*[F.col(f"`{c}`") for c in cols])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

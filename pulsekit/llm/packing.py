@@ -7,8 +7,10 @@ of the rest of a sequence that no other filling dominates, repeats a filling
 as often as the counts allow, prunes branches whose bins plus a lower bound
 (total length, or pieces over half) cannot beat the best solution, or whose
 waste exceeds what a better solution may waste, and completes every node by
-best-fit decreasing as the incumbent. The search stops when the bound is met or
-after ``EFFORT`` (packing is NP-hard; the incumbent is then the answer).
+best-fit decreasing as the incumbent. Fillings come fullest first, one by one as
+the search returns to a node, so none is left out. The search stops when the
+bound is met, when nothing is left to try, or after ``NODES`` nodes or ``STEPS``
+steps (packing is NP-hard; the incumbent is then the answer, not proven best).
 
 The plan maps ranges of the pieces' global order (length, then id) to
 sequences and offsets, so Spark assigns every piece by one look-up: the order
@@ -18,19 +20,22 @@ partition.
 
 from __future__ import annotations
 
+import logging
 import zlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import need, save
+from pulsekit.llm.common import free_name, need, save
 
-CAPACITY, WIDTH = 4096, 6  # ids a sequence; fillings tried at a node
-EFFORT = 200_000  # of the search: pieces of different lengths seen at all its nodes
+CAPACITY = 4096  # ids a sequence
+NODES, STEPS = 4000, 2_000_000  # of the search: nodes, whatever the number of lengths; lengths looked at for their fillings
+
+log = logging.getLogger(__name__)
 
 #: A plan is a list of (times, lengths): `times` sequences hold pieces of these lengths each.
 Plan = list[tuple[int, tuple[int, ...]]]
@@ -107,78 +112,148 @@ def dominates(a: tuple[int, ...], b: tuple[int, ...]) -> bool:
     return False
 
 
-def fillings(counts: dict[int, int], room: int, waste: int) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room`` leaving at most ``waste``, fullest first (WIDTH at most).
+class _Search:
+    """Depth-first state: one table of remaining counts, changed on the way down and restored on the way back.
 
-    They are found by depth-first search over the lengths in falling order; a
-    filling to which a remaining piece could be added is dominated.
+    A node keeps its place among its fillings (a generator) and nothing that
+    grows with the number of lengths: the table of reachable sums is built
+    again when the search returns to a node.
     """
-    sizes = sorted((n for n, c in counts.items() if c and n <= room), reverse=True)
-    if not sizes:
-        return [()] if room <= waste else []
-    found: list[tuple[int, ...]] = []
-    steps = 0
-
-    def extend(at: int, chosen: tuple[int, ...], left: int) -> None:
-        nonlocal steps
-        while at < len(sizes) and len(found) < 4 * WIDTH and steps < 4000:
-            n = sizes[at]
-            if n <= left and chosen.count(n) < counts[n]:
-                steps += 1
-                extend(at, (*chosen, n), left - n)
-            at += 1
-        if left <= waste and not any(n <= left and chosen.count(n) < counts[n] for n in sizes):
-            found.append(chosen)
-
-    extend(0, (), room)
-    found = sorted(dict.fromkeys(found), key=lambda f: (-sum(f), len(f)))
-    kept: list[tuple[int, ...]] = []
-    for f in found:
-        if not any(len(k) <= 8 and len(f) <= 8 and dominates(k, f) for k in kept):
-            kept.append(f)
-        if len(kept) == WIDTH:
-            break
-    return kept
 
+    def __init__(self, counts: dict[int, int], capacity: int, nodes: int, steps: int):
+        self.left, self.capacity, self.nodes, self.steps = dict(counts), capacity, nodes, steps
+
+    @property
+    def over(self) -> bool:
+        return self.nodes <= 0 or self.steps <= 0
+
+    def enter(self, top: int) -> None:
+        """Lengths that fit beside ``top``, falling, and can[i]: bit s is set if those from place i on make the sum s."""
+        room = self.capacity - top
+        self.sizes = sorted((n for n in self.left if n <= room), reverse=True)
+        self.below = [-n for n in self.sizes]
+        can, mask = [1], (1 << (room + 1)) - 1
+        for n in reversed(self.sizes):
+            sums, more, k = can[-1], min(self.left[n] - (n == top), room // n), 1
+            while more > 0:
+                k = min(k, more)
+                sums |= sums << k * n & mask
+                more, k = more - k, 2 * k
+            can.append(sums)
+        self.can = can[::-1]
+
+    def exact(self, at: int, chosen: tuple[int, ...], room: int, top: int) -> Iterator[tuple[int, ...]]:
+        """All ways to fill ``room`` to the brim with lengths from place ``at`` on."""
+        if not room:
+            yield chosen
+            return
+        at = max(at, bisect_left(self.below, -room))
+        while at < len(self.sizes) and self.can[at] >> room & 1 and not self.over:
+            self.steps -= 1
+            n = self.sizes[at]
+            for k in range(min(self.left[n] - (n == top), room // n), 0, -1):
+                if self.can[at + 1] >> (room - k * n) & 1:
+                    yield from self.exact(at + 1, chosen + (n,) * k, room - k * n, top)
+            at += 1
 
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, effort: int = EFFORT) -> tuple[Plan, int]:
-    """(plan, lower bound) for pieces of 1 to ``capacity``; every piece is used exactly once."""
+    def fillings(self, top: int, waste: Callable[[], int]) -> Iterator[tuple[int, ...]]:
+        """Undominated fillings beside ``top`` that waste at most ``waste()``, fullest first; all, if the effort lasts.
+
+        A filling is dominated if a remaining piece could be added to it, or if
+        its pieces can be laid into those of a former one (looked for among
+        up to 8 pieces; beyond, both are tried).
+        """
+        room, total = self.capacity - top, self.capacity - top
+        kept: list[tuple[int, ...]] = []
+        while total >= max(0, room - waste()) and not self.over:
+            self.steps -= 1
+            if self.can[0] >> total & 1:
+                for f in self.exact(0, (), total, top):
+                    if any(f.count(n) < self.left[n] - (n == top) for n in self.sizes[bisect_left(self.below, total - room):]):
+                        continue
+                    if len(f) > 8 or not any(dominates(k, f) for k in kept):
+                        if len(f) <= 8:
+                            kept.append(f)
+                        yield f
+                        if total < room - waste():
+                            return
+            total -= 1
+
+    def take(self, times: int, lengths: tuple[int, ...]) -> None:
+        for n in lengths:
+            self.left[n] -= times
+            if not self.left[n]:
+                del self.left[n]
+
+    def give(self, times: int, lengths: tuple[int, ...]) -> None:
+        for n in lengths:
+            self.left[n] = self.left.get(n, 0) + times
+
+
+def search(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, steps: int = STEPS) -> tuple[Plan, int, bool]:
+    """(plan, lower bound, whether it is proven that no plan has fewer bins) for pieces of 1 to ``capacity``."""
     counts = {n: c for n, c in counts.items() if c}
     if any(not 0 < n <= capacity for n in counts):
         raise ValueError("piece lengths must be between 1 and the capacity")
     bound = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
-    used = lambda plan: sum(t for t, _ in plan)
-    total = sum(n * c for n, c in counts.items())
-    # depth first without recursion: a node is (remaining counts, plan so far, bins, waste)
-    stack, seen = [(counts, [], 0, 0)], 0
-    while stack and used(best) > bound and seen < effort:
-        left, plan, bins, lost = stack.pop()
-        seen += len(left) + 1
-        if not left:
-            if bins < used(best):
-                best = plan
-            continue
-        if bins + lower_bound(left, capacity) >= used(best):
-            continue
-        done = best_fit(left, capacity)
-        if bins + used(done) < used(best):
-            best = plan + done
-            continue
-        spare = (used(best) - 1) * capacity - total - lost  # what a better solution may still waste
-        top = max(left)
-        rest = dict(left)
-        rest[top] -= 1
-        for f in reversed(fillings(rest, capacity - top, spare)):
+    fewest = sum(t for t, _ in best)
+    slack = -sum(n * c for n, c in counts.items())
+    at = _Search(counts, capacity, nodes, steps)
+    plan: Plan = []  # bins on the way down, one entry a level
+    path: list[list] = []  # a node: [top, fillings, its bins still to be tried]
+    bins = lost = 0
+    descend = True
+    while fewest > bound and not at.over:
+        if descend:
+            at.nodes -= 1
+            descend = False
+            least = bins + (lower_bound(at.left, capacity) if at.left else 0)
+            if least < fewest:
+                done = best_fit(at.left, capacity)
+                if bins + sum(t for t, _ in done) < fewest:
+                    best = plan + done
+                    fewest = sum(t for t, _ in best)
+            if least < fewest and at.left:
+                top = max(at.left)
+                at.enter(top)
+                path.append([top, at.fillings(top, lambda lost=lost: (fewest - 1) * capacity + slack - lost), []])
+                plan.append((0, ()))
+        # the next way to fill a bin around the node's largest piece, or back to the node above
+        if not path:
+            break
+        top, ways, todo = path[-1]
+        times, lengths = plan[-1]
+        if times:  # undo the way just tried
+            at.give(times, lengths)
+            bins -= times
+            lost -= times * (capacity - sum(lengths))
+            plan[-1] = (0, ())
+            if not todo:
+                at.enter(top)
+        if not todo:
+            f = next(ways, None)
+            if f is None:
+                path.pop()
+                plan.pop()
+                continue
             lengths = (top, *f)
-            need_of = {n: lengths.count(n) for n in set(lengths)}
-            times = min(left[n] // c for n, c in need_of.items())
             gap = capacity - sum(lengths)
+            often = min(at.left[n] // lengths.count(n) for n in set(lengths))
             if gap:
-                times = max(1, min(times, spare // gap))
-            after = {n: c - times * need_of.get(n, 0) for n, c in left.items()}
-            stack.append(({n: c for n, c in after.items() if c}, [*plan, (times, lengths)], bins + times, lost + times * gap))
-    return best, bound
+                often = max(1, min(often, ((fewest - 1) * capacity + slack - lost) // gap))
+            todo += [(t, lengths) for t in dict.fromkeys((1, often))]  # as often as can be first, then once and others after it
+        times, lengths = plan[-1] = todo.pop()
+        at.take(times, lengths)
+        bins += times
+        lost += times * (capacity - sum(lengths))
+        descend = True
+    return best, bound, fewest == bound or not at.over
+
+
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> tuple[Plan, int]:
+    """(plan, lower bound) of :func:`search`."""
+    return search(counts, capacity, nodes)[:2]
 
 
 def _ranges(plan: Plan, counts: dict[int, int]) -> dict[str, np.ndarray]:
@@ -226,7 +301,12 @@ def _cut(path: str, end_id: int, capacity: int):
 def cut_documents(
     docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): the ids of each whole text and ``end_id``, cut only if longer than ``capacity``."""
+    """(doc_id, piece, start, length, ids_crc32): the ids of each whole text and ``end_id``, cut only if longer than ``capacity``.
+
+    Null and empty texts are the end id alone; a repeated or null id gives each of
+    its rows its own pieces; a text of any length is cut whole. Other columns of
+    ``docs`` are not read, so none can clash. An empty table gives no pieces.
+    """
     src = need(docs, id_col, text_col).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     return src.mapInArrow(_cut(tokenizer, end_id, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -236,24 +316,29 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
 
     ``order`` makes the assignment repeatable; rows that tie in all of these
     columns are interchangeable. Lengths must be from 1 to ``capacity``. An
-    empty table gives an empty result.
+    empty table gives an empty result; other columns pass through, but ones
+    already called sequence_id or offset (in any case) are replaced.
     """
+    pieces = pieces.drop(*[c for c in pieces.columns if c.lower() in ("sequence_id", "offset")])
+    place_col = free_name(pieces, "__place")
     pieces = save(pieces, "pack-pieces")
     spark = pieces.sparkSession
     ranged = pieces.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), length_col, *order)
-    placed = save(ranged.sortWithinPartitions(length_col, *order).withColumn("__place", F.monotonically_increasing_id()), "pack-sorted")
+    placed = save(ranged.sortWithinPartitions(length_col, *order).withColumn(place_col, F.monotonically_increasing_id()), "pack-sorted")
     counts = {r[0]: r[1] for r in placed.groupBy(length_col).count().collect()}  # at most `capacity` rows
-    plan, _ = bin_completion(counts, capacity)
+    plan, bound, proven = search(counts, capacity)
+    if not proven:
+        log.warning("packing: %d sequences, lower bound %d; effort spent, not proven fewest", sum(t for t, _ in plan), bound)
     table = _ranges(plan, counts)
     names = list(pieces.columns)
     offsets, n = {}, 0
-    for r in placed.groupBy(F.shiftright("__place", 33).alias("p")).count().orderBy("p").collect():  # a row a partition
+    for r in placed.groupBy(F.shiftright(place_col, 33).alias("p")).count().orderBy("p").collect():  # a row a partition
         offsets[r[0]] = n
         n += r[1]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.column("__place").to_numpy()
+            place = batch.column(place_col).to_numpy()
             part, inside = np.unique(place >> 33, return_inverse=True)
             rank = np.array([offsets[p] for p in part.tolist()], np.int64)[inside] + (place & ((1 << 33) - 1))
             at = np.searchsorted(table["start"], rank, side="right") - 1

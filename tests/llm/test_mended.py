@@ -1,12 +1,13 @@
-"""Length of clean documents (operator 6), names of page elements and unclosed ones (operator 8)."""
+"""Length of clean documents (operator 6), names of page elements and unclosed ones (operator 8), whole search of fillings (operator 10)."""
 
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from pulsekit.llm import html_text, toxicity
+from pulsekit.llm import html_text, packing, toxicity
 
 
 def test_noisy_or_gradient_is_numeric():
@@ -74,3 +75,50 @@ def test_many_unclosed_elements_are_read_in_linear_time():
     html_text.extract("<div>" * n + "word " * 50 + "</span>" * n + "</p>" * n, {})
     html_text.extract("<b>" * n + "<p>word" * n + "</i>" * n, {})
     assert time.time() - began < 30
+
+
+def bins(plan):
+    return sum(t for t, _ in plan)
+
+
+def test_search_leaves_no_filling_out():
+    rng = np.random.default_rng(3)
+    three = Counter(rng.integers(1200, 1500, 3000).tolist())  # never more than three a sequence
+    plan, bound, proven = packing.search(three)
+    assert Counter({n: sum(t * ls.count(n) for t, ls in plan) for n in three}) == three
+    assert bins(plan) == 1000 and not proven and bound <= 1000 < bins(packing.best_fit(three, 4096))
+
+
+def test_proof_flag_holds_on_cases_that_best_fit_does_not_solve():
+    def fewest(items, room):
+        """By subsets: the fewest sequences, then the least filled last one."""
+        best = {0: (1, 0)}
+        for mask in range(1, 1 << len(items)):
+            ways = []
+            for i, n in enumerate(items):
+                if mask >> i & 1:
+                    k, used = best[mask ^ 1 << i]
+                    ways.append((k, used + n) if used + n <= room else (k + 1, n))
+            best[mask] = min(ways)
+        return best[(1 << len(items)) - 1][0]
+
+    rng, hard = np.random.default_rng(4), 0
+    while hard < 40:
+        items = rng.integers(15, 60, rng.integers(6, 11)).tolist()
+        counts = Counter(items)
+        if bins(packing.best_fit(counts, 100)) == packing.lower_bound(counts, 100):
+            continue
+        hard += 1
+        plan, _, proven = packing.search(counts, 100)
+        assert proven and bins(plan) == fewest(items, 100)
+        plan, _, proven = packing.search(counts, 100, nodes=1, steps=1)
+        assert not proven and Counter(n for t, ls in plan for n in ls * t) == counts
+
+
+def test_pack_with_columns_of_its_own_names(spark):
+    rows = [(i, 0, 1 + i % 7, "a", 5, "b", "c") for i in range(50)]
+    given = spark.createDataFrame(rows, "doc_id long, piece int, length long, __place string, Offset int, sequence_id string, __PLACE_ string")
+    out = packing.pack(given, 10, order=("doc_id", "piece"))
+    assert out.columns == ["doc_id", "piece", "length", "__place", "__PLACE_", "sequence_id", "offset"]
+    got = out.toPandas()
+    assert len(got) == 50 and (got.groupby("sequence_id").length.sum() <= 10).all() and set(got["__place"]) == {"a"}
