@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsekit.llm import lines, minhash, packing, queries, toxicity
-from pulsekit.llm.common import save
+from pulsekit.llm.common import free_name, save
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose noisy-or score is below one half stay (operator 6)."""
     model = queries.toxicity_model(docs, queries.table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, score_col="__toxic_score", spans_col="__toxic_sentences")
-    return scored.filter("__toxic_score < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    score, spans = free_name(docs, "__toxic_score"), free_name(docs, "__toxic_sentences")
+    scored = toxicity.score(docs, model, score_col=score, spans_col=spans)
+    return scored.filter(F.col(score) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +40,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Texts without words (null, empty, white space) form no group: all rows with them stay.
     """
     order = [F.col("doc_id").asc_nulls_last(), F.md5(F.col("text")), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])]
-    rows = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__row", F.monotonically_increasing_id())
+    row = free_name(docs, "__row")
+    rows = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(row, F.monotonically_increasing_id())
     rows = save(rows, "pipeline-rows")
-    kept = minhash.near_duplicates(rows, id_col="__row").filter("kept").select("doc_id")
-    return rows.join(kept, rows["__row"] == kept["doc_id"], "left_semi").drop("__row")
+    kept = minhash.near_duplicates(rows, id_col=row).filter("kept").select("doc_id")
+    return rows.join(kept, rows[row] == kept["doc_id"], "left_semi").drop(row)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
