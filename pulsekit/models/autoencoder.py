@@ -87,6 +87,17 @@ class AutoencoderModel:
         spark.createDataFrame(row, "features array<string>, params array<array<double>>, threshold double").coalesce(
             1).write.mode("overwrite").parquet(path)
 
+    @classmethod
+    def load(cls, spark, path: str) -> AutoencoderModel:
+        """The model that :meth:`save` wrote; layer sizes follow from the features and the biases."""
+        row = spark.read.parquet(path).first()
+        if row is None:
+            raise ValueError(f"no autoencoder at {path}")
+        flat = [np.array(p, dtype=float) for p in row.params]
+        sizes = [len(row.features), *[len(b) for b in flat[1::2]]]
+        params = [p.reshape(sizes[i // 2], -1) if i % 2 == 0 else p for i, p in enumerate(flat)]
+        return cls(list(row.features), params, row.threshold)
+
     def error_column(self, df: DataFrame, out: str = "recon_error") -> DataFrame:
         params = self.params
 

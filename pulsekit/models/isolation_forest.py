@@ -65,6 +65,15 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
     return nodes
 
 
+def _node_array(rows: pd.DataFrame) -> np.ndarray:
+    """(tree, node, 5) from one row a node; places without a row are empty leaves, children included."""
+    names = ["feature", "threshold", "left", "right", "size"]
+    arr = np.zeros((int(rows["tree"].max()) + 1, int(rows[["node", "left", "right"]].max().max()) + 1, 5))
+    arr[:, :, 0] = -1
+    arr[rows["tree"].to_numpy(), rows["node"].to_numpy()] = rows[names].to_numpy(dtype=float)
+    return arr
+
+
 @dataclass
 class IsolationForestModel:
     features: list[str]
@@ -72,10 +81,23 @@ class IsolationForestModel:
     nodes: np.ndarray  # (n_trees, max_nodes, 5): feature, threshold, left, right, size
 
     def save(self, spark, path: str) -> None:
-        """Node table as Parquet (at most trees x (2 x max_samples - 1) rows)."""
-        rows = [(t, i, *map(float, node)) for t, tree in enumerate(self.nodes) for i, node in enumerate(tree) if node[4] > 0]
+        """Node table as Parquet (at most trees x (2 x max_samples - 1) rows), each row with the model's features and sample size."""
+        about = (self.features, self.max_samples)
+        rows = [(t, i, *map(float, node), *about) for t, tree in enumerate(self.nodes) for i, node in enumerate(tree) if node[4] > 0]
         spark.createDataFrame(rows, "tree int, node int, feature double, threshold double, left double, right double, "
-                                    "size double").coalesce(1).write.mode("overwrite").parquet(path)
+                                    "size double, features array<string>, max_samples int").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> IsolationForestModel:
+        """The model that :meth:`save` wrote; its scores are the same to the last bit."""
+        table = spark.read.parquet(path)
+        if "features" not in table.columns:
+            raise ValueError(f"{path} holds no features and sample size: it was saved before models could be read back")
+        about = table.select("features", "max_samples").first()
+        if about is None:
+            raise ValueError(f"no forest at {path}")
+        cells = table.select("tree", "node", "feature", "threshold", "left", "right", "size").toPandas()  # bounded, see save
+        return cls(list(about.features), about.max_samples, _node_array(cells))
 
     def score_column(self, df: DataFrame, out: str = "anomaly_score") -> DataFrame:
         """Adds ``out`` = s(x) in (0, 1]; higher means more anomalous."""

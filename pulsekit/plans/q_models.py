@@ -11,12 +11,17 @@ stages, AUC 0.6) only tell a working fit from a broken one.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pulsekit.models import anomaly, mllib_models
 from pulsekit.operators import privacy, split
 from pulsekit.plans.catalog import register
 from pulsekit.plans.oracles import with_vitals
+from pulsekit.plans.scoring import load_run
+from pulsekit.plans.training import save_run
+from pulsekit.session import checkpoint_dir
 from pulsekit.sources.adapter import load_vitals
 
 MODEL_SALT = "pulsekit-model-salt:"
@@ -80,3 +85,36 @@ for _fn, _id, _algorithm, _label, _rows, _quality, _bound, _kw in (
     (mllib_models.train_risk, "risk_score", "HistGradientBoosting", None, "TRUE", "r2_score", 0.94, {}),
 ):
     register(f"model_{_id}", _model_oracle(_id, _algorithm, _label, _rows))(_model_query(_fn, _quality, _bound, **_kw))
+
+
+def _digest(scored, score: str):
+    """Rows and a sum of row digests: equal tables have equal ones, in any order."""
+    row = F.xxhash64("patient_id", "timestamp", F.col(score).cast("double"), F.col("pred").cast("double")).cast("decimal(38,0)")
+    return tuple(scored.agg(F.count("*"), F.sum(row)).first())
+
+
+def _reload_query(fn, score: str):
+    """Fit, save, read back: the model read back scores every validation row as the fitted one did."""
+
+    def q(spark, sf_dir):
+        tagged = _tagged(spark, sf_dir).cache()
+        try:
+            res = fn(tagged)
+            folder = f"{checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+            save_run(spark, res, folder)
+            again = load_run(spark, folder).score(tagged.where("split = 'val'"), ["patient_id", "timestamp"])
+            n, digest = _digest(again, "score")
+            return spark.createDataFrame([(res.model_id, n, (n, digest) == _digest(res.scored, score))],
+                                         "model_id string, n_val long, same_scores boolean")
+        finally:
+            tagged.unpersist()
+
+    return q
+
+
+for _fn, _id, _score in (
+    (anomaly.train_heart_rate, "heart_rate_anomaly", "anomaly_score"),
+    (mllib_models.train_spo2, "spo2_critical", "score"),
+):
+    register(f"model_reload_{_id}", f"SELECT model_id, n_val, TRUE AS same_scores FROM ({_model_oracle(_id, '', None)})")(
+        _reload_query(_fn, _score))

@@ -9,6 +9,7 @@ fits and the model fits themselves.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,6 +24,9 @@ from pulsekit.operators.registry import ModelRegistry, evaluation_report, regist
 from pulsekit.schema import FEATURE_SCHEMA_VERSION
 from pulsekit.sources.io import dataset_fingerprint, read_measurements, write_json
 
+SETTINGS_SCHEMA = "model_id string, algorithm string, hyperparameters string"
+
+
 @dataclass(frozen=True)
 class CatalogEntry:
     """What the catalogue knows of a model beside its training: registry row and gate."""
@@ -85,13 +89,15 @@ def train_one(tagged: DataFrame, model_id: str, **kw):
 
 
 def save_run(spark: SparkSession, res: FitResult, folder: str) -> dict[str, str]:
-    """Model and scaler as tables below ``folder``; their paths by artifact name."""
-    paths = {"model": f"{folder}/model", "normalizer": f"{folder}/scaler"}
+    """Model, scaler and settings as tables below ``folder`` (``scoring.load_run`` reads them); their paths by artifact name."""
+    paths = {"model": f"{folder}/model", "normalizer": f"{folder}/scaler", "settings": f"{folder}/settings"}
     if hasattr(res.model, "write"):
         res.model.write().overwrite().save(paths["model"])
     else:
         res.model.save(spark, paths["model"])
     res.scaler.save(spark, paths["normalizer"])
+    spark.createDataFrame([(res.model_id, res.algorithm, json.dumps(res.hyperparameters))], SETTINGS_SCHEMA).coalesce(
+        1).write.mode("overwrite").parquet(paths["settings"])
     return paths
 
 
