@@ -1,4 +1,4 @@
-"""Supervised models (M2, M4, M5, M6 on MLlib; M7 on :mod:`hist_boosting`).
+"""Supervised models (M2, M4, M6 on MLlib; M5 on :mod:`relu_network`, M7 on :mod:`hist_boosting`).
 
 Training data is the anonymised, split table; the scaler is fitted on the
 train split only and inlined into the scoring projection. Evaluation runs on
@@ -8,13 +8,14 @@ aggregates of ``operators.metrics``.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.models.hist_boosting import fit_hist_boosting
 from pulsekit.models.common import FitResult, assemble, require_two_classes
+from pulsekit.models.relu_network import fit_relu_network
 from pulsekit.operators import features as fx
 from pulsekit.operators import metrics
 from pulsekit.operators.scaling import Scaler
@@ -70,21 +71,19 @@ def train_sleep(tagged: DataFrame, seed: int = 42, split: str = "val", num_trees
                      {"num_trees": num_trees, "max_depth": 6}, scored, rows)
 
 
-def train_activity(tagged: DataFrame, seed: int = 42, split: str = "val", max_iter: int = 250) -> FitResult:
-    """M5: MLP 7-32-16-4 (MLlib: sigmoid hidden layers, L-BFGS)."""
+def train_activity(tagged: DataFrame, seed: int = 42, split: str = "val", max_iter: int = 250, batches: int = 1) -> FitResult:
+    """M5: network 7-32-16-4 with ReLU layers, fitted by Adam in ``max_iter`` epochs of ``batches`` steps."""
     label = "activity_class"
     feats = IMU_AXES + ["accel_magnitude"]
     prepared = fx.activity_features(tagged, keep=["split", label])
     train = prepared.where(F.col("split") == "train")
     scaler = Scaler("standard").fit(train, feats)
-    mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol=label, layers=[7, 32, 16, 4], maxIter=max_iter,
-                                         seed=seed)
-    model = mlp.fit(assemble(train, feats, scaler).withColumn(label, F.col(label).cast("double")))
-    scored = model.transform(assemble(prepared.where(F.col("split") == split), feats, scaler))
+    model = fit_relu_network(scaler.transform(train), feats, label, classes=4, epochs=max_iter, batches=batches, seed=seed)
+    scored = model.transform(scaler.transform(prepared.where(F.col("split") == split)).dropna(subset=feats))
     scored = scored.withColumn("class_name", fx.activity_name("prediction"))
     m = metrics.accuracy(scored.withColumn("pred", F.col("prediction").cast("int")), label, "pred").first().asDict()
-    return FitResult("activity_recognition", "MultilayerPerceptronClassifier", model, scaler, m,
-                     {"layers": [7, 32, 16, 4], "max_iter": max_iter}, scored)
+    return FitResult("activity_recognition", "ReluNetwork", model, scaler, m,
+                     {"layers": [7, 32, 16, 4], "max_iter": max_iter, "batches": batches}, scored)
 
 
 def train_glucose(tagged: DataFrame, seed: int = 42, split: str = "val", max_iter: int = 50) -> FitResult:

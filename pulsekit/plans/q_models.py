@@ -79,7 +79,7 @@ for _fn, _id, _algorithm, _label, _rows, _quality, _bound, _kw in (
     (anomaly.train_combined, "combined_vitals", "DenseAutoencoder", "is_hr_anomaly", "TRUE", "auc_roc", 0.5,
      {"max_iter": 250}),
     (mllib_models.train_sleep, "sleep_quality", "RandomForestClassifier", None, _SLEEPING, "accuracy", 0.2, {}),
-    (mllib_models.train_activity, "activity_recognition", "MultilayerPerceptronClassifier", None, "TRUE", "accuracy", 0.3,
+    (mllib_models.train_activity, "activity_recognition", "ReluNetwork", None, "TRUE", "accuracy", 0.3,
      {"max_iter": 250}),
     (mllib_models.train_glucose, "glucose_patterns", "GBTClassifier", "glucose_pattern_flag", "TRUE", "auc_roc", 0.6, {}),
     (mllib_models.train_risk, "risk_score", "HistGradientBoosting", None, "TRUE", "r2_score", 0.94, {}),

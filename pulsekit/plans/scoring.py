@@ -19,12 +19,14 @@ from pulsekit.models.autoencoder import AutoencoderModel
 from pulsekit.models.common import assemble
 from pulsekit.models.hist_boosting import HistBoostingModel
 from pulsekit.models.isolation_forest import IsolationForestModel
+from pulsekit.models.relu_network import ReluNetworkModel
 from pulsekit.operators import features as fx
 from pulsekit.operators.scaling import Scaler
 from pulsekit.schema import COMBINED_FEATURES, GLUCOSE_FEATURES, HR_FEATURES, IMU_AXES, RISK_FEATURES, SPO2_FEATURES
 
 #: Algorithms of this package; any other is an MLlib model, which names its own class.
-OWN = {"IsolationForest": IsolationForestModel, "DenseAutoencoder": AutoencoderModel, "HistGradientBoosting": HistBoostingModel}
+OWN = {"IsolationForest": IsolationForestModel, "DenseAutoencoder": AutoencoderModel, "HistGradientBoosting": HistBoostingModel,
+       "ReluNetwork": ReluNetworkModel}
 
 #: Model features in the order of training.
 FEATURES = {
@@ -75,7 +77,11 @@ class SavedModel:
             p = fx.clip_prediction("prediction")
             return p, p, self.model.transform(self.scaler.transform(df))
         prepared = {"sleep_quality": fx.sleep_features, "activity_recognition": fx.activity_features}.get(self.model_id)
-        rows = self.model.transform(assemble(prepared(df, keep=keep) if prepared else df, names, self.scaler))
+        rows = prepared(df, keep=keep) if prepared else df
+        if isinstance(self.model, ReluNetworkModel):
+            rows = self.model.transform(self.scaler.transform(rows).dropna(subset=names))
+        else:  # among them activity networks of earlier releases
+            rows = self.model.transform(assemble(rows, names, self.scaler))
         if prepared:
             return F.col("prediction"), F.col("prediction").cast("int"), rows
         if "threshold" in self.settings:
