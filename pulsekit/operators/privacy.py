@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import secrets
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,8 @@ from pulsekit.schema import PII_COLUMNS
 CONSENT_COL = "consent_for_ml_training"
 #: Hex digits of a pseudonymous id.
 TOKEN_LEN = 32
+AUDIT_SCHEMA = ("action string, records_total long, records_consented_processed long, patients_count long, "
+                "dataset string, purpose string")
 
 
 class ConsentError(ValueError):
@@ -90,6 +92,23 @@ def audit_counts(
     )
 
 
+def patient_count(df: DataFrame, id_col: str = "patient_id") -> int:
+    """Different ids that are not NULL; 0 without the column."""
+    return df.agg(F.count_distinct(F.col(id_col))).first()[0] if id_col in df.columns else 0
+
+
+def audit_event(
+    spark: SparkSession,
+    total: int,
+    consented: int,
+    patients: int,
+    dataset: str = "health_measurements",
+    purpose: str = "model_training",
+) -> DataFrame:
+    """The row of :func:`audit_counts` from counts taken elsewhere."""
+    return spark.createDataFrame([("ml_dataset_read", total, consented, patients, dataset, purpose)], AUDIT_SCHEMA)
+
+
 def anonymize(
     df: DataFrame,
     salt: str | None = None,

@@ -20,8 +20,9 @@ from pulsekit.operators import privacy, split
 from pulsekit.plans.catalog import register
 from pulsekit.plans.oracles import with_vitals
 from pulsekit.plans.scoring import load_run
-from pulsekit.plans.training import save_run
-from pulsekit.session import checkpoint_dir
+from pulsekit.plans.training import prepare, save_run
+from pulsekit.schema import ALLOWED_RULES, RANGE_RULES
+from pulsekit.session import checkpoint_dir, remove_table
 from pulsekit.sources.adapter import load_vitals
 
 MODEL_SALT = "pulsekit-model-salt:"
@@ -118,3 +119,26 @@ for _fn, _id, _score in (
 ):
     register(f"model_reload_{_id}", f"SELECT model_id, n_val, TRUE AS same_scores FROM ({_model_oracle(_id, '', None)})")(
         _reload_query(_fn, _score))
+
+
+_VALID = " AND ".join(
+    [f"({c} IS NULL OR {c} BETWEEN {lo} AND {hi})" for c, (lo, hi, _) in RANGE_RULES.items()]
+    + [f"({c} IS NULL OR {c} IN ({', '.join(map(str, allowed))}))" for c, (allowed, _) in ALLOWED_RULES.items()])
+
+
+@register("training_tables", _model_oracle("", "", None, _VALID).replace(
+    "SELECT '' AS model_id, '' AS algorithm, ", "SELECT (SELECT count(*) FROM vitals) AS records_total, "
+    "(SELECT count(*) FROM c0) AS consented, (SELECT count(DISTINCT patient_id) FROM c0) AS patients, ").replace(
+    "CAST(NULL AS BIGINT) AS n_positive, TRUE AS quality_reached", "count(*) FILTER (WHERE split = 'test') AS n_test"))
+def q_training_tables(spark, sf_dir):
+    """What the training plan prepares from one read of the source: audit counts and the rows of every split."""
+    tagged, facts = prepare(spark, load_vitals(spark, sf_dir), salt=MODEL_SALT)
+    try:
+        size = {r["split"]: r["count"] for r in tagged.groupBy("split").count().collect()}  # three rows
+        a = facts["audit"]
+        row = (a["records_total"], a["records_consented_processed"], a["patients_count"],
+               *[size.get(s, 0) for s in ("train", "val", "test")])
+        return spark.createDataFrame([row], "records_total long, consented long, patients long, n_train long, n_val long, n_test long")
+    finally:
+        tagged.unpersist()
+        remove_table(spark, facts["table"])

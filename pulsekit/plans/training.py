@@ -1,15 +1,17 @@
 """End-to-end training plans.
 
-One lazy plan covers anonymise -> quality routing -> split -> features; it
-is persisted once (MEMORY_AND_DISK) and reused by every model fit instead of
-re-reading and re-anonymising the source per model. The boundaries that run
-jobs are the audit aggregate, the quality report, the split count, scaler
-fits and the model fits themselves.
+The source is read once, by one narrow job that writes its anonymised rows to a
+table in the shared folder. A row without consent leaves only its digest there.
+Audit event and fingerprint are aggregates of that table, and quality report,
+routing, split and features read it; the split rows are persisted
+(MEMORY_AND_DISK) and reused by every model fit. A lost executor costs a read of
+the table, never of the source.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,7 +24,8 @@ from pulsekit.models.common import FitResult
 from pulsekit.operators import drift, gates, metrics, privacy, quality, split
 from pulsekit.operators.registry import ModelRegistry, evaluation_report, registry_summary
 from pulsekit.schema import FEATURE_SCHEMA_VERSION
-from pulsekit.sources.io import dataset_fingerprint, read_measurements, write_json
+from pulsekit.session import checkpoint_dir, remove_table
+from pulsekit.sources.io import digests_fingerprint, read_measurements, with_row_digest, write_json
 
 SETTINGS_SCHEMA = "model_id string, algorithm string, hyperparameters string"
 
@@ -54,6 +57,16 @@ TRAINERS = {
 }
 
 
+def _free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def prepare(
     spark: SparkSession,
     source: str | DataFrame,
@@ -65,23 +78,41 @@ def prepare(
     """Anonymise, route invalid rows out (or fail when ``strict_quality``), split by patient.
 
     Returns the persisted tagged table (``split`` column) and run facts
-    (audit row, quality verdict, fingerprint).
+    (audit row, quality verdict, fingerprint). ``facts["table"]`` is the folder of the
+    anonymised rows, which the tagged table reads: remove it (``session.remove_table``)
+    when the run is over.
     """
-    raw = read_measurements(spark, source)
-    anon, audit = privacy.anonymize(raw, salt=salt, audit_sink=audit_sink)
-    facts: dict = {"audit": audit}
-    if strict_quality:
-        facts["quality"] = quality.require_valid(anon)
-        valid = anon
-    else:
-        routed = quality.quarantine(anon)
-        valid = routed.where("is_valid").drop("reasons", "is_valid")
-        facts["quality"] = quality.validate(anon)
-    tagged = split.split_by_patient(valid, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    fp = dataset_fingerprint(raw).first()  # whole-row digests, order-insensitive
-    facts["dataset_hash"] = fp.fingerprint
-    facts["sample_count"] = fp.n_rows
-    return tagged, facts
+    rows = read_measurements(spark, source)
+    privacy.consent_filter(rows)  # refuses tables without the flag before anything runs
+    digest, agreed = _free_names(rows, "__digest", "__agreed")
+    marked = with_row_digest(rows, digest).withColumn(agreed, F.coalesce(F.col(privacy.CONSENT_COL), F.lit(False)))
+    anon = privacy.pseudonymize(privacy.drop_pii(marked), salt or privacy.new_salt())
+    names = [c for c in anon.columns if c not in (digest, agreed)]
+    anon = anon.select(*[F.when(F.col(agreed), F.col(f"`{c}`")).alias(c) for c in names], digest, agreed)
+    facts: dict = {"table": f"{checkpoint_dir(spark)}/anonymised-{uuid.uuid4().hex}"}
+    try:
+        anon.write.parquet(facts["table"])
+        stored = spark.read.schema(anon.schema).parquet(facts["table"])
+        seen = stored.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(agreed)).alias("consented"),
+                          digests_fingerprint(digest).alias("fingerprint")).first()
+        if not seen.consented:
+            raise privacy.ConsentError("Zero records with active consent for ML training.")
+        anon = stored.where(F.col(agreed)).drop(digest, agreed)
+        audit = privacy.audit_event(spark, seen.n, seen.consented, privacy.patient_count(anon))
+        if audit_sink:
+            audit.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(audit_sink)
+        facts["audit"] = audit.first().asDict()
+        facts["dataset_hash"], facts["sample_count"] = seen.fingerprint, seen.n
+        if strict_quality:
+            facts["quality"] = quality.require_valid(anon)
+            valid = anon
+        else:
+            facts["quality"] = quality.validate(anon)
+            valid = quality.quarantine(anon).where("is_valid").drop("reasons", "is_valid")
+        return split.split_by_patient(valid, seed=seed).persist(StorageLevel.MEMORY_AND_DISK), facts
+    except Exception:
+        remove_table(spark, facts["table"])
+        raise
 
 
 def train_one(tagged: DataFrame, model_id: str, **kw):
@@ -165,3 +196,4 @@ def run_catalog(
         return out
     finally:
         tagged.unpersist()
+        remove_table(spark, facts.pop("table"))

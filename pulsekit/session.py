@@ -75,6 +75,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a table that this library wrote for its own use, on any file system."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the Python workers of every executor (once a context).
 

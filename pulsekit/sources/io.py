@@ -152,18 +152,33 @@ def row_digest(cols: list[str | Column]) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
+def _fingerprint_columns(df: DataFrame) -> list[str | Column]:
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    return [F.to_json(f"`{f.name}`") if isinstance(f.dataType, nested) else f.name for f in df.schema.fields]
+
+
+def _lanes(digest: str) -> list[Column]:
+    return [F.sum(F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(38,0)")).cast("string") for at in range(1, 65, 15)]
+
+
 def dataset_fingerprint(df: DataFrame, cols: list[str | Column] | None = None) -> DataFrame:
     """(n_rows, fingerprint): the rows' SHA-256 digests, summed in lanes of 60 bits, exact in decimal(38,0).
 
     All 256 bits and, by default, all columns count (those without a text form as JSON).
     A sum is independent of row order and partitioning, hence stable under retries.
     """
-    if cols is None:
-        nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
-        cols = [F.to_json(f"`{f.name}`") if isinstance(f.dataType, nested) else f.name for f in df.schema.fields]
-    digests = df.select(row_digest(cols).alias("h"))
-    lanes = [F.sum(F.conv(F.substring("h", at, 15), 16, 10).cast("decimal(38,0)")).cast("string") for at in range(1, 65, 15)]
-    return digests.agg(F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", *lanes).alias("fingerprint"))
+    digests = df.select(row_digest(_fingerprint_columns(df) if cols is None else cols).alias("h"))
+    return digests.agg(F.count(F.lit(1)).alias("n_rows"), digests_fingerprint("h").alias("fingerprint"))
+
+
+def with_row_digest(df: DataFrame, out: str) -> DataFrame:
+    """Each row's SHA-256 over all columns, for a later :func:`digests_fingerprint`."""
+    return df.withColumn(out, row_digest(_fingerprint_columns(df)))
+
+
+def digests_fingerprint(digest: str) -> Column:
+    """S11 as an aggregate over a column of :func:`with_row_digest`: that of :func:`dataset_fingerprint`."""
+    return F.concat_ws("-", *_lanes(digest))
 
 
 # ---------------------------------------------------------------------------
