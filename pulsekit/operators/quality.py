@@ -7,12 +7,15 @@ reference scanned each column four to five times.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsekit.schema import ALLOWED_RULES, RANGE_RULES
 
+#: Invalid values that a report names; it says how many more there are (all of them: ``invalid_values``).
+NAMED_VALUES = 20
+
 REPORT_SCHEMA = "column_name string, check_name string, severity string, violations bigint, detail string"
 
 
@@ -55,6 +58,49 @@ def null_counts(df: DataFrame) -> DataFrame:
     return wide.selectExpr(f"inline(array({rows}))", "__total AS total_records")
 
 
+def _not_allowed_sql(df: DataFrame, c: str, allowed) -> str:
+    allowed_sql = ", ".join(f"{float(a)!r}D" for a in allowed)
+    return f"(NOT {_missing_sql(df, c)} AND CAST({_q(c)} AS DOUBLE) NOT IN ({allowed_sql}))"
+
+
+def invalid_values(df: DataFrame, allowed_rules: dict | None = None, by: list[str] | None = None) -> DataFrame:
+    """A5/O4 as rows: (by..., column_name, value, place, n) for every different value outside its column's allowed set.
+
+    ``value`` is text, ``place`` its number. A grouped count with map-side partial
+    aggregation of the violating rows only: any number of different values, nothing
+    collected. Missing values and columns that ``df`` lacks give no row.
+    """
+    allowed_rules = ALLOWED_RULES if allowed_rules is None else allowed_rules
+    cells = [
+        f"CASE WHEN {_not_allowed_sql(df, c, allowed)} THEN named_struct('column_name', {_lit_sql(c)}, "
+        f"'value', CAST({_q(c)} AS STRING), 'place', CAST({_q(c)} AS DOUBLE)) END"
+        for c, (allowed, _) in allowed_rules.items() if c in df.columns
+    ] or ["CAST(NULL AS struct<column_name: string, value: string, place: double>)"]
+    keys = [_q(b) for b in by or []]
+    rows = df.selectExpr(*keys, f"inline(array_compact(array({', '.join(cells)})))")
+    return rows.groupBy(*keys, "column_name", "value", "place").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _named_values(df: DataFrame, allowed_rules: dict, by: list[str]) -> DataFrame:
+    """(by..., column_name, named): the smallest ``NAMED_VALUES`` invalid values and the number of others."""
+    values = invalid_values(df, allowed_rules, by)
+    keys = [F.col(_q(b)) for b in by]
+    order = Window.partitionBy(*keys, "column_name").orderBy("place", "value")
+    first = values.withColumn("__nth", F.row_number().over(order)).where(F.col("__nth") <= NAMED_VALUES)
+    # at most NAMED_VALUES values a group are collected
+    named = first.groupBy(*keys, "column_name").agg(F.array_sort(F.collect_list(F.struct("__nth", "value"))).alias("__first"))
+    total = values.groupBy(*keys, "column_name").agg(F.count(F.lit(1)).alias("__total"))
+    same = [named[_q(b)].eqNullSafe(total[_q(b)]) for b in [*by, "column_name"]]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    text = F.array_join("__first.value", ",")
+    more = F.col("__total") - NAMED_VALUES
+    return named.join(total, cond).select(
+        *[named[_q(b)] for b in by], named["column_name"],
+        F.when(more > 0, F.concat(text, F.lit(" and "), more.cast("string"), F.lit(" more"))).otherwise(text).alias("named"))
+
+
 def quality_report(
     df: DataFrame,
     range_rules: dict | None = None,
@@ -66,11 +112,11 @@ def quality_report(
 
     Checks: id presence / nulls (error), required columns (error), nulls per rule
     column (warning), values below / above inclusive bounds (error), values
-    outside an allowed set (error, detail = sorted invalid values; allowed-set
-    rules are for categorical columns, whose distinct values are few). A check
-    that passes has severity 'ok'. With ``by`` the same report is produced per
+    outside an allowed set (error, detail = sorted invalid values, the first
+    ``NAMED_VALUES`` of them and how many more). A check that passes has severity 'ok'. With ``by`` the same report is produced per
     group (a grouped aggregate instead of a global one). All counters are one
-    aggregate, written as SQL expression strings (cheap to build).
+    aggregate, written as SQL expression strings (cheap to build); the details come
+    from a second pass over the columns with an allowed set.
     """
     range_rules = RANGE_RULES if range_rules is None else range_rules
     allowed_rules = ALLOWED_RULES if allowed_rules is None else allowed_rules
@@ -113,22 +159,26 @@ def quality_report(
             if required:
                 row(c, "present", "'error'", "1", "'required column missing'")
             continue
-        miss = _missing_sql(df, c)
-        allowed_sql = ", ".join(f"{float(a)!r}D" for a in allowed)
-        bad = f"(NOT {miss} AND CAST({_q(c)} AS DOUBLE) NOT IN ({allowed_sql}))"
         aggs += [
-            f"count_if({miss}) AS s{j}_null",
-            f"count_if({bad}) AS s{j}_bad",
-            f"array_join(array_sort(collect_set(CASE WHEN {bad} THEN {_q(c)} END)), ',') AS s{j}_vals",
+            f"count_if({_missing_sql(df, c)}) AS s{j}_null",
+            f"count_if({_not_allowed_sql(df, c, allowed)}) AS s{j}_bad",
         ]
         counted(c, "nulls", f"s{j}_null", "warning")
-        counted(c, "allowed_set", f"s{j}_bad", "error", f"coalesce(s{j}_vals, '')")
+        counted(c, "allowed_set", f"s{j}_bad", "error")
 
     if not aggs:
         aggs = ["count(1) AS __n"]
     agg_cols = [F.expr(x) for x in aggs]
     wide = df.groupBy(*by).agg(*agg_cols) if by else df.agg(*agg_cols)
-    return wide.selectExpr(*[_q(b) for b in by], f"inline(array({', '.join(rows)}))")
+    report = wide.selectExpr(*[_q(b) for b in by], f"inline(array({', '.join(rows)}))")
+    if not any(c in df.columns for c in allowed_rules):
+        return report
+    named = _named_values(df, allowed_rules, by)
+    cond = (report["column_name"] == named["column_name"]) & (report["check_name"] == "allowed_set")
+    for b in by:
+        cond = cond & report[_q(b)].eqNullSafe(named[_q(b)])
+    others = [report[_q(c)] for c in report.columns if c != "detail"]
+    return report.join(named, cond, "left").select(*others, F.coalesce(named["named"], report["detail"]).alias("detail"))
 
 
 def quality_verdict(report: DataFrame, total: DataFrame | None = None) -> DataFrame:

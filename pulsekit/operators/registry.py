@@ -58,10 +58,14 @@ def clean_artifacts(m: str | Column) -> Column:
 
 
 def latest_per_key(entries: DataFrame, key_cols: list[str] | None = None, order_col: str = "registered_at") -> DataFrame:
-    """G7 read path: last write wins per (model_id, version)."""
+    """G7 read path: last write wins per (model_id, version).
+
+    Of entries written at the same time, the one whose text is greatest wins, on every read.
+    """
     key_cols = key_cols or ["model_id", "version"]
     others = [c for c in entries.columns if c not in key_cols]
-    latest = entries.groupBy(*key_cols).agg(F.max_by(F.struct(*others), F.col(order_col)).alias("__e"))
+    order = F.struct(F.col(order_col), F.to_json(F.struct(*others)))
+    latest = entries.groupBy(*key_cols).agg(F.max_by(F.struct(*others), order).alias("__e"))
     return latest.select(*key_cols, "__e.*")
 
 

@@ -112,6 +112,13 @@ def q_null_counts(spark, sf_dir):
     return quality.null_counts(load_vitals(spark, sf_dir))
 
 
+@register("invalid_values", with_vitals(" UNION ALL ".join(
+    f"SELECT patient_id, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM vitals "
+    f"WHERE {c} NOT IN ({', '.join(map(str, allowed))}) GROUP BY ALL" for c, (allowed, _r) in ALLOWED_RULES.items())))
+def q_invalid_values(spark, sf_dir):
+    return quality.invalid_values(load_vitals(spark, sf_dir), by=["patient_id"]).drop("place")
+
+
 def _quarantine_oracle() -> str:
     reasons = []
     for c, (lo, hi, _r) in RANGE_RULES.items():
