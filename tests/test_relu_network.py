@@ -53,20 +53,19 @@ def test_tasks_add_up_to_one_pass(spark):
     assert np.allclose(got, _flatten(want) / len(pdf), atol=1e-11) and total == pytest.approx(loss, rel=1e-9)
 
 
-@pytest.mark.parametrize("batches,epochs", [(1, 120), (4, 40)])
-def test_learns_rings_and_again_alike(spark, batches, epochs):
-    df = _rings(spark).repartition(3).cache()
-    models = [fit_relu_network(df, ["a", "b"], "k", 3, epochs=epochs, batches=batches) for _ in range(2)]
-    assert _share_right(models[0].transform(df)) > 0.97
-    assert all(np.array_equal(p, q) for p, q in zip(models[0].params, models[1].params))
-
-
-def test_not_behind_the_sigmoid_network(spark):
-    df = _rings(spark).cache()
+def test_learns_rings_as_well_as_the_sigmoid_network(spark):
+    df = _rings(spark).coalesce(2).cache()
     rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
     other = MultilayerPerceptronClassifier(featuresCol="features", labelCol="k", layers=[2, 32, 16, 3], maxIter=120, seed=42).fit(rows)
-    ours = fit_relu_network(df, ["a", "b"], "k", 3, epochs=120)
-    assert _share_right(ours.transform(df)) >= _share_right(other.transform(rows))
+    right = _share_right(fit_relu_network(df, ["a", "b"], "k", 3, epochs=120).transform(df))
+    assert right > 0.97 and right >= _share_right(other.transform(rows))
+
+
+def test_batches_learn_and_again_alike(spark):
+    df = _rings(spark).repartition(3).cache()
+    assert _share_right(fit_relu_network(df, ["a", "b"], "k", 3, epochs=25, batches=4).transform(df)) > 0.97
+    one, two = (fit_relu_network(df, ["a", "b"], "k", 3, epochs=3, batches=4) for _ in range(2))
+    assert all(np.array_equal(p, q) for p, q in zip(one.params, two.params))
 
 
 def test_odd_rows(spark, tmp_path):
@@ -95,5 +94,5 @@ def test_activity_from_movement(spark):
         rows.append((f"p{i % 40}", *[rng.choice((-1, 1)) * spread * rng.uniform(0.8, 1.2) for _ in range(6)], k))
     df = spark.createDataFrame(rows, "patient_id string, accel_x double, accel_y double, accel_z double, gyro_x double, "
                                      "gyro_y double, gyro_z double, activity_class int")
-    res = mllib_models.train_activity(split.split_by_patient(df), max_iter=80)
+    res = mllib_models.train_activity(split.split_by_patient(df), max_iter=40)
     assert res.metrics["accuracy"] > 0.95 and res.algorithm == "ReluNetwork"
