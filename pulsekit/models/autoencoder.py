@@ -1,13 +1,10 @@
 """Data-parallel dense autoencoder (M3): 6-16-4-16-6, ReLU, Adam.
 
 Each iteration is one Spark job: every partition computes the gradient sum
-of the squared reconstruction loss over its rows with NumPy
-(``mapInPandas``) and emits it in long form (parameter index, value); a
-grouped sum with map-side partial aggregation adds the partitions, so the
-driver receives 363 numbers whatever the partition count, and takes an Adam
-step on the 362 parameters. The training frame is persisted once
-(MEMORY_AND_DISK) and reused by every iteration; each iteration is a full
-pass, so for very large tables fit on a seeded-hash sample of the training
+of the squared reconstruction loss over its rows with NumPy, and the
+driver, which receives 363 numbers a core whatever the rows, takes an Adam step on the 362 parameters. The training rows are persisted once as
+blocks of numbers (:mod:`blocks`, MEMORY_AND_DISK) and reused by every
+iteration; each iteration is a full pass, so for very large tables fit on a seeded-hash sample of the training
 split (the caller's choice: the model is defined by its training rows). Scoring is an Arrow
 ``pandas_udf``: error = mean squared reconstruction error per row.
 """
@@ -23,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsekit.models.blocks import PASS_ROWS, number_blocks, summing
+
 LAYERS = [6, 16, 4, 16, 6]
 
 
@@ -54,8 +53,10 @@ def _forward(params, x):
     h = x
     n_layers = len(params) // 2
     for k in range(n_layers):
-        z = h @ params[2 * k] + params[2 * k + 1]
-        h = z if k == n_layers - 1 else np.maximum(z, 0.0)
+        h = h @ params[2 * k]
+        h += params[2 * k + 1]
+        if k < n_layers - 1:
+            np.maximum(h, 0.0, out=h)
         acts.append(h)
     return acts
 
@@ -71,7 +72,8 @@ def _grad_sum(params, x):
         grads[2 * k] = acts[k].T @ delta
         grads[2 * k + 1] = delta.sum(axis=0)
         if k > 0:
-            delta = (delta @ params[2 * k].T) * (acts[k] > 0)
+            delta = delta @ params[2 * k].T
+            delta *= acts[k] > 0
     return grads, loss
 
 
@@ -122,9 +124,10 @@ def fit_autoencoder(
 ) -> AutoencoderModel:
     """Full-batch Adam on the distributed gradient; stops early when the loss stalls."""
     layers = layers or [len(features), 16, 4, 16, len(features)]
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in features]).dropna().persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in features]).dropna()
+    data = number_blocks(rows, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = data.count()
+        n = (data.agg(F.sum(F.length("x"))).first()[0] or 0) // (8 * len(features))
         if n == 0:
             raise ValueError("no rows to fit the autoencoder")
         params = _init(layers, seed)
@@ -133,26 +136,20 @@ def fit_autoencoder(
         b1, b2, eps = 0.9, 0.999, 1e-8
         prev = None
         size = len(vec)
-        schema = T.StructType([T.StructField("idx", T.IntegerType()), T.StructField("g", T.DoubleType())])
+        run = summing(data, len(features))
         for it in range(1, max_iter + 1):
             cur = _unflatten(vec, layers)
 
-            def part(it_batches, cur=cur):
-                g_tot = np.zeros(size)
-                l_tot = 0.0
-                for pdf in it_batches:
-                    if len(pdf) == 0:
-                        continue
-                    g, l = _grad_sum(cur, pdf[features].to_numpy(dtype=float))
-                    g_tot += _flatten(g)
-                    l_tot += l
-                # long form: index -1 carries the loss; summed by a partial aggregate
-                yield pd.DataFrame({"idx": np.arange(-1, size, dtype=np.int32), "g": np.concatenate([[l_tot], g_tot])})
-
-            sums = data.mapInPandas(part, schema).groupBy("idx").agg(F.sum("g").alias("g")).collect()
-            total = np.zeros(size + 1)
-            for r in sums:
-                total[r.idx + 1] = r.g
+            def part(blocks, cur=cur):
+                total = np.zeros(size + 1)  # the loss comes first
+                for rows in blocks:
+                    for at in range(0, len(rows), PASS_ROWS):
+                        g, l = _grad_sum(cur, rows[at : at + PASS_ROWS])
+                        total[0] += l
+                        total[1:] += _flatten(g)
+                return total
+
+            total = run(part)
             grad = total[1:] / n + alpha * vec
             loss = total[0] / n
             m1 = b1 * m1 + (1 - b1) * grad

@@ -3,10 +3,10 @@
 Features are cut into at most ``max_bins`` quantile bins once; the binned rows
 are written as blocks (bytes of bins, targets, predictions) of bounded size.
 A tree needs, for a node, the sum of residuals and the number of rows per
-feature and bin. Tasks sum these over their blocks, a grouped sum with map-side
-partial aggregation adds the tasks up, and the driver receives at most
-``features x max_bins`` numbers a node, whatever the rows. Only the smaller
-child of a split is counted; its sibling is the parent less the child.
+feature and bin. Tasks sum these over their blocks, a reduction by node adds
+the tasks up, and the driver receives at most ``features x max_bins`` numbers a
+node, whatever the rows. Only the smaller child of a split is counted; its
+sibling is the parent less the child.
 
 Trees grow best-first: of all leaves the one whose split gains most is split
 next, up to ``max_leaves``. One pass over the data counts all leaves that may
@@ -14,9 +14,9 @@ be next at once; what a leaf-wise order would not have reached is left out when
 the tree is cut out of the nodes whose gains are known. So a tree takes about
 as many passes as it is deep, and its splits are those of one-at-a-time growth.
 
-Tasks route rows through the trees that are newer than their blocks; every
-``FOLD`` trees the blocks are written anew with their predictions, which bounds
-that work and the lineage. Lost executors cost the reading of a written block.
+The blocks are persisted anew after each tree, with its predictions added, in
+the job that counts the next root; so a row passes each tree once. Every ``FOLD``
+trees they are checkpointed, which bounds the lineage and what a lost executor costs.
 """
 
 from __future__ import annotations
@@ -26,14 +26,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsekit.models.blocks import deal, gathered
 from pulsekit.operators.ordered import materialize
 from pulsekit.session import ship_package
 
-BLOCK_ROWS, FOLD = 50_000, 10
-_BLOCK = "bins binary, y binary, pred binary"
+FOLD = 10
+#: bins (a row a feature), labels and predictions of some rows
+Block = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 @dataclass
@@ -56,22 +59,26 @@ class Tree:
         self.left[node], self.right[node] = self.add(values[0]), self.add(values[1])
         return self.left[node], self.right[node]
 
-    def route(self, bins: np.ndarray) -> np.ndarray:
-        """The leaf of every row; nodes come before their children."""
-        at = np.zeros(len(bins), np.int32)
+    def leaves(self, bins: np.ndarray) -> dict[int, np.ndarray]:
+        """The rows of every leaf; nodes come before their children."""
+        rows = {0: np.arange(len(bins))}
         for k, f in enumerate(self.feature):
             if f >= 0:
-                rows = np.flatnonzero(at == k)
-                at[rows] = np.where(bins[rows, f] <= self.cut[k], self.left[k], self.right[k])
-        return at
+                mine = rows.pop(k)
+                goes = bins[:, f][mine] <= self.cut[k]
+                rows[self.left[k]], rows[self.right[k]] = mine[goes], mine[~goes]
+        return rows
 
     def predict(self, bins: np.ndarray) -> np.ndarray:
-        return np.asarray(self.value)[self.route(bins)]
+        out = np.empty(len(bins))
+        for k, rows in self.leaves(bins).items():
+            out[rows] = self.value[k]
+        return out
 
 
 def bin_rows(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     """Number of edges below each value; a missing value lies above all others."""
-    out = np.empty(x.shape, np.uint8)
+    out = np.empty(x.shape, np.uint8, order="F")  # trees look at one feature at a time
     for f, e in enumerate(edges):
         out[:, f] = np.where(np.isnan(x[:, f]), len(e), np.searchsorted(e, x[:, f], side="left"))
     return out
@@ -173,58 +180,56 @@ class HistBoostingModel:
         return cls(list(r.features), [np.array(e, float) for e in r.edges], [Tree(*map(list, t)) for t in r.trees], r.base)
 
 
-def _blocks(features: list[str], label: str, edges: list[np.ndarray], base: float):
+def _blocks(features: list[str], label: str, edges: list[np.ndarray]):
     def run(parts):
-        for part in parts:
-            for at in range(0, len(part), BLOCK_ROWS):
-                rows = part.iloc[at : at + BLOCK_ROWS]
-                bins = bin_rows(rows[features].to_numpy(float), edges)
-                y = rows[label].to_numpy(np.float64)
-                yield pd.DataFrame({"bins": [bins.tobytes()], "y": [y.tobytes()], "pred": [np.full(len(y), base).tobytes()]})
+        for rows in gathered(parts):
+            bins = bin_rows(rows[features].to_numpy(float), edges)
+            yield pd.DataFrame({"bins": [bins.tobytes(order="F")], "y": [rows[label].to_numpy(np.float64).tobytes()]})
 
     return run
 
 
-def _unpack(row, n_features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(row.bins, np.uint8).reshape(-1, n_features), np.frombuffer(row.y), np.frombuffer(row.pred).copy()
+def _unpack(n_features: int, base: float):
+    def run(row) -> Block:
+        y = np.frombuffer(row.y)
+        return np.frombuffer(row.bins, np.uint8).reshape(n_features, -1), y, np.full(len(y), base)
 
+    return run
 
-def _advance(n_features: int, trees: list[Tree]):
-    def run(parts):
-        for part in parts:
-            for row in part.itertuples(index=False):
-                bins, _, pred = _unpack(row, n_features)
-                for t in trees:
-                    pred += t.predict(bins)
-                yield pd.DataFrame({"bins": [row.bins], "y": [row.y], "pred": [pred.tobytes()]})
 
-    return run
+def _advance(tree: Tree):
+    def run(block: Block) -> Block:
+        bins, y, pred = block
+        return bins, y, pred + tree.predict(bins.T)
 
+    return run
 
-def _count(n_features: int, n_bins: int, trees: list[Tree], growing: Tree, wanted: list[int]):
-    """Task: per wanted node and (feature, bin) the sum of residuals and the number of rows."""
 
-    def run(parts):
-        size = n_features * n_bins
-        total, count = np.zeros((len(wanted), size)), np.zeros((len(wanted), size), np.int64)
-        offset = np.arange(n_features) * n_bins
-        for part in parts:
-            for row in part.itertuples(index=False):
-                bins, y, pred = _unpack(row, n_features)
-                for t in trees:
-                    pred += t.predict(bins)
-                at, res = growing.route(bins), pred - y
-                for k, node in enumerate(wanted):
-                    rows = np.flatnonzero(at == node)
-                    slot = (bins[rows] + offset).ravel()
-                    total[k] += np.bincount(slot, np.repeat(res[rows], n_features), size)
-                    count[k] += np.bincount(slot, minlength=size)
-        k, slot = np.nonzero(count)
-        yield pd.DataFrame({"node": k.astype(np.int32), "slot": slot.astype(np.int32), "g": total[k, slot], "n": count[k, slot]})
+def _count(n_features: int, n_bins: int, growing: Tree, wanted: list[int]):
+    """Task: (place in ``wanted``, (sums of residuals, numbers of rows) by feature and bin) of every wanted node."""
+
+    def run(blocks):
+        total = np.zeros((len(wanted), n_features, n_bins))
+        count = np.zeros((len(wanted), n_features, n_bins), np.int64)
+        for bins, y, pred in blocks:
+            leaves, res = growing.leaves(bins.T), pred - y
+            for k, node in enumerate(wanted):
+                rows = leaves[node]
+                mine = res[rows]
+                for f in range(n_features):
+                    at = bins[f][rows]
+                    total[k, f] += np.bincount(at, mine, n_bins)
+                    count[k, f] += np.bincount(at, minlength=n_bins)
+        for k in np.flatnonzero(count[:, 0].any(axis=1)).tolist():
+            yield k, (total[k], count[k])
 
     return run
 
 
+def _add(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return a[0] + b[0], a[1] + b[1]
+
+
 def fit_hist_boosting(df: DataFrame, features: list[str], label: str, rounds: int = 120, rate: float = 0.1, max_leaves: int = 31,
                       least: int = 20, max_bins: int = 255) -> HistBoostingModel:
     """Squared-error boosting of leaf-wise trees; rows without a label do not train. Raises if none has one.
@@ -244,20 +249,32 @@ def fit_hist_boosting(df: DataFrame, features: list[str], label: str, rounds: in
         raise ValueError("no row has a label")
     edges = [np.unique(np.array(facts[c] or [], float)) for c in features]
     n_features, n_bins = len(features), max_bins + 1
-    blocks = materialize(data.mapInPandas(_blocks(features, "__y", edges, facts["__base"]), _BLOCK))
-    model, fresh = HistBoostingModel(list(features), edges, [], facts["__base"]), []
+    table = materialize(deal(data.mapInPandas(_blocks(features, "__y", edges), "bins binary, y binary")))
+    blocks = table.rdd.map(_unpack(n_features, facts["__base"])).persist(StorageLevel.MEMORY_AND_DISK)
+    model, kept = HistBoostingModel(list(features), edges, [], facts["__base"]), [blocks]
 
     def histograms(tree: Tree, wanted: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
-        found = blocks.mapInPandas(_count(n_features, n_bins, fresh, tree, wanted), "node int, slot int, g double, n long").groupBy(
-            "node", "slot").agg(F.sum("g").alias("g"), F.sum("n").alias("n")).toPandas()  # features x bins rows a node
-        total, count = np.zeros((len(wanted), n_features * n_bins)), np.zeros((len(wanted), n_features * n_bins), np.int64)
-        total[found.node, found.slot], count[found.node, found.slot] = found.g, found.n
-        return [(a.reshape(n_features, n_bins), b.reshape(n_features, n_bins)) for a, b in zip(total, count)]
+        found = kept[-1].mapPartitions(_count(n_features, n_bins, tree, wanted)).reduceByKey(
+            _add, min(len(wanted), kept[-1].getNumPartitions())).collectAsMap()  # one histogram a node
+        none = np.zeros((n_features, n_bins)), np.zeros((n_features, n_bins), np.int64)
+        return [found.get(k, none) for k in range(len(wanted))]
+
+    try:
+        _grow(model, kept, histograms, rounds, rate, max_leaves, least)
+    finally:
+        for old in kept:
+            old.unpersist()
+    return model
 
+
+def _grow(model: HistBoostingModel, kept: list[RDD], histograms, rounds: int, rate: float, max_leaves: int, least: int) -> None:
+    """Adds the trees; ``kept`` holds the blocks of the last tree, and of the one before until those are there."""
     for _ in range(rounds):
         stump = Tree()
         stump.add(0.0)
         root = _Node(*histograms(stump, [0])[0], least)
+        while len(kept) > 1:
+            kept.pop(0).unpersist()  # the newer blocks are there
         tree, need = cut_out(root, max_leaves, rate)
         while need:
             smaller = [tree.left[at] if node.sides()[0][1] <= node.sides()[1][1] else tree.right[at] for at, node in need]
@@ -268,8 +285,7 @@ def fit_hist_boosting(df: DataFrame, features: list[str], label: str, rounds: in
         if len(tree.feature) == 1:
             break  # nothing gains any more
         model.trees.append(tree)
-        fresh.append(tree)
-        if len(fresh) == FOLD:
-            blocks = materialize(blocks.mapInPandas(_advance(n_features, list(fresh)), _BLOCK))
-            fresh.clear()
-    return model
+        following = kept[-1].map(_advance(tree)).persist(StorageLevel.MEMORY_AND_DISK)
+        if len(model.trees) % FOLD == 0:
+            following.checkpoint()  # written by the next job
+        kept.append(following)

@@ -1,13 +1,12 @@
 """Data-parallel classifier network (M5): ReLU hidden layers, softmax output, Adam.
 
 One step is one Spark job over one batch of the rows: every task adds up the
-cross-entropy gradient of its rows with NumPy, a grouped sum with map-side partial
-aggregation adds the tasks, and the driver, which receives one number a parameter
-however many rows or tasks there are, takes the Adam step.
+cross-entropy gradient of its rows with NumPy, and the driver, which receives one
+number a parameter and core however many rows there are, takes the Adam step.
 
 Rows are dealt to batches by a seeded hash of their values, so a batch is the same
-under any partitioning. They lie in the persisted table in the order of their
-batch, and Spark's statistics of cached blocks let a step pass over the others;
+under any partitioning. They are persisted in blocks (:mod:`blocks`), each of one
+batch, so that a step reads its rows without converting them again;
 ``batches=1`` makes every step a full pass. Gradients are added as whole numbers
 of 2^-44, which makes the sum the same in whatever order tasks finish.
 """
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsekit.models.autoencoder import _flatten, _forward, _init, _unflatten
+from pulsekit.models.blocks import PASS_ROWS, number_blocks, summing
 
 #: Gradients of a step are whole numbers of 1 / SCALE, and are cut at +-LIMIT (a sum of 2^16 tasks still fits 64 bits).
 SCALE, LIMIT = 2.0 ** 44, 4.0
@@ -46,7 +46,8 @@ def gradient(params: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[li
     for k in range(len(params) // 2 - 1, -1, -1):
         grads[2 * k], grads[2 * k + 1] = acts[k].T @ delta, delta.sum(axis=0)
         if k:
-            delta = (delta @ params[2 * k].T) * (acts[k] > 0)
+            delta = delta @ params[2 * k].T
+            delta *= acts[k] > 0
     return grads, loss
 
 
@@ -120,11 +121,14 @@ def fit_relu_network(
         rows = rows.where(F.abs(c) < float("inf"))  # neither NULL nor NaN is below
     rows = rows.withColumn("y", F.col("y").cast("int")).withColumn(
         "batch", F.pmod(F.xxhash64(F.lit(seed), *names, "y"), F.lit(batches)).cast("int"))
-    rows = rows.sortWithinPartitions("batch").persist(StorageLevel.MEMORY_AND_DISK)
+    width = len(names) + 1
+    blocks = number_blocks(rows.sortWithinPartitions("batch"), [*names, "y"], "batch").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes = dict(rows.groupBy("batch").count().collect())  # one row a batch
+        found = blocks.groupBy("by").agg((F.sum(F.length("x")) / (8 * width)).cast("long")).collect()  # one row a batch
+        sizes = dict(map(tuple, found))
         if not sizes:
             raise ValueError("no rows to fit the network")
+        passes = {b: summing(blocks.where(F.col("by") == b) if len(sizes) > 1 else blocks, width) for b in sizes}
         layers = [len(features), *hidden, classes]
         vec = _flatten(_init(layers, seed))
         m1, m2 = np.zeros_like(vec), np.zeros_like(vec)
@@ -132,8 +136,7 @@ def fit_relu_network(
         for _ in range(epochs):
             total = 0.0
             for b in sorted(sizes):
-                batch = rows.where(F.col("batch") == b) if len(sizes) > 1 else rows
-                grad, loss = _batch_gradient(batch, names, _unflatten(vec, layers), sizes[b])
+                grad, loss = _mean_gradient(passes[b], _unflatten(vec, layers), sizes[b])
                 total += loss
                 grad = grad + alpha * vec
                 step += 1
@@ -146,27 +149,28 @@ def fit_relu_network(
             prev = mean
         return ReluNetworkModel(list(features), _unflatten(vec, layers))
     finally:
-        rows.unpersist()
+        blocks.unpersist()
 
 
 def _batch_gradient(batch: DataFrame, names: list[str], params: list[np.ndarray], n: int) -> tuple[np.ndarray, float]:
+    """Mean gradient and summed loss of the ``n`` rows of ``batch`` (label ``y``)."""
+    return _mean_gradient(summing(number_blocks(batch, [*names, "y"]), len(names) + 1), params, n)
+
+
+def _mean_gradient(run, params: list[np.ndarray], n: int) -> tuple[np.ndarray, float]:
     """Mean gradient and summed loss of one batch of ``n`` rows; one job."""
     size = sum(p.size for p in params)
 
-    def part(frames):
+    def part(blocks):
         grad, loss = np.zeros(size), 0.0
-        for pdf in frames:
-            if len(pdf):
-                g, l = gradient(params, pdf[names].to_numpy(dtype=float), pdf["y"].to_numpy())
+        for rows in blocks:
+            for at in range(0, len(rows), PASS_ROWS):
+                x = rows[at : at + PASS_ROWS]
+                g, l = gradient(params, x[:, :-1], x[:, -1].astype(np.int64))
                 grad += _flatten(g)
                 loss += l
-        # index -1 carries the loss
         mean = np.concatenate([[loss], grad]) / n
-        whole = np.rint(np.clip(mean, -LIMIT, LIMIT) * SCALE).astype(np.int64)
-        yield pd.DataFrame({"idx": np.arange(-1, size, dtype=np.int32), "g": whole})
+        return np.rint(np.clip(mean, -LIMIT, LIMIT) * SCALE).astype(np.int64)
 
-    sums = batch.mapInPandas(part, "idx int, g long").groupBy("idx").agg(F.sum("g").alias("g")).collect()
-    out = np.zeros(size + 1)
-    for r in sums:  # one row a parameter
-        out[r.idx + 1] = r.g / SCALE
+    out = run(part) / SCALE
     return out[1:], out[0] * n
