@@ -177,3 +177,23 @@ def test_approximate_quantile_options(spark):
     cur = df.withColumn("x", F.col("x") + 500)
     r = drift.feature_drift(df, cur, ["x"], exact=False).first()
     assert r.drift_detected and r.ks_statistic == 0.5
+
+
+def test_resample_sorts_its_rows_once_and_narrow(spark):
+    """Two sorts of rows as wide as their known points spilled at size; batches that cut chunks change nothing."""
+    start = _ts("2026-03-01 00:00:00")
+    rows = [(p, start + dt.timedelta(minutes=9 * i * i), None if i % 3 else float(i)) for p in "ab" for i in range(20)]
+    df = spark.createDataFrame(rows, "patient_id string, timestamp timestamp_ntz, `x.y` double").repartition(2)
+    out = timeseries.resample(df, freq="15min", chunk_slots=16)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line and "__s#" in line]
+    assert len(sorts) == 1 and "struct" not in sorts[0]
+    assert out.columns == ["patient_id", "timestamp", "x.y"]
+    want = sorted(out.collect())
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+        assert sorted(out.select("*").collect()) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert len(want) == 2 * (9 * 19 * 19 // 15 + 1)
