@@ -197,3 +197,29 @@ def test_resample_sorts_its_rows_once_and_narrow(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
     assert len(want) == 2 * (9 * 19 * 19 // 15 + 1)
+
+
+@pytest.mark.parametrize("freq", ["15min", "7min"])
+def test_resample_deals_its_means_by_chunk_once(spark, freq):
+    """Chunks were summed up over means dealt by slot: with more tasks fewer of a chunk's rows met, and the shuffle grew faster than the rows."""
+    start = _ts("2026-03-01 00:00:00")
+    rows = [(p, start + dt.timedelta(minutes=9 * i * i), None if i % 3 else float(i)) for p in ("a", "b", None) for i in range(20)]
+    df = spark.createDataFrame(rows, "patient_id string, timestamp timestamp_ntz, x double").repartition(2)
+
+    def resampled():
+        out = timeseries.resample(df, freq=freq, chunk_slots=16)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        return sorted(out.collect(), key=str), [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "__chunk#" in x]
+
+    got, dealt = resampled()
+    assert dealt and all("REPARTITION_BY_NUM" in x for x in dealt)
+    # a session that forgets how a union's sides are dealt moves the rows again and gives the same ones
+    setting = "spark.sql.unionOutputPartitioning"
+    kept = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "false")
+        assert resampled()[0] == got
+    finally:
+        spark.conf.set(setting, kept)
+    one = timeseries.resample(df, freq=freq, chunk_slots=1 << 40)
+    assert sorted(one.collect(), key=str) == got and len(got) > 400
